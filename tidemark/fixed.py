@@ -7,8 +7,7 @@ import datetime as dt
 from pyspark.sql import types as T
 
 OPEN_DATE = dt.date(9999, 12, 31)
-OPEN_TIMESTAMP = dt.datetime(9999, 12, 31)
-FIRST_TIMESTAMP = dt.datetime(1900, 1, 1)
+OPEN_TIMESTAMP = dt.datetime(9999, 12, 31, tzinfo=dt.timezone.utc)
 
 # Accepted codes.
 OFFER_TYPES = ("on_demand", "bid", "reserved")

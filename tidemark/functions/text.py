@@ -28,7 +28,8 @@ def literal(value: str | int | float | dt.date | dt.datetime | None) -> str:
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
     if isinstance(value, dt.datetime):
-        return f"timestamp'{value.isoformat(sep=' ')}'"
+        # Spark hands instants to Python in local time without a zone; state the zone when going back.
+        return f"timestamp'{value.astimezone(dt.timezone.utc).isoformat(sep=' ')}'"
     if isinstance(value, dt.date):
         return f"date'{value.isoformat()}'"
     if isinstance(value, float):

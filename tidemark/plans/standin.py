@@ -176,7 +176,7 @@ def order_tariffs(orders: DataFrame) -> DataFrame:
         "o_orderkey", "o_custkey",
         f"element_at(array({literals(_DESCRIPTIONS)}), cast(o_orderkey % {len(_DESCRIPTIONS)} + 1 as int))"
         " as tariff_description",
-        "round(o_totalprice / 1000, 2) as price_mkd_per_kwh",
+        "floor(o_totalprice / 10) / 100 as price_mkd_per_kwh",
         "cast(o_orderdate as date) as valid_from",
     )
 

@@ -14,7 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call-site capture costs milliseconds of driver time per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -55,9 +55,10 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (), mode: str = "overwrite"
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
+    mode: str = "overwrite", only_partitions: bool = False,
 ) -> None:
-    """Write Parquet. With partitions, overwriting replaces only the partitions present in ``df``.
+    """Write Parquet. ``only_partitions`` replaces just the partitions present in ``df``, not the table.
 
     Clustering sorts by the cluster columns: range-partitioned when the table has no partition
     columns, so that files hold narrow key ranges and their statistics let scans skip them.
@@ -67,7 +68,7 @@ def write_table(
         df = df.repartitionByRange(*cluster_by)
     if cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if only_partitions else "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
