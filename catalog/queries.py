@@ -369,7 +369,7 @@ def changes_only_rates(spark, sf):
 
 @register
 def scd2_rates(spark, sf):
-    return standin.rates_dim(spark, sf).drop("skey")
+    return standin.rates_dim(standin.table(spark, sf, "events")).drop("skey")
 
 
 def _tariff_history(spark, sf) -> DataFrame:
@@ -393,7 +393,7 @@ def scd2_schedule(spark, sf):
 
 def _rated_offers(spark, sf, **how) -> DataFrame:
     offers = standin.offers(spark, sf).select("offer_id", "valid_from")
-    rates = standin.rates_dim(spark, sf).selectExpr("value", "valid_from as rate_from", "valid_to as rate_to")
+    rates = standin.rates_dim(standin.table(spark, sf, "events")).selectExpr("value", "valid_from as rate_from", "valid_to as rate_to")
     return naive(intervals.interval_join(offers, rates, "to_date(valid_from)", "rate_from", "rate_to", **how))
 
 
@@ -433,8 +433,9 @@ def fact_offers(spark, sf):
 
 @register
 def close_absent(spark, sf):
-    offers = standin.offers(spark, sf).select("offer_id", "valid_from", "valid_to")
-    return naive(warehouse.close_single_load(offers, offers, standin.latest_poll(spark, sf)))
+    events = standin.table(spark, sf, "events")
+    offers = standin.offers(spark, sf, events).select("offer_id", "valid_from", "valid_to")
+    return naive(warehouse.close_single_load(offers, offers, standin.latest_poll(events)))
 
 
 @register

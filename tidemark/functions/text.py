@@ -50,3 +50,16 @@ def with_exprs(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     kept = [f"{columns[c]} as {name(c)}" if c in columns else name(c) for c in df.columns]
     added = {alias: expression for alias, expression in columns.items() if alias not in set(df.columns)}
     return df.selectExpr(*kept, *aliased(added))
+
+
+def computed_once(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """``with_exprs`` for costly expressions that several later expressions or filters read.
+
+    The values pass through a generator. Spark copies a plain projected expression into every
+    filter above it, so a parsed payload read by 70 rules would be parsed 70 times per row.
+    """
+    fields = ", ".join(f"{literal(alias)}, {expression}" for alias, expression in columns.items())
+    kept = [c for c in df.columns if c not in columns]
+    made = df.selectExpr(*map(name, kept), f"inline(array(named_struct({fields})))")
+    order = [*df.columns, *[c for c in columns if c not in set(df.columns)]]
+    return made.selectExpr(*map(name, order))

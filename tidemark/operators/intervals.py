@@ -116,7 +116,9 @@ def calendar_expand(schedule: DataFrame, start: str = "start_hour", end: str = "
     first, last = f"greatest({name(start)}, 0L)", f"least({name(end)}, 24L) - 1"
     hours = f"explode(case when {first} <= {last} then sequence({first}, {last}) end) as {name(hour)}"
     kept = [name(c) for c in schedule.columns if c not in (start, end)]
-    return schedule.filter("day_of_week between 1 and 7").selectExpr(*kept, hours)
+    # greatest and least skip nulls; an unknown bound covers no hour.
+    known = f"day_of_week between 1 and 7 and {name(start)} is not null and {name(end)} is not null"
+    return schedule.filter(known).selectExpr(*kept, hours)
 
 
 def hourly_calendar(spark: SparkSession) -> DataFrame:
@@ -167,7 +169,7 @@ def interval_join(
     if total <= max_bytes:
         return facts.join(F.broadcast(expanded), F.expr(cond), how).drop("_day")
     # The row hash spreads different rows, the task number spreads copies of one row.
-    spread = f"pmod(xxhash64({names(facts.columns)}) + spark_partition_id(), {salts}L)"
+    spread = f"pmod(pmod(xxhash64({names(facts.columns)}), {salts}L) + spark_partition_id(), {salts}L)"
     salted = expanded.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) as _salt_d")
     joined = with_exprs(facts, {"_salt": spread}).join(salted, F.expr(f"{cond} and _salt = _salt_d"), how)
     return joined.drop("_day", "_salt", "_salt_d")

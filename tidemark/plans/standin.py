@@ -106,9 +106,9 @@ def silver_from(spark: SparkSession, sf_dir: str, events: DataFrame | None = Non
     return offers_silver(unique_polls(source), *[table(spark, sf_dir, n) for n in ("part", "nation", "region")])
 
 
-def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def offers(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Intermediate offers, one per (offer_id, valid_from)."""
-    return intermediate.offers(staging.stage(silver_from(spark, sf_dir), lk.OFFERS.name))
+    return intermediate.offers(staging.stage(silver_from(spark, sf_dir, events), lk.OFFERS.name))
 
 
 def rates_silver(events: DataFrame) -> DataFrame:
@@ -122,8 +122,8 @@ def rates_silver(events: DataFrame) -> DataFrame:
     return cast_to_schema(shaped, fixed.RATES_SILVER)
 
 
-def rates_dim(spark: SparkSession, sf_dir: str, gap_days: int = 1) -> DataFrame:
-    silver = rates_silver(table(spark, sf_dir, "events"))
+def rates_dim(events: DataFrame, gap_days: int = 1) -> DataFrame:
+    silver = rates_silver(events)
     return warehouse.dim_rates(intermediate.rates(staging.stage(silver, lk.RATES.name)), gap_days)
 
 
@@ -153,16 +153,17 @@ def _stamped(df: DataFrame) -> DataFrame:
     return with_exprs(df, {"ingested_at": stamp, "processed_at": stamp})
 
 
-def latest_poll(spark: SparkSession, sf_dir: str) -> dt.datetime:
+def latest_poll(events: DataFrame) -> dt.datetime:
     """Read from one event column, without building the offers."""
-    return watermark(polled_events(table(spark, sf_dir, "events")), "ingested_at")
+    return watermark(polled_events(events), "ingested_at")
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The offers fact after one full load: priced, with rows absent from the last poll closed."""
-    source = offers(spark, sf_dir)
-    priced = warehouse.fact_offers(source, rates_dim(spark, sf_dir), tiers_dim(spark))
-    return warehouse.close_single_load(priced, source, latest_poll(spark, sf_dir))
+    events = table(spark, sf_dir, "events")
+    source = offers(spark, sf_dir, events)
+    priced = warehouse.fact_offers(source, rates_dim(events), tiers_dim(spark))
+    return warehouse.close_single_load(priced, source, latest_poll(events))
 
 
 # ---------------------------------------------------------------- order-shaped tariffs

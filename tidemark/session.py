@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # HotSpot never compiles methods above 8000 bytes. Wide projections fused into one method
+    # would run interpreted; above this limit Spark generates split, compilable methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Call-site capture costs milliseconds of driver time per column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark import fixed
-from tidemark.functions.text import aliased, literal, literals, name, with_exprs
-from tidemark.operators.cleaning import map_text
+from tidemark.functions.text import aliased, computed_once, literal, literals, name, with_exprs
 
 # ----------------------------------------------------------------- offers
 
@@ -26,7 +25,7 @@ def explode_offers(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     listed = payloads.selectExpr(
         "ingested_at", "offer_type", f"explode(from_json({name(payload)}, 'offers array<string>').offers) as _offer"
     )
-    parsed = listed.selectExpr("*", f"from_json(_offer, {shape}) as _o")
+    parsed = computed_once(listed, {"_o": f"from_json(_offer, {shape})"})
 
     def value(key: str) -> str:
         text = f"_o.{name(key)}"
@@ -42,7 +41,8 @@ def explode_offers(payloads: DataFrame, payload: str = "payload") -> DataFrame:
 
 def blank_text_to_null(df: DataFrame) -> DataFrame:
     """Whitespace-only text to null in every string column; other text stays as it is."""
-    return map_text(df, r"case when {c} rlike r'\S' then {c} end")
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return computed_once(df, {c: rf"case when {name(c)} rlike r'\S' then {name(c)} end" for c in texts})
 
 
 def validate(
@@ -129,16 +129,18 @@ def html_table_rows(
         body = rf"regexp_replace({body}, r'(?is)<(thead|tbody|tfoot)\b.*?</\1\s*>', '')"
     tables = rf"array_join(regexp_extract_all({body}, r'(?is)<table\b[^>]*>(.*?)</table\s*>', 1), '\n')"
     rows = rf"posexplode(regexp_extract_all({tables}, r'(?is)<tr\b[^>]*>(.*?)</tr\s*>', 1)) as (row_number, _row)"
-    split = pages.selectExpr("*", rows).filter(r"_row rlike r'(?is)<td\b'").selectExpr(
-        "*",
-        r"regexp_extract_all(_row, r'(?is)<(t[dh])\b[^>]*>', 1) as _kinds",
-        r"regexp_extract_all(_row, r'(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>', 1) as _cells",
+    split = computed_once(
+        pages.selectExpr("*", rows).filter(r"_row rlike r'(?is)<td\b'"),
+        {
+            "_kinds": r"regexp_extract_all(_row, r'(?is)<(t[dh])\b[^>]*>', 1)",
+            "_cells": r"regexp_extract_all(_row, r'(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>', 1)",
+        },
     )
     taken = {
         c: f"case when lower(get(_kinds, {i})) = 'td' then {tag_text(f'get(_cells, {i})')} end"
         for c, i in zip(into, cells)
     }
-    return with_exprs(split, taken).drop("_row", "_kinds", "_cells")
+    return computed_once(split, taken).drop("_row", "_kinds", "_cells")
 
 
 def land_tiers(pages: DataFrame, html: str = "html") -> tuple[DataFrame, DataFrame]:
