@@ -84,7 +84,7 @@ def test_close_absent(spark):
 feeds = st.lists(st.tuples(st.one_of(st.none(), st.integers(1, 4)), st.integers(0, 60)), min_size=1, max_size=40, unique=True)
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(feeds)
 def test_replay_equals_polls_one_by_one(spark, items):
     assert outcome(inc.close_by_replay(polled(spark, items))) == brute_force(items)
@@ -129,7 +129,7 @@ def test_stored_fact_gains_a_column(spark, tmp_path):
     assert got == {(1, None), (2, None), (1, "x")}
 
 
-@settings(max_examples=4, deadline=None)
+@settings(max_examples=2, deadline=None)
 @given(feeds, st.integers(0, 60))
 def test_stored_fact_split_anywhere(spark, tmp_path_factory, items, cut):
     path = str(tmp_path_factory.mktemp("split") / "fact")

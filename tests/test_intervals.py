@@ -39,7 +39,7 @@ days = st.integers(0, 120).map(lambda n: dt.date(2024, 1, 1) + dt.timedelta(n))
 histories = st.lists(st.tuples(st.sampled_from(["a", "b", None]), days, st.sampled_from([1.0, 2.0, None])), max_size=25)
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(histories)
 def test_chunked_history_equals_plain(spark, items):
     df = spark.createDataFrame([(k, d, v, i) for i, (k, d, v) in enumerate(items)], "k string, d date, v double, i int")
@@ -51,7 +51,7 @@ def test_chunked_history_equals_plain(spark, items):
     )
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from("ab"), days), min_size=1, max_size=20, unique=True))
 def test_intervals_of_a_key_are_ordered_and_disjoint(spark, items):
     df = spark.createDataFrame(items, "k string, d date")
@@ -98,7 +98,7 @@ def facts(spark):
     )
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.tuples(days, st.one_of(st.just(FOREVER), days), st.integers(0, 3)), max_size=12))
 def test_interval_join_equals_range_join(spark, items):
     dim = spark.createDataFrame(items, "s date, e date, v int")
