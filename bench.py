@@ -32,6 +32,8 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": str(cpus), "spark.driver.memory": "8g",
             "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+            # As many shuffle partitions as cores: merging small ones would only idle cores.
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.text import literal, name, names, with_exprs
+from tidemark.functions.text import literal, name, with_exprs
+from tidemark.operators.ranking import top_one
 
 
 def map_text(df: DataFrame, template: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -62,16 +62,10 @@ def deduplicate(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
     """One row per key.
 
     With ``order_by`` the row lowest in that order survives, so the result does not depend on
-    partitioning. Both forms aggregate before the shuffle: at most one row per key and task
-    is moved, so a key holding a large share of the rows does not overload the task that gets it.
+    partitioning. Both forms reduce before the shuffle: at most one row per key and task is
+    moved, so a key holding a large share of the rows does not overload the task that gets it.
     """
-    rest = [c for c in df.columns if c not in keys]
-    if not order_by or not rest:
-        return df.dropDuplicates(list(keys))
-    fields = ", ".join(f"{e} as o{i}" for i, e in enumerate(order_by))
-    lowest = f"min_by(struct({names(rest)}), struct({fields})) as _row"
-    picked = df.groupBy(*keys).agg(F.expr(lowest))
-    return picked.selectExpr(*[name(c) if c in keys else f"_row.{name(c)}" for c in df.columns])
+    return top_one(df, keys, order_by) if order_by else df.dropDuplicates(list(keys))
 
 
 def stamp_processed(df: DataFrame, clock: str = "current_timestamp()") -> DataFrame:

@@ -17,6 +17,8 @@ DEFAULTS = {
     # HotSpot never compiles methods above 8000 bytes. Wide projections fused into one method
     # would run interpreted; above this limit Spark generates split, compilable methods instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # The fact and marts compile more code blocks than the default of 100 keeps.
+    "spark.sql.codegen.cache.maxEntries": "1000",
     # Call-site capture costs milliseconds of driver time per column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
