@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions.text import literal, name, with_exprs
 from tidemark.operators.cleaning import deduplicate
-from tidemark.operators.intervals import carry_across, with_next
+from tidemark.operators.intervals import carry_across, keyed_by_chunk, next_in_chunks, with_next
 from tidemark.operators.sizing import broadcast_if_small
 
 FOREVER = literal(fixed.OPEN_TIMESTAMP)
@@ -95,15 +95,13 @@ def close_by_replay(
     month = f"trunc({p}, 'month')"
     order = broadcast_if_small(next_polls(rows if polls is None else polls, poll))
     seen = rows.drop(valid_to).join(order, poll, "left")
-    seen = with_next(seen, [key], poll, "_next_seen", chunk=month)
+    seen = next_in_chunks(keyed_by_chunk(seen, [key], month), [key], poll, "_next_seen")
     run_ends = "not (_next_seen <=> _next_poll) or _next_poll is null"
-    seen = with_exprs(
-        seen, {"_month": month, "_end": f"case when {run_ends} then coalesce(_next_poll, {FOREVER}) end"}
-    )
-    onward = f"partition by {k}, _month order by {p} rows between current row and unbounded following"
+    seen = with_exprs(seen, {"_end": f"case when {run_ends} then coalesce(_next_poll, {FOREVER}) end"})
+    onward = f"partition by _key order by {p} rows between current row and unbounded following"
     local = with_exprs(seen, {"_here": f"min(_end) over ({onward})"})
     later = "min(_first) over ({w} rows between 1 following and unbounded following)"
-    wide = carry_across(local, [key], "_month", {"_first": "min(_end)"}, {"_beyond": later})
+    wide = carry_across(local, [key], {"_first": "min(_end)"}, {"_beyond": later})
     # A null id is never closed, as no poll can be said to lack it.
     ends = {valid_to: f"case when {k} is null then {FOREVER} else coalesce(_here, _beyond) end"}
     return with_exprs(wide, ends).select(*rows.columns)

@@ -20,24 +20,40 @@ def same_keys(left: str, right: str, keys: Sequence[str]) -> str:
     return " and ".join(f"{left}.{name(k)} <=> {right}.{name(k)}" for k in keys)
 
 
+def keyed_by_chunk(df: DataFrame, keys: Sequence[str], chunk: str) -> DataFrame:
+    """Add ``_key``, the keys and chunk as one struct.
+
+    Windows, summaries and the join back all use it, so the rows are shuffled once. A struct
+    also compares null-safe under plain equality, which keeps that partitioning usable.
+    """
+    fields = "".join(f"{literal(k)}, {name(k)}, " for k in keys)
+    return with_exprs(df, {"_key": f"named_struct({fields}'_chunk', {chunk})"})
+
+
 def carry_across(
-    df: DataFrame, keys: Sequence[str], chunk: str, summaries: Mapping[str, str], carried: Mapping[str, str]
+    df: DataFrame, keys: Sequence[str], summaries: Mapping[str, str], carried: Mapping[str, str]
 ) -> DataFrame:
-    """Attach to each row what its key's other chunks hold.
+    """Attach to each row of a frame with ``_key`` what its key's other chunks hold.
 
     ``summaries`` aggregates a (key, chunk); ``carried`` reads those summaries over a window of
     the key's chunks, written with ``{w}``. Only summaries are windowed per key, so the rows of
     one key may spread over many tasks.
     """
-    by_key = f"partition by {names(keys)} order by {name(chunk)}"
-    summary = df.groupBy(*keys, chunk).agg(*[F.expr(e) for e in aliased(summaries)])
-    beyond = summary.selectExpr(
-        *map(name, [*keys, chunk]), *aliased({n: e.replace("{w}", by_key) for n, e in carried.items()})
-    )
-    joined = df.alias("r").join(beyond.alias("c"), F.expr(same_keys("r", "c", [*keys, chunk])), "left")
+    by_key = f"partition by {', '.join(f'_key.{name(k)}' for k in keys)} order by _key._chunk"
+    summary = df.groupBy("_key").agg(*[F.expr(e) for e in aliased(summaries)])
+    beyond = summary.selectExpr("_key", *aliased({n: e.replace("{w}", by_key) for n, e in carried.items()}))
+    joined = df.alias("r").join(beyond.alias("c"), F.expr("r._key = c._key"), "left")
     return joined.selectExpr("r.*", *[f"c.{name(n)}" for n in carried])
 
 
+def next_in_chunks(df: DataFrame, keys: Sequence[str], order_by: str, into: str, tie: Sequence[str] = ()) -> DataFrame:
+    """``with_next`` on a frame that has ``_key``."""
+    inside = f"partition by _key order by {names([order_by, *tie])}"
+    local = with_exprs(df, {into: f"lead({name(order_by)}) over ({inside})"})
+    wide = carry_across(local, keys, {"_first": f"min({name(order_by)})"}, {"_after": "lead(_first) over ({w})"})
+    return with_exprs(wide, {into: f"coalesce({name(into)}, _after)"}).drop("_after")
+
+
 def with_next(
     df: DataFrame, keys: Sequence[str], order_by: str, into: str, tie: Sequence[str] = (), chunk: str | None = None
 ) -> DataFrame:
@@ -47,16 +63,10 @@ def with_next(
     With ``chunk``, an expression that never decreases along ``order_by`` (its month, say), a
     key's rows are split by chunk and only one summary row per chunk crosses chunk borders.
     """
-    order = names([order_by, *tie])
     if chunk is None:
+        order = names([order_by, *tie])
         return with_exprs(df, {into: f"lead({name(order_by)}) over (partition by {names(keys)} order by {order})"})
-    local = with_exprs(df, {"_chunk": chunk})
-    inside = f"partition by {names([*keys, '_chunk'])} order by {order}"
-    local = with_exprs(local, {into: f"lead({name(order_by)}) over ({inside})"})
-    wide = carry_across(
-        local, keys, "_chunk", {"_first": f"min({name(order_by)})"}, {"_after": "lead(_first) over ({w})"}
-    )
-    return with_exprs(wide, {into: f"coalesce({name(into)}, _after)"}).drop("_chunk", "_after")
+    return next_in_chunks(keyed_by_chunk(df, keys, chunk), keys, order_by, into, tie).drop("_key")
 
 
 def with_previous(
@@ -67,15 +77,15 @@ def with_previous(
     order = names([order_by, *tie])
     if chunk is None:
         return with_exprs(df, {into: f"lag({name(value)}) over (partition by {names(keys)} order by {order})"})
-    local = with_exprs(df, {"_chunk": chunk})
-    inside = f"partition by {names([*keys, '_chunk'])} order by {order}"
+    inside = f"partition by _key order by {order}"
     local = with_exprs(
-        local, {into: f"lag({name(value)}) over ({inside})", "_place": f"row_number() over ({inside})"}
+        keyed_by_chunk(df, keys, chunk),
+        {into: f"lag({name(value)}) over ({inside})", "_place": f"row_number() over ({inside})"},
     )
     last = f"max_by(struct({name(value)} as v), struct({order}))"
-    wide = carry_across(local, keys, "_chunk", {"_last": last}, {"_before": "lag(_last) over ({w})"})
+    wide = carry_across(local, keys, {"_last": last}, {"_before": "lag(_last) over ({w})"})
     settled = f"case when _place = 1 then _before.v else {name(into)} end"
-    return with_exprs(wide, {into: settled}).drop("_chunk", "_place", "_before")
+    return with_exprs(wide, {into: settled}).drop("_key", "_place", "_before")
 
 
 def changes_only(
