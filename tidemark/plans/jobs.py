@@ -54,7 +54,7 @@ def _load_staging(spark: SparkSession, lake: lk.Lake, dataset: lk.Dataset) -> Da
     keys = staging.LAYOUT[dataset.name][2]
     batch = deduplicate(batch, keys, [c for c in batch.columns if c not in keys])
     lk.write_unless_empty(batch, path, mode="append")
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return lk.read_table(spark, path)
 
 
 def _build_dim(spark: SparkSession, lake: lk.Lake, model: str, built: DataFrame, **layout) -> DataFrame:

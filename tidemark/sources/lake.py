@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.text import literal
 
 STAGES = ("bronze", "silver", "gold")
 
@@ -44,12 +48,47 @@ class Lake:
         return f"{self.root.rstrip('/')}/published"
 
 
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def _schema_path(path: str) -> str:
+    return f"{path.rstrip('/')}.schema"
+
+
+def recorded_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema noted at the last write: one small file, instead of the footers of all files."""
+    try:
+        noted = spark.read.schema("value string").text(_schema_path(path), wholetext=True).first()
+    except AnalysisException as error:
+        if _missing(error):
+            return None
+        raise
+    return None if noted is None else T.StructType.fromJson(json.loads(noted.value))
+
+
+def _note_schema(spark: SparkSession, path: str, written: T.StructType, replaced: bool) -> None:
+    """Note the written columns after those an added-to table already has."""
+    before = None if replaced else recorded_schema(spark, path)
+    fields = [] if before is None else list(before.fields)
+    fields += [f for f in written.fields if f.name not in {old.name for old in fields}]
+    if before is None or len(fields) > len(before.fields):
+        noted = spark.range(1).selectExpr(f"{literal(T.StructType(fields).json())} as value")
+        noted.coalesce(1).write.mode("overwrite").text(_schema_path(path))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """A Parquet table, or None when nothing has been written there."""
+    """A Parquet table, or None when nothing has been written there.
+
+    With a noted schema, files that lack a later column give null for it, and no footer is read
+    to plan the scan.
+    """
+    schema = recorded_schema(spark, path)
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if _missing(error):
             return None
         raise
 
@@ -64,12 +103,14 @@ def write_table(
     columns, so that files hold narrow key ranges and their statistics let scans skip them.
     A day's rows are not forced into one task; each task sorts the partitions it holds.
     """
+    written = df.schema
     if cluster_by and not partition_by:
         df = df.repartitionByRange(*cluster_by)
     if cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if only_partitions else "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    _note_schema(df.sparkSession, path, written, replaced=mode == "overwrite" and not only_partitions)
 
 
 def write_unless_empty(df: DataFrame, path: str, **layout) -> bool:

@@ -31,7 +31,7 @@ def poll_merger(
     ``valid_from``; of rows with equal keys the lowest by ``tie`` stays.
 
     A micro-batch that runs again after a failure finds its rows at the watermark and adds
-    nothing. The late rows of a batch go to a folder of its own, so they are not doubled either.
+    nothing. The late rows of a batch are a partition of their own, so they are not doubled either.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -45,7 +45,8 @@ def poll_merger(
                 # On a rerun the batch's own rows are stored already; only those days are looked at.
                 known = stored.filter(f"{DAY} >= cast({literal(first)} as date)").select("offer_id", "valid_from")
                 unseen = late.join(known, ["offer_id", "valid_from"], "left_anti")
-                write_table(unseen, f"{reject_path}/batch={batch_id}")
+                labelled = unseen.selectExpr("*", f"{batch_id}L as batch")
+                write_table(labelled, reject_path, partition_by=["batch"], only_partitions=True)
         apply_polls(spark, fact_path, rows)
 
     return merge
