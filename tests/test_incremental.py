@@ -137,3 +137,22 @@ def test_stored_fact_split_anywhere(spark, tmp_path_factory, items, cut):
         if part:
             apply_polls(spark, path, polled(spark, part))
     assert outcome(read_fact(spark, path)) == brute_force(items)
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+    import pathlib
+
+    from tidemark.sources.fact_store import upsert_partitions
+    from tidemark.sources.lake import read_table
+
+    path, shape, keys = str(tmp_path / "table"), "k int, v string, d string", ["k", "d"]
+    first = spark.createDataFrame([(1, "a", "x"), (2, "a", "x"), (1, "a", "y")], shape)
+    assert upsert_partitions(spark, path, first, keys, "d", ["v"]) == 2
+    untouched = sorted(p.name for p in pathlib.Path(path, "d=y").iterdir())
+    batch = spark.createDataFrame([(2, "c", "x"), (2, "b", "x"), (3, "b", "x")], shape)
+    for _ in range(2):
+        assert upsert_partitions(spark, path, batch, keys, "d", ["v"]) == 1
+        got = rows(read_table(spark, path).select("k", "v", "d"))
+        assert got == [(1, "a", "x"), (1, "a", "y"), (2, "b", "x"), (3, "b", "x")]
+    assert sorted(p.name for p in pathlib.Path(path, "d=y").iterdir()) == untouched
+    assert upsert_partitions(spark, path, batch.filter("false"), keys, "d") == 0

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions.text import literal, name, with_exprs
-from tidemark.operators.incremental import append_evolving, close_by_replay, watermark
+from tidemark.operators.cleaning import deduplicate
+from tidemark.operators.incremental import append_evolving, close_by_replay, merge_upsert, watermark
 from tidemark.operators.sizing import broadcast_if_small
 from tidemark.sources.lake import read_table, write_table
 
@@ -73,3 +76,25 @@ def apply_polls(spark: SparkSession, path: str, batch: DataFrame, key: str = "of
     added = with_exprs(ends.filter(f"valid_from > {literal(last)}"), {DAY: "cast(valid_from as date)"})
     _write_days(append_evolving(kept, added), path)
     return len(days)
+
+
+def upsert_partitions(
+    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], partition_by: str, order_by: Sequence[str] = ()
+) -> int:
+    """``merge_upsert`` into a stored table, rewriting only the partitions the batch falls in.
+
+    ``partition_by`` must be among ``keys``, so that a row and its replacement share a partition.
+    Returns the number of partitions written. Repeating a batch leaves the table as it is.
+    """
+    if partition_by not in keys:
+        raise ValueError(f"{partition_by} must be one of the merge keys")
+    touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
+    if not touched:
+        return 0
+    stored = read_table(spark, path)
+    if stored is None:
+        merged = deduplicate(batch, keys, order_by)
+    else:
+        merged = merge_upsert(stored.filter(F.col(partition_by).isin(*touched)), batch, keys, order_by)
+    write_table(merged, path, partition_by=[partition_by], only_partitions=True)
+    return len(touched)
