@@ -7,10 +7,12 @@ level at which all its slots are filled: later levels could only bring larger va
 
 Texts with equal shingle sets form one class, and everything from there on works on one representative each. With 32
 bands of 4 slots, a pair of similarity 0.75 misses all bands with probability 5e-6. Within a band's bucket pairs are not
-listed: first every member is compared to the bucket's first one, and links form components. Only buckets with
-several components go on, in rounds with more members to compare to (``PIVOTS`` times as many each), and only
-across components, until every pair in such a bucket has been compared. So no link is lost that would join two components.
-Pairs whose signatures agree in far fewer slots than 0.75 allows, or whose sizes rule it out, skip the comparison.
+listed: every member is compared to the bucket's first one, then, where several components are left in a bucket, to a few
+more. Links form components. Members of buckets that still hold several components are joined across components by
+the rarest shingles of their sets: two sets of similarity 0.75 share one among the rarest quarter of each, at a place
+that leaves room for enough others. That join is exact, so no link that would join two components is lost, and it meets
+almost no other pairs, however many texts share a common passage. Star comparisons skip pairs whose signatures agree in
+far fewer slots than 0.75 allows.
 
 Defined cases: null and empty texts and texts without words have no set, are linked with nothing and stay; a null id is
 never the smallest; repeated rows are one class; an empty table gives no rows; very long texts are sets like others.
@@ -21,7 +23,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.base import stored
@@ -31,7 +33,8 @@ BANDS, ROWS = 32, 4
 SLOTS = BANDS * ROWS
 WORDS = 5
 PERCENT = 75
-PIVOTS = 16
+#: Members of a bucket with several components that its others are compared to.
+PIVOTS = 4
 #: Slots (of 128) that must agree: 0.75 less more than four standard deviations of the estimate.
 AGREE = 76
 SIGNED = "doc_id bigint, text_key bigint, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary"
@@ -188,26 +191,41 @@ def near_links(docs: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame]
     pairs = pairs.join(sizes, F.col("a") == F.col("of")).filter(_sizes_allow("n", "first_n")).select("a", "b")
     tested = stored(_agreeing(pairs, reps), "near-pairs")
     links = stored(_confirmed(tested, sets), "near-links")
-    pivots = PIVOTS
-    while True:
-        labels = connected_components(links)
-        named = members.join(labels.select(F.col("node").alias("of"), "component"), F.col("node") == F.col("of"), "left")
-        named = named.withColumn("component", F.coalesce("component", "node")).drop("of", "first")
-        split = named.groupBy(F.col("bucket").alias("of")).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-        # A bucket all of whose members were pivots in an earlier round is done.
-        todo = named if pivots == PIVOTS else named.filter(F.col("members") > pivots // PIVOTS)
-        open_ = stored(todo.join(split, F.col("bucket") == F.col("of")).select("bucket", "node", "n", "component", "members"), "open-buckets")
-        if open_.isEmpty():
-            return reps, labels
-        chosen = open_.filter(F.pmod(F.xxhash64("node", F.lit(pivots)), F.col("members")) < pivots)
-        other = chosen.selectExpr("bucket as of", "node as pivot", "n as pivot_n", "component as pivot_component")
-        across = open_.join(other, (F.col("bucket") == F.col("of")) & (F.col("component") != F.col("pivot_component")) & _sizes_allow("n", "pivot_n"))
-        pairs = across.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        more = stored(_agreeing(pairs, reps), "near-pairs")
-        found = stored(_confirmed(more, sets), "near-links")
-        tested, links = tested.unionByName(more), links.unionByName(found)
-        pivots *= PIVOTS
+    open_ = _open_members(members, links)
+    chosen = open_.filter(F.pmod(F.xxhash64("node"), F.col("members")) < PIVOTS)
+    other = chosen.selectExpr("bucket as of", "node as pivot", "n as pivot_n", "component as pivot_component")
+    across = open_.join(other, (F.col("bucket") == F.col("of")) & (F.col("component") != F.col("pivot_component")) & _sizes_allow("n", "pivot_n"))
+    pairs = across.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    more = stored(_agreeing(pairs.join(tested, ["a", "b"], "left_anti"), reps), "near-pairs")
+    links = links.unionByName(stored(_confirmed(more, sets), "near-links"))
+    left = _open_members(members, links).select("node", "n", "component").distinct()
+    links = links.unionByName(stored(_confirmed(_prefix_pairs(left, sets), sets), "near-links"))
+    return reps, connected_components(links)
+
+
+def _open_members(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, each with its ``component``."""
+    labels = connected_components(links).select(F.col("node").alias("of"), "component")
+    named = members.join(labels, F.col("node") == F.col("of"), "left").withColumn("component", F.coalesce("component", "node")).drop("of", "first")
+    split = named.groupBy(F.col("bucket").alias("of")).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    return stored(named.join(split, F.col("bucket") == F.col("of")).select("bucket", "node", "n", "component", "members"), "open-buckets")
+
+
+def _prefix_pairs(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs across components of ``nodes(node, n, component)`` that may reach the similarity, by their rarest shingles."""
+    elements = sets.select(F.col("node").alias("of"), F.explode("elements").alias("element"))
+    held = stored(nodes.join(elements, F.col("node") == F.col("of")).drop("of"), "open-shingles")
+    shared = held.groupBy(F.col("element").alias("seen")).agg(F.count("*").alias("times")).filter("times > 1")
+    counted = held.join(shared, F.col("element") == F.col("seen"), "left").withColumn("times", F.coalesce("times", F.lit(1)))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("times", "element"))
+    first = counted.withColumn("place", place).filter(f"place <= n - ceil({PERCENT} * n / 100) + 1 and times > 1")
+    first = stored(first.select("element", "node", "n", "component", "place"), "rare-shingles")
+    right = first.selectExpr("element as seen", "node as other", "n as other_n", "component as other_component", "place as other_place")
+    # Up to its first common shingle a pair has nothing in common, after it at most what is left of the shorter rest.
+    room = "1 + least(n - place, other_n - other_place)"
+    enough = f"{100 + PERCENT} * ({room}) >= {PERCENT} * (n + other_n)"
+    met = first.join(right, F.expr(f"element = seen and node < other and component <> other_component and {enough}"))
+    return met.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
 
 
 def near_components(docs: DataFrame) -> DataFrame:
