@@ -141,7 +141,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     groups = same.groupBy("recipe").agg(
         F.sum("n").alias("n"), F.max("doc_id").alias("keep_id"), F.max(F.struct("doc_id", "row")).getField("row").alias("keep_row")
     )
-    many = groups.filter("n > 1").withColumnRenamed("recipe", "of")
+    # Written, so that the join has rows of documents on one side only and a hot text's can be split.
+    many = stored(groups.filter("n > 1").withColumnRenamed("recipe", "of"), "copies")
     found = rows.join(many, F.col("recipe") == F.col("of"), "left")
     return found.selectExpr(
         "doc_id", "case when of is null then doc_id else keep_id end as keep_id", "coalesce(n, 1L) as group_size",
