@@ -293,6 +293,7 @@ ORACLES["landing_json_props"] = "SELECT event_id, CAST(json_extract(props, '$.k'
 _BAD = {
     "gpu_price_usd_per_hr:required": "event_id % 19 = 0",
     "gpu_architecture:required": "event_id % 23 = 0",
+    "cpu_model_name:type": "event_id % 37 = 0",
     "ram_mb:type": "event_id % 29 = 0",
     "verification_flag:enum": "event_id % 17 = 0",
 }
@@ -305,11 +306,13 @@ ORACLES["landing_offers"] = (
     " CASE WHEN event_id % 6 < 4 THEN event_id % 4 ELSE 1 END AS number_of_gpus, 65536::DOUBLE AS ram_mb,"
     " 100.5::DOUBLE AS disk_space_gb, CAST(NULL AS VARCHAR) AS cpu_model_name, 'verified' AS verification_flag,"
     " event_id % 2 = 0 AS rentable_flag, event_id % 5 = 0 AS rented_flag FROM events"
-    f" WHERE NOT ({' OR '.join(_BAD.values())})"
+    f" WHERE NOT ({' OR '.join(_BAD.values())}) AND event_id // 4 % 50 NOT IN (7, 8)"
 )
 ORACLES["landing_validate_rejects"] = (
     f"SELECT CAST(event_id AS VARCHAR) AS offer_id, concat_ws(',', {_REASONS}) AS failed_rules FROM events"
-    f" WHERE {' OR '.join(_BAD.values())}"
+    f" WHERE ({' OR '.join(_BAD.values())}) AND event_id // 4 % 50 NOT IN (7, 8) UNION ALL"
+    " SELECT NULL, CASE response % 50 WHEN 7 THEN 'payload:json' ELSE 'payload:offers' END"
+    " FROM (SELECT DISTINCT event_id // 4 AS response FROM events) WHERE response % 50 IN (7, 8)"
 )
 ORACLES["rates_payload_parse"] = (
     "SELECT ts AS ingested_at, 'USD' AS from_currency, 'MKD' AS to_currency, value,"
@@ -408,7 +411,34 @@ REPLAY = POLLED | {
     f" coalesce(nx.ingested_at, {OPEN_TS}) AS valid_to FROM runs LEFT JOIN numbered AS nx ON nx.n = last_n + 1",
 }
 ORACLES["close_absent_replay"] = chain(REPLAY, "SELECT offer_id, valid_from, valid_to FROM closed")
-ORACLES["stream_poll_merge"] = chain(REPLAY, "SELECT offer_id, valid_from, valid_to, event_id, value FROM closed")
+ORACLES["close_absent_doubled"] = chain(
+    REPLAY,
+    "SELECT offer_id, valid_from, valid_to FROM closed UNION ALL SELECT offer_id, valid_from, valid_to FROM closed WHERE offer_id % 5 = 0",
+)
+ORACLES["stream_poll_merge"] = ORACLES["fact_store_polls"] = chain(
+    REPLAY, "SELECT offer_id, valid_from, valid_to, event_id, value FROM closed"
+)
+ORACLES["stream_late_rows"] = chain(
+    {
+        "marked": "SELECT event_id, CASE WHEN event_id % 97 <> 0 THEN user_id END AS id,"
+        " CASE WHEN event_id % 89 <> 0 THEN ts END AS ts FROM events",
+        "span": "SELECT min(ts) AS lo, max(ts) AS hi FROM marked",
+        "placed": "SELECT event_id, id, date_trunc('hour', ts) AS poll, CASE WHEN ts IS NULL THEN 3"
+        " WHEN ts < date_trunc('hour', lo + (hi - lo) / 3) THEN CASE WHEN event_id % 50 = 7 THEN 2 ELSE 1 END"
+        " WHEN ts < date_trunc('hour', lo + (hi - lo) / 3 * 2) THEN 2 ELSE 3 END AS part FROM marked, span",
+        "numbered": "SELECT *, row_number() OVER (PARTITION BY part, id, poll ORDER BY event_id) AS nth FROM placed",
+        "highs": "SELECT part + 1 AS part, max(max(poll)) OVER (ORDER BY part) AS high FROM placed WHERE id IS NOT NULL GROUP BY part",
+    },
+    "SELECT event_id, CASE WHEN id IS NULL OR poll IS NULL THEN 'no key' WHEN nth > 1 THEN 'double'"
+    " WHEN poll <= high THEN 'late' ELSE 'fact' END AS fate FROM numbered LEFT JOIN highs USING (part)",
+)
+ORACLES["upsert_stored"] = (
+    "SELECT event_id % 500 AS k, nullif(event_type, 'error') AS kind, event_id, value FROM events"
+    " WHERE event_id % 3 <> 0 OR event_id % 500 < 250 QUALIFY"
+    # Null keys match nothing: of each batch one row stays for them, the second does not replace the first.
+    " row_number() OVER (PARTITION BY k, kind, CASE WHEN kind IS NULL THEN event_id % 3 = 0 END"
+    " ORDER BY event_id % 3 <> 0, event_id) = 1"
+)
 _CUT = "TIMESTAMP '2024-01-20'"
 ORACLES["watermark_increment"] = f"SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < {_CUT})"
 ORACLES["merge_upsert"] = (
@@ -436,7 +466,12 @@ OPPORTUNITIES = AVAILABLE | {
     "opportunities": "SELECT *, CAST(row_number() OVER (PARTITION BY offer_type ORDER BY "
     + ", ".join(_BEST_FIRST) + ") AS INTEGER) AS arbitrage_rank FROM available"
 }
-ORACLES["mart_opportunities"] = ORACLES["mart_opportunities_ranged"] = chain(
+ORACLES["mart_opportunities_ranged"] = chain(
+    AVAILABLE,
+    "SELECT offer_type, offer_id, valid_from, CAST(row_number() OVER (PARTITION BY offer_type ORDER BY"
+    " profit_per_tflop_business_high_usd DESC NULLS LAST, valid_from, offer_id) AS INTEGER) AS place FROM available",
+)
+ORACLES["mart_opportunities"] = chain(
     OPPORTUNITIES,
     f"SELECT {', '.join([*fixed.OPPORTUNITY_ATTRIBUTES, *_BOTH, 'valid_from'])} FROM opportunities",
 )

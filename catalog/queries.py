@@ -11,12 +11,11 @@ from pyspark.sql import types as T
 from tidemark import fixed
 from tidemark.functions import scalars as fn
 from tidemark.functions.text import literal, with_exprs
-from tidemark.operators import cleaning, incremental, intervals, quality
+from tidemark.operators import cleaning, incremental, intervals, quality, ranking
 from tidemark.plans import checks, dashboards, intermediate, marts, refine, staging, standin, warehouse
 from tidemark.session import scratch_path
-from tidemark.sources import landing
+from tidemark.sources import fact_store, landing
 from tidemark.sources import lake as lk
-from tidemark.sources.fact_store import read_fact
 from tidemark.streaming import polls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,32 +245,36 @@ def landing_json_props(spark, sf):
 
 
 def _offer_payloads(spark, sf) -> DataFrame:
-    """Events as poll responses of up to four offers, with keys left out, nulled or malformed here and there."""
+    """Events as poll responses of up to four offers, with keys left out, nulled or malformed here and there,
+    values in other forms that still count, and some responses that hold no offers at all."""
     events = standin.table(spark, sf, "events")
     fields = {
         "ask_contract_id": "event_id", "machine_id": "user_id % 97", "host_id": "user_id % 31",
         "discounted_dph_total": "value / 100", "dph_base": "case when event_id % 19 != 0 then value / 125 end",
         "min_bid": "case when event_id % 3 = 0 then value / 200 end",
-        "dlperf_per_dphtotal": "value", "gpu_arch": "case when event_id % 23 = 0 then '  ' else event_type end",
+        "dlperf_per_dphtotal": "value",
+        # Blanks are not only the ASCII ones.
+        "gpu_arch": "case when event_id % 46 = 0 then '\\u00a0\\u2003' when event_id % 23 = 0 then '  ' else event_type end",
         "gpu_name": "concat('G', user_id % 7)", "gpu_ram": "8192",
+        "cpu_name": "case when event_id % 37 = 0 then event_id end",
         "cpu_ram": "case when event_id % 29 = 0 then 'much' else '65536' end", "disk_space": "100.5",
         "inet_down": "500", "inet_up": "250",
         "verification": "case when event_id % 17 = 0 then 'unknown' else 'verified' end",
-        "rentable": "event_id % 2 = 0", "rented": "event_id % 5 = 0",
+        "rentable": "case when event_id % 7 = 3 then if(event_id % 2 = 0, 'On', 'off') else if(event_id % 2 = 0, 'true', 'false') end",
+        "rented": "event_id % 5 = 0",
     }
     structs = ", ".join(f"'{k}', {v}" for k, v in fields.items())
     # Nulls are written out, then the min_bid key is removed where it shall be absent.
     text = f"to_json(named_struct({structs}), map('ignoreNullFields', 'false'))"
     text = f"case when event_id % 3 = 1 then replace({text}, '\"min_bid\":null,', '') else {text} end"
-    gpus = f"replace({text}, '\"gpu_ram\"', concat('\"num_gpus\":', event_id % 4, ',\"gpu_ram\"'))"
+    number = "concat(event_id % 4, case when event_id % 8 = 0 then '.0' else '' end)"
+    gpus = f"replace({text}, '\"gpu_ram\"', concat('\"num_gpus\":', {number}, ',\"gpu_ram\"'))"
     text = f"case when event_id % 6 < 4 then {gpus} else {text} end"
     rows = events.selectExpr("event_id", "cast(floor(event_id / 4) as bigint) as response", f"{text} as offer")
-    # At most four events share a response, whatever the data.
+    # At most four events share a response, as event ids are unique.
     grouped = rows.groupBy("response").agg(F.expr("array_join(collect_list(offer), ',') as offers"))
-    return grouped.selectExpr(
-        "concat('{\"offers\":[', offers, ']}') as payload", "'on_demand' as offer_type",
-        "timestamp'2024-02-01 00:00:00' as ingested_at",
-    )
+    payload = "case response % 50 when 7 then 'no json' when 8 then '{\"error\":1}' else concat('{\"offers\":[', offers, ']}') end"
+    return grouped.selectExpr(f"{payload} as payload", "'on_demand' as offer_type", "timestamp'2024-02-01 00:00:00' as ingested_at")
 
 
 @register
@@ -404,8 +407,8 @@ def interval_join_rates(spark, sf):
 
 @register
 def interval_join_salted(spark, sf):
-    """The form for a dim too large to broadcast."""
-    return _rated_offers(spark, sf, max_bytes=0, salts=4)
+    """The form for hot days below a plan that cannot split them."""
+    return _rated_offers(spark, sf, salts=4)
 
 
 @register
@@ -435,7 +438,7 @@ def fact_offers(spark, sf):
 def close_absent(spark, sf):
     events = standin.table(spark, sf, "events")
     offers = standin.offers(spark, sf, events).select("offer_id", "valid_from", "valid_to")
-    return naive(warehouse.close_single_load(offers, offers, standin.latest_poll(events)))
+    return naive(warehouse.close_single_load(offers, standin.latest_poll(events), standin.latest_ids(events)))
 
 
 @register
@@ -475,8 +478,12 @@ def mart_opportunities(spark, sf):
 
 @register
 def mart_opportunities_ranged(spark, sf):
-    """The ranking form for groups too large for one task."""
-    return naive(marts.opportunities(standin.fact(spark, sf), max_group_rows=0))
+    """The ranks alone, over more range partitions than there are offer types."""
+    ranked = ranking.rank_rows(
+        marts.available(standin.fact(spark, sf)), ["offer_type"], ["profit_per_tflop_business_high_usd desc", "valid_from asc", "offer_id asc"],
+        "place", partitions=16,
+    )
+    return naive(ranked.select("offer_type", "offer_id", "valid_from", "place"))
 
 
 @register
@@ -574,22 +581,85 @@ def dq_hour_range(spark, sf):
     return quality.singular_check(rows.filter("start_hour >= end_hour"), "order_schedule", "hour range")
 
 
+# ----------------------------------------------------------------- stored tables
+
+
+def _slices(events: DataFrame, column: str, parts: int = 3) -> list[DataFrame]:
+    """``events`` cut into ``parts`` spans of whole hours, in order; rows without a time come with the last."""
+    lo, hi = events.agg(F.min(column), F.max(column)).first()
+    edges = [lo + (hi - lo) * i / parts for i in range(1, parts)]
+    edges = [e.replace(minute=0, second=0, microsecond=0) for e in edges]
+    cuts = [F.lit(e) for e in edges]
+    place = F.coalesce(F.size(F.filter(F.array(*cuts), lambda c: c <= F.col(column))), F.lit(0))
+    place = F.when(F.col(column).isNull(), parts - 1).otherwise(place)
+    return [events.filter(place == i) for i in range(parts)]
+
+
+def _poll_rows(events: DataFrame) -> DataFrame:
+    return standin.polled_events(events).selectExpr(
+        "user_id as offer_id", "ingested_at as valid_from", f"{literal(fixed.OPEN_TIMESTAMP)} as valid_to", "event_id", "value",
+    )
+
+
+@register
+def fact_store_polls(spark, sf):
+    """Three loads of several polls each into a stored fact; the last is repeated."""
+    path = f"{scratch_path(spark, 'fact-store')}/fact"
+    slices = _slices(standin.table(spark, sf, "events"), "ts")
+    for part in (*slices, slices[-1]):
+        unique = cleaning.deduplicate(_poll_rows(part), ["offer_id", "valid_from"], ["event_id"])
+        fact_store.apply_polls(spark, path, unique)
+    return naive(fact_store.read_fact(spark, path))
+
+
+@register
+def close_absent_doubled(spark, sf):
+    """Replay over offers of which every fifth row is there twice, as tariffs that change on different days double them."""
+    offers = standin.offers(spark, sf).select("offer_id", "valid_from", "valid_to")
+    return naive(incremental.close_by_replay(offers.unionByName(offers.filter("offer_id % 5 = 0"))))
+
+
+@register
+def upsert_stored(spark, sf):
+    """A keyed merge into a stored table with null partition values, in two batches."""
+    path = f"{scratch_path(spark, 'upsert')}/table"
+    events = standin.table(spark, sf, "events").selectExpr(
+        "event_id % 500 as k", "nullif(event_type, 'error') as kind", "event_id", "value",
+    )
+    for batch in (events.filter("event_id % 3 <> 0"), events.filter("event_id % 3 = 0 and k < 250")):
+        fact_store.upsert_partitions(spark, path, batch, ["k", "kind"], "kind", ["event_id"])
+    return lk.read_table(spark, path)
+
+
 # ----------------------------------------------------------------- stream
 
 
+def _streamed(spark, parts: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The stored fact and the rejects after the parts have landed and been merged one after the other."""
+    work = scratch_path(spark, "stream")
+    landed, fact, late = f"{work}/landed", f"{work}/fact", f"{work}/late"
+    sink = polls.poll_merger(fact, late, _poll_rows, tie=("event_id",))
+    for part in parts:
+        part.write.mode("append").parquet(landed)
+        polls.run_available(polls.poll_stream(spark, landed, part.schema), sink, f"{work}/checkpoint")
+    return naive(fact_store.read_fact(spark, fact)), naive(lk.read_table(spark, late))
+
+
 @register
 def stream_poll_merge(spark, sf):
-    """Events as landed files, merged poll by poll into a stored fact."""
-    schema = standin.table(spark, sf, "events").schema
-    source = polls.poll_stream(spark, sf, schema, pattern="events.parquet")
-    work = scratch_path(spark, "stream")
+    """Events landed in three parts, each merged into a stored fact as it comes."""
+    return _streamed(spark, _slices(standin.table(spark, sf, "events"), "ts"))[0]
 
-    def shape(batch: DataFrame) -> DataFrame:
-        return standin.polled_events(batch).selectExpr(
-            "user_id as offer_id", "ingested_at as valid_from",
-            f"{literal(fixed.OPEN_TIMESTAMP)} as valid_to", "event_id", "value",
-        )
 
-    sink = polls.poll_merger(f"{work}/fact", f"{work}/late", shape, tie=("event_id",))
-    polls.run_available(source, sink, f"{work}/checkpoint")
-    return naive(read_fact(spark, f"{work}/fact"))
+@register
+def stream_late_rows(spark, sf):
+    """Where each landed row ends up: some come a part too late, some lack the id or the time."""
+    events = standin.table(spark, sf, "events")
+    early, middle, last = _slices(events.withColumns({
+        "user_id": F.expr("case when event_id % 97 <> 0 then user_id end"),
+        "ts": F.expr("case when event_id % 89 <> 0 then ts end"),
+    }), "ts")
+    held_back = "event_id % 50 = 7"
+    parts = [early.filter(f"not ({held_back})"), middle.unionByName(early.filter(held_back)), last]
+    fact, rejects = _streamed(spark, parts)
+    return fact.selectExpr("event_id", "'fact' as fate").unionByName(rejects.selectExpr("event_id", "reason as fate"))

@@ -1,5 +1,8 @@
 import datetime as dt
+import itertools
+import shutil
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -54,7 +57,9 @@ def test_merge_upsert(spark):
     assert rows(merged) == rows(spark.createDataFrame(
         [(1, "old"), (2, "a"), (3, "new"), (None, "old"), (None, "new")], "k int, v string"))
     keyed = merged.dropna()
-    assert rows(inc.merge_upsert(keyed, keyed.filter("k > 1"), ["k"])) == rows(keyed)
+    assert rows(inc.merge_upsert(keyed, keyed.filter("k > 1"), ["k"], ["v"])) == rows(keyed)
+    with pytest.raises(ValueError):
+        inc.merge_upsert(target, batch, ["k"], order_by=[])
 
 
 def test_append_evolving(spark):
@@ -155,4 +160,70 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
         got = rows(read_table(spark, path).select("k", "v", "d"))
         assert got == [(1, "a", "x"), (1, "a", "y"), (2, "b", "x"), (3, "b", "x")]
     assert sorted(p.name for p in pathlib.Path(path, "d=y").iterdir()) == untouched
-    assert upsert_partitions(spark, path, batch.filter("false"), keys, "d") == 0
+    assert upsert_partitions(spark, path, batch.filter("false"), keys, "d", ["v"]) == 0
+
+
+def test_upsert_keeps_the_null_partition(spark, tmp_path):
+    from tidemark.sources.fact_store import upsert_partitions
+    from tidemark.sources.lake import read_table
+
+    path, shape = str(tmp_path / "table"), "k int, v string, d string"
+    upsert_partitions(spark, path, spark.createDataFrame([(1, "a", None), (2, "a", None), (3, "a", "x")], shape), ["k", "d"], "d", ["v"])
+    upsert_partitions(spark, path, spark.createDataFrame([(9, "b", None)], shape), ["k", "d"], "d", ["v"])
+    assert [r[0] for r in rows(read_table(spark, path).select("k"))] == [1, 2, 3, 9]
+
+
+def test_doubled_rows_end_alike(spark):
+    doubled = polled(spark, [(1, 0), (1, 1), (2, 0)])
+    doubled = doubled.unionByName(doubled.filter("offer_id = 1 and price = 0"))
+    ends = [(r.offer_id, r.price, r.valid_to) for r in inc.close_by_replay(doubled).collect()]
+    assert sorted(ends) == [(1, 0.0, FOREVER), (1, 0.0, FOREVER), (1, 1.0, FOREVER), (2, 0.0, moment("2024-01-30T01:00:00"))]
+
+
+class Stopped(Exception):
+    pass
+
+
+def test_a_load_may_stop_with_any_days_in_place(spark, tmp_path, monkeypatch):
+    from tidemark.sources import fact_store
+
+    items = [(1, 0), (2, 0), (5, 0), (1, 30), (3, 30), (3, 54), (5, 54)]
+    first, second = ([x for x in items if (x[1] < 30) == early] for early in (True, False))
+    before, after = tmp_path / "before", tmp_path / "after"
+    apply_polls(spark, str(before / "fact"), polled(spark, first))
+    shutil.copytree(before, after)
+    note = fact_store._note
+
+    def stop_before_done(spark, path, seq, done, to):
+        if seq % 2:
+            raise Stopped
+        note(spark, path, seq, done, to)
+
+    monkeypatch.setattr(fact_store, "_note", stop_before_done)
+    with pytest.raises(Stopped):
+        apply_polls(spark, str(after / "fact"), polled(spark, second))
+    monkeypatch.undo()
+    days = sorted(p.name for p in (after / "fact").iterdir() if p.name.startswith(DAY))
+    assert len(days) == 3
+    for n in range(len(days) + 1):
+        for in_place in itertools.combinations(days, n):
+            trial = tmp_path / f"trial-{'-'.join(in_place)}"
+            shutil.copytree(after, trial)
+            for d in set(days) - set(in_place):
+                shutil.rmtree(trial / "fact" / d)
+                if (before / "fact" / d).exists():
+                    shutil.copytree(before / "fact" / d, trial / "fact" / d)
+            path = str(trial / "fact")
+            assert outcome(read_fact(spark, path)) == brute_force(first)  # readers see the last finished load
+            apply_polls(spark, path, polled(spark, second))
+            assert outcome(read_fact(spark, path)) == brute_force(items)
+
+
+def test_watermark_reads_one_day(spark, tmp_path):
+    from tidemark.sources import fact_store
+
+    path = str(tmp_path / "fact")
+    apply_polls(spark, path, polled(spark, [(1, 0), (1, 30), (2, 54)]))
+    assert fact_store.fact_watermark(spark, path) == moment("2024-02-01T06:00:00")
+    table = spark.read.parquet(path)
+    assert fact_store.day_watermark(table) == moment("2024-02-01T06:00:00")

@@ -103,7 +103,7 @@ def facts(spark):
 def test_interval_join_equals_range_join(spark, items):
     dim = spark.createDataFrame(items, "s date, e date, v int")
     want = rows(iv.range_join(facts(spark), dim, "at", "s", "e").select("at", "n", "s", "e", "v"))
-    for options in ({}, {"max_bytes": 0, "salts": 3}):
+    for options in ({}, {"salts": 3}):
         assert rows(iv.interval_join(facts(spark), dim, "at", "s", "e", **options).select("at", "n", "s", "e", "v")) == want
 
 
@@ -116,11 +116,15 @@ def test_interval_join_edges(spark):
 
 def test_interval_join_is_a_hash_join(spark):
     dim = spark.createDataFrame([(day("2024-01-10"), FOREVER, 1)], "s date, e date, v int")
-    plan = iv.interval_join(facts(spark), dim, "at", "s", "e")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
+    empty = dim.selectExpr("s", "s as e", "v")
+    for of in (dim, empty):
+        joined = iv.interval_join(facts(spark), of, "at", "s", "e")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        assert joined.count() == 422
 
 
 def test_copies_of_one_fact_row_are_spread_over_salts(spark):
     hot = spark.range(0, 8000, 1, 8).selectExpr("date'2024-01-15' as at", "1 as n")
     dim = spark.createDataFrame([(day("2024-01-10"), FOREVER, 1)], "s date, e date, v int")
-    assert iv.interval_join(hot, dim, "at", "s", "e", max_bytes=0).filter("v = 1").count() == 8000
+    assert iv.interval_join(hot, dim, "at", "s", "e", salts=4).filter("v = 1").count() == 8000

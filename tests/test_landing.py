@@ -70,7 +70,18 @@ def test_unknown_offer_type_and_empty_payloads(spark):
     assert land(spark) == ([], [])
     df = spark.createDataFrame([("{}", "bid"), ("not json", "bid")], "payload string, offer_type string")
     valid, rejects = landing.land_offers(df.selectExpr("*", "current_timestamp() as ingested_at"))
-    assert valid.count() == rejects.count() == 0
+    assert valid.count() == 0
+    assert sorted((r.payload, r.failed_rules) for r in rejects.collect()) == [("not json", "payload:json"), ("{}", "payload:offers")]
+
+
+def test_values_are_read_as_the_record_model_reads_them(spark):
+    valid, rejects = land(
+        spark, without(num_gpus=2.0, ask_contract_id=1.0), without(rented="off", rentable="on"), without(cpu_name="\u00a0\u2003"),
+        without(cpu_name=7), without(num_gpus=2.5), without(gpu_name="\u00a0"),
+    )
+    assert [(r.offer_id, r.number_of_gpus, r.rentable_flag, r.rented_flag) for r in valid] == [(1, 2, True, False)] * 3
+    assert valid[2].cpu_model_name is None
+    assert [r.failed_rules for r in rejects] == ["cpu_model_name:type", "number_of_gpus:type", "gpu_model_name:required"]
 
 
 def test_payload_is_parsed_once_per_row(spark):

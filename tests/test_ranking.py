@@ -1,5 +1,4 @@
 from tidemark.operators import ranking
-from tidemark.operators.sizing import broadcast_if_small, measured_bytes
 from tests.conftest import rows
 
 
@@ -11,22 +10,20 @@ def skewed(spark):
     )
 
 
-def test_distributed_rank_equals_window(spark):
+def test_rank_equals_window(spark):
     for order in (["v desc", "id asc"], ["v asc", "id desc"]):
-        plain = ranking.rank_rows(skewed(spark), ["g"], order, "r")
-        ranged = ranking.rank_rows(skewed(spark), ["g"], order, "r", max_group_rows=10)
-        assert plain.columns == ranged.columns
-        assert rows(plain) == rows(ranged)
+        window = f"row_number() over (partition by g order by {', '.join(order)}) as r"
+        ranged = ranking.rank_rows(skewed(spark), ["g"], order, "r", partitions=6)
+        assert rows(ranged) == rows(skewed(spark).selectExpr("*", window))
 
 
-def test_distributed_rank_splits_a_group(spark):
-    ranged = ranking.rank_rows_distributed(skewed(spark), ["g"], ["v desc", "id asc"], "r", partitions=6)
+def test_rank_splits_a_group(spark):
+    ranged = ranking.rank_rows(skewed(spark), ["g"], ["v desc", "id asc"], "r", partitions=6)
     assert sorted(r.r for r in ranged.filter("g = 'hot'").collect()) == list(range(1, 4001))
 
 
 def test_rank_of_nothing(spark):
     assert ranking.rank_rows(skewed(spark).filter("false"), ["g"], ["id"], "r").count() == 0
-    assert ranking.rank_rows_distributed(skewed(spark).filter("false"), ["g"], ["id"], "r").count() == 0
 
 
 def test_nulls_sort_as_in_the_warehouse(spark):
@@ -46,14 +43,3 @@ def test_top_one(spark):
 def test_top_one_prunes_before_the_shuffle(spark):
     plan = ranking.top_one(skewed(spark), ["g"], ["id"])._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
-
-
-def test_broadcast_only_when_measured_small(spark):
-    small = spark.range(10).selectExpr("id", "repeat('x', 100) as s")
-    assert 10 * 100 <= measured_bytes(small) <= 10 * 200
-    assert measured_bytes(small.filter("false")) == 0
-
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString() or "UnresolvedHint" in df._jdf.queryExecution().logical().toString()
-
-    assert hinted(broadcast_if_small(small)) and not hinted(broadcast_if_small(small, max_bytes=100))

@@ -31,7 +31,12 @@ def test_stream_equals_polls_one_by_one_and_keeps_late_rows(spark, tmp_path):
     land([(9, 3), (1, 0)])  # a row that comes too late, and one already stored
     drain()
     assert outcome(read_fact(spark, fact)) == brute_force(items)
-    assert [(r.offer_id, r.valid_from) for r in spark.read.parquet(late).collect()] == [(9, base + dt.timedelta(hours=3))]
+    kept = {(r.offer_id, r.valid_from, r.reason) for r in spark.read.parquet(late).collect()}
+    assert kept == {(9, base + dt.timedelta(hours=3), "late"), (2, base + dt.timedelta(hours=54), "double"), (1, base, "late")}
+
+    nothing = spark.createDataFrame([(None, base, FOREVER, 0), (7, None, FOREVER, 1)], shape)
+    sink(nothing, 50)
+    assert spark.read.parquet(late).filter("reason = 'no key'").count() == 2
 
     before = outcome(read_fact(spark, fact))
     sink(spark.read.parquet(str(landed)), 99)  # a batch that runs again

@@ -134,6 +134,9 @@ SCHEDULE_SILVER = _silver(
 # Offer columns whose float reading is stored as a whole number from staging on.
 WHOLE_NUMBER_MEASURES = ("gpu_memory_mb", "number_of_cpu_cores", "ram_mb")
 
+# Fixed value: the trailing core count of processor names.
+CORE_SUFFIX = r"\s+\d+-Cores? Processor$"
+
 # Column order of the offers fact up to the generated scenario columns.
 FACT_ATTRIBUTES = (
     "offer_id", "machine_id", "host_id", "valid_from", "valid_to", "processed_at",

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidemark import fixed
 from tidemark.functions.text import literal, name, with_exprs
 from tidemark.operators.ranking import top_one
 
@@ -37,7 +38,7 @@ def replace_pattern(df: DataFrame, column: str, pattern: str, replacement: str)
 
 def strip_core_suffix(df: DataFrame, column: str = "cpu_model_name") -> DataFrame:
     """Drop a trailing core count such as `` 64-Core Processor``."""
-    return replace_pattern(df, column, r"\s+\d+-Cores? Processor$", "")
+    return replace_pattern(df, column, fixed.CORE_SUFFIX, "")
 
 
 def decimal_comma_to_point(df: DataFrame, column: str = "price_mkd_per_kwh") -> DataFrame:

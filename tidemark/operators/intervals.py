@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions.scalars import surrogate_key
 from tidemark.functions.text import aliased, literal, name, names, with_exprs
-from tidemark.operators.sizing import BROADCAST_BYTES, row_bytes
-
-SALTS = 32
 
 
 def same_keys(left: str, right: str, keys: Sequence[str]) -> str:
@@ -146,40 +143,30 @@ def range_join(
 
 def interval_join(
     facts: DataFrame, dim: DataFrame, at: str, start: str = "valid_from", end: str = "valid_to",
-    how: str = "left", max_bytes: int = BROADCAST_BYTES, salts: int = SALTS,
+    how: str = "left", salts: int = 1,
 ) -> DataFrame:
     """``range_join`` on dates as an equi-join: each dim row is repeated for the days it covers.
 
-    ``start`` and ``end`` must not be columns of ``facts`` too. Open ends need no look at the
-    facts. From the last boundary in the dim onward nothing changes, so later facts use that
-    day as their key and open rows expand only up to it. The range condition stays as a
-    residual, so the result is exact in every case.
+    ``start`` and ``end`` must not be columns of ``facts`` too. From the last boundary in the dim
+    onward nothing changes, so later facts use that day as their key and open rows expand only up
+    to it. The boundary is a scalar subquery over the dim, so planning runs nothing. The range
+    condition stays as a residual: the result is exact, also for a dim of empty intervals only.
 
-    One pass over the dim finds the last boundary and the size. If small the expanded dim is
-    broadcast; else the join shuffles, with the facts of one day spread over ``salts`` keys.
+    The join carries no hint. AQE broadcasts the dim when its real size allows it and splits hot
+    days otherwise; where a plan above needs the rows of a day together, ``salts`` spreads them
+    at the price of that many copies of the dim.
     """
     lo, hi, forever = name(start), name(end), literal(fixed.OPEN_DATE)
     some = dim.filter(f"{lo} < {hi}")
-    # An open row expands to at most (last boundary - start + 1) days; so do all others.
-    size = row_bytes(some)
-    stats = some.selectExpr(
-        f"max(case when {hi} < {forever} then {hi} else {lo} end) as horizon",
-        f"coalesce(sum(case when {hi} < {forever} then datediff({hi}, {lo}) * ({size} + 16L) end), 0L) as closed",
-        f"coalesce(sum(case when {hi} >= {forever} then {size} + 16L end), 0L) as open_row",
-        f"min({lo}) as first_day",
-    ).first()
-    if stats.horizon is None:
-        return range_join(facts, dim, at, start, end, how=how)
-    horizon = literal(stats.horizon)
-    total = stats.closed + stats.open_row * ((stats.horizon - stats.first_day).days + 1)
-
-    stop = f"least(date_sub({hi}, 1), {horizon})"
-    expanded = some.selectExpr("*", f"explode(sequence({lo}, {stop}, interval 1 day)) as _day")
-    cond = f"least({at}, {horizon}) = _day and {at} >= {lo} and {at} < {hi}"
-    if total <= max_bytes:
-        return facts.join(F.broadcast(expanded), F.expr(cond), how).drop("_day")
-    # The row hash spreads different rows, the task number spreads copies of one row.
-    spread = f"pmod(pmod(xxhash64({names(facts.columns)}), {salts}L) + spark_partition_id(), {salts}L)"
-    salted = expanded.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) as _salt_d")
-    joined = with_exprs(facts, {"_salt": spread}).join(salted, F.expr(f"{cond} and _salt = _salt_d"), how)
-    return joined.drop("_day", "_salt", "_salt_d")
+    horizon = some.selectExpr(f"max(case when {hi} < {forever} then {hi} else {lo} end) as horizon").scalar()
+    bounded = some.withColumn("_stop", F.least(F.expr(f"date_sub({hi}, 1)"), horizon))
+    expanded = bounded.selectExpr("*", f"explode(sequence({lo}, _stop, interval 1 day)) as _day").drop("_stop")
+    timed = facts.withColumn("_at_day", F.least(F.expr(at), horizon))
+    cond = f"_at_day = _day and {at} >= {lo} and {at} < {hi}"
+    if salts > 1:
+        # The row hash spreads different rows, the task number spreads copies of one row.
+        spread = f"pmod(pmod(xxhash64({names(facts.columns)}), {salts}L) + spark_partition_id(), {salts}L)"
+        timed = with_exprs(timed, {"_salt": spread})
+        expanded = expanded.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) as _salt_d")
+        cond += " and _salt = _salt_d"
+    return timed.join(expanded, F.expr(cond), how).drop("_day", "_at_day", "_salt", "_salt_d")

@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import name, names, with_exprs
 from tidemark.operators.intervals import same_keys
-from tidemark.operators.sizing import broadcast_if_small
 from tidemark.session import shared_dir
 
-MAX_GROUP_ROWS = 2_000_000
 ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in the low bits
 
 
@@ -26,23 +24,11 @@ def top_one(df: DataFrame, group: Sequence[str], order_by: Sequence[str]) -> Dat
 
 
 def rank_rows(
-    df: DataFrame, group: Sequence[str], order_by: Sequence[str], into: str, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
-    """``row_number`` per group. ``order_by`` must be total, so that the rank is repeatable.
-
-    Groups are counted first: up to ``max_group_rows`` a window is used, beyond it the
-    distributed form, which gives the same numbers.
-    """
-    largest = df.groupBy(*group).count().selectExpr("coalesce(max(count), 0L)").first()[0]
-    if largest <= max_group_rows:
-        return with_exprs(df, {into: _row_number(group, order_by)})
-    return rank_rows_distributed(df, group, order_by, into)
-
-
-def rank_rows_distributed(
     df: DataFrame, group: Sequence[str], order_by: Sequence[str], into: str, partitions: int | None = None
 ) -> DataFrame:
-    """Range-partition by (group, order), then rank = place in partition + rows of the group before it.
+    """``row_number`` per group, for groups of any size. ``order_by`` must be total, so that the rank is repeatable.
+
+    Rows are range-partitioned by (group, order); rank = place in partition + rows of the group before it.
 
     The ranged rows are checkpointed, so that counting and numbering see the same layout even
     if executors are lost in between. The offsets hold one row per group and range partition.
@@ -58,7 +44,7 @@ def rank_rows_distributed(
     earlier = f"partition by {names(group)} order by _part rows between unbounded preceding and 1 preceding"
     before = f"coalesce(sum(_n) over ({earlier}), 0L) as _before"
     offsets = counts.selectExpr(*map(name, keys), "_start", before)
-    joined = placed.alias("p").join(broadcast_if_small(offsets).alias("o"), F.expr(same_keys("p", "o", keys)))
+    joined = placed.alias("p").join(offsets.alias("o"), F.expr(same_keys("p", "o", keys)))
     return joined.selectExpr(
         *[f"p.{name(c)}" for c in df.columns], f"cast(p._place - o._start + o._before + 1 as int) as {name(into)}"
     )

@@ -9,8 +9,7 @@ from tidemark import fixed
 from tidemark.functions import metrics
 from tidemark.functions import scalars as fn
 from tidemark.functions.text import aliased, literal
-from tidemark.operators.ranking import MAX_GROUP_ROWS, rank_rows, top_one
-from tidemark.operators.sizing import broadcast_if_small
+from tidemark.operators.ranking import rank_rows, top_one
 
 
 def current(fact: DataFrame) -> DataFrame:
@@ -24,13 +23,13 @@ def available(fact: DataFrame) -> DataFrame:
     return current(fact).filter(" and ".join(conditions))
 
 
-def opportunities(fact: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def opportunities(fact: DataFrame) -> DataFrame:
     """Available offers ranked within their offer type; the row key breaks ties."""
     order = [
         "profit_per_tflop_business_high_usd desc", "reliability_score desc", "gpu_tdp_watts asc",
         "pcie_bandwidth_gbytes_per_sec desc", "gpu_bandwidth_gbytes_per_sec desc", "valid_from desc", "offer_id asc",
     ]
-    ranked = rank_rows(available(fact), ["offer_type"], order, "arbitrage_rank", max_group_rows)
+    ranked = rank_rows(available(fact), ["offer_type"], order, "arbitrage_rank")
     return ranked.select(
         *fixed.OPPORTUNITY_ATTRIBUTES,
         *metrics.scenario_names(metrics.PROFIT),
@@ -86,7 +85,7 @@ def trends(fact: DataFrame, schedule_dim: DataFrame, tz: str | None = None) -> D
         *fixed.TREND_KEYS, "revenue_usd_per_hr", *measured,
     )
     on = "day_of_week = s_day and hour_of_day = s_hour and _day >= s_from and _day < s_to"
-    labelled = timed.join(broadcast_if_small(hours), F.expr(on), "left")
+    labelled = timed.join(hours, F.expr(on), "left")
     stats = {"offer_count": "count(*)", "avg_revenue_usd_per_hr": "avg(revenue_usd_per_hr)"}
     for pattern in (metrics.PROFIT, metrics.PROFIT_PER_TFLOP):
         for stat in ("avg", "min", "max"):

@@ -7,14 +7,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions import scalars as fn
 from tidemark.functions.text import aliased, literal, literals, with_exprs
 from tidemark.operators.cleaning import cast_to_schema, deduplicate
-from tidemark.operators.incremental import watermark
+from tidemark.operators.incremental import highest
 from tidemark.plans import intermediate, staging, warehouse
 from tidemark.sources import lake as lk
 from tidemark.sources.landing import weekly_schedule
@@ -153,9 +153,16 @@ def _stamped(df: DataFrame) -> DataFrame:
     return with_exprs(df, {"ingested_at": stamp, "processed_at": stamp})
 
 
-def latest_poll(events: DataFrame) -> dt.datetime:
-    """Read from one event column, without building the offers."""
-    return watermark(polled_events(events), "ingested_at")
+def latest_poll(events: DataFrame) -> Column:
+    """The last hour with events, read from one event column without building the offers."""
+    return F.date_trunc("hour", highest(events, "ts").cast("timestamp"))
+
+
+def latest_ids(events: DataFrame) -> DataFrame:
+    """Ids of the last poll. The hour bounds the raw column, so that the scan can skip by its statistics."""
+    newest = highest(events, "ts")
+    recent = events.filter(F.col("ts") >= F.date_trunc("hour", newest).cast("timestamp_ntz"))
+    return recent.selectExpr("user_id as offer_id")
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +170,7 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     source = offers(spark, sf_dir, events)
     priced = warehouse.fact_offers(source, rates_dim(events), tiers_dim(spark))
-    return warehouse.close_single_load(priced, source, latest_poll(events))
+    return warehouse.close_single_load(priced, latest_poll(events), latest_ids(events))
 
 
 # ---------------------------------------------------------------- order-shaped tariffs

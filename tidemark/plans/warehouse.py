@@ -80,6 +80,6 @@ def fact_offers(
     )
 
 
-def close_single_load(fact: DataFrame, offers: DataFrame, latest: Any) -> DataFrame:
-    """The fact after one load: rows whose id the latest poll lacks are closed at that poll."""
-    return close_absent(fact, latest, offers.filter(F.col("valid_from") == F.lit(latest)).select("offer_id"))
+def close_single_load(fact: DataFrame, latest: Any, latest_ids: DataFrame) -> DataFrame:
+    """The fact after one load: rows whose ``offer_id`` the latest poll lacks are closed at that poll."""
+    return close_absent(fact, latest, latest_ids)

@@ -1,9 +1,19 @@
-"""The stored offers fact: day partitions, of which a load rewrites only those it changes."""
+"""The stored offers fact: day partitions, of which a load rewrites only those it changes.
+
+A load is safe to stop at any point. Its batch is written to ``<path>.batch`` first, then noted as begun in
+``<path>.loads``, then merged, and noted as done last. The watermark is that of the last load that is done, so a load that stopped
+halfway is found begun and is merged again from its own copy, whatever part of its days is already in place: rows
+above the watermark are left out and ends above it are taken back before the batch is replayed. Readers get the same view.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
+from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,22 +21,85 @@ from tidemark import fixed
 from tidemark.functions.text import literal, name, with_exprs
 from tidemark.operators.cleaning import deduplicate
 from tidemark.operators.incremental import append_evolving, close_by_replay, merge_upsert, watermark
-from tidemark.operators.sizing import broadcast_if_small
-from tidemark.sources.lake import read_table, write_table
+from tidemark.sources.lake import is_missing, read_table, write_table
 
 DAY = "valid_from_date"
 FOREVER = literal(fixed.OPEN_TIMESTAMP)
 CLUSTER = ("gpu_model_name", "offer_type")
 
 
+@dataclass(frozen=True)
+class Load:
+    """The state after the last note: ``done`` is the watermark of all finished loads, ``to`` that of a begun one."""
+
+    number: int
+    done: dt.datetime | None
+    to: dt.datetime | None
+
+
+_NOTE = "seq long, done timestamp, to timestamp"
+
+
+def _note(spark: SparkSession, path: str, seq: int, done: Any, to: Any) -> None:
+    """Begun and done alternate between two folders, so that a note cut short leaves the one before it readable."""
+    row = spark.createDataFrame([(seq, done, to)], _NOTE)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}.loads/{seq % 2}")
+
+
+def last_load(spark: SparkSession, path: str) -> Load:
+    notes = []
+    for slot in (0, 1):
+        try:
+            notes += spark.read.schema(_NOTE).parquet(f"{path.rstrip('/')}.loads/{slot}").collect()
+        except AnalysisException as error:
+            if not is_missing(error):
+                raise
+    if notes:
+        last = max(notes, key=lambda r: r.seq)
+        return Load((last.seq + 1) // 2, last.done, last.to)
+    # A table without notes was written as a whole: its highest day holds its watermark.
+    table = read_table(spark, path)
+    return Load(0, None if table is None else day_watermark(table), None)
+
+
+def day_watermark(table: DataFrame, column: str = "valid_from", day: str = DAY) -> Any:
+    """The highest value by the highest partition: no other day's data is read."""
+    newest = table.agg(F.max(day)).first()[0]
+    return None if newest is None else watermark(table.filter(F.col(day) == F.lit(newest)), column)
+
+
+def _as_of(table: DataFrame, load: Load) -> DataFrame:
+    """The table without traces of a begun load."""
+    if load.to is None:
+        return table
+    if load.done is None:
+        return table.filter("false")
+    done = literal(load.done)
+    known = table.filter(f"{DAY} <= cast({done} as date) and valid_from <= {done}")
+    return with_exprs(known, {"valid_to": f"case when valid_to > {done} then {FOREVER} else valid_to end"})
+
+
+def fact_watermark(spark: SparkSession, path: str) -> Any:
+    return last_load(spark, path).done
+
+
+def stored_fact(spark: SparkSession, path: str) -> DataFrame | None:
+    """The fact as of its last finished load, with its day column; None before the first one."""
+    table = read_table(spark, path)
+    if table is None:
+        return None
+    load = last_load(spark, path)
+    return None if load.done is None else _as_of(table, load)
+
+
 def read_fact(spark: SparkSession, path: str) -> DataFrame | None:
-    fact = read_table(spark, path)
+    fact = stored_fact(spark, path)
     return None if fact is None else fact.drop(DAY)
 
 
 def open_rows(spark: SparkSession, path: str) -> DataFrame | None:
     """Rows still open; file statistics on ``valid_to`` let the scan skip closed files."""
-    fact = read_table(spark, path)
+    fact = stored_fact(spark, path)
     return None if fact is None else fact.filter(f"valid_to = {FOREVER}")
 
 
@@ -36,65 +109,86 @@ def _write_days(fact: DataFrame, path: str) -> None:
     write_table(dated, path, partition_by=[DAY], cluster_by=cluster, only_partitions=True)
 
 
+def _copy_path(path: str, number: int) -> str:
+    return f"{path.rstrip('/')}.batch/{number % 2}"
+
+
 def apply_polls(spark: SparkSession, path: str, batch: DataFrame, key: str = "offer_id") -> int:
     """Add a batch of one or more whole polls, and close what each of them lacks.
 
     Same outcome as loading the polls one by one and calling ``close_absent`` after each, but
     in one pass: the batch is replayed together with one anchor row per id that is open at the
-    table's last poll. Rows at or below the table's watermark are left out, so a repeated
-    batch changes nothing. Returns the number of day partitions written.
+    last finished poll. Rows at or below the watermark are left out, so a repeated batch changes
+    nothing. A load that was begun and not finished is merged again first. Returns the number of
+    day partitions written.
+    """
+    load = last_load(spark, path)
+    written = 0
+    if load.to is not None:
+        written = _merge(spark, path, load, key)
+        load = last_load(spark, path)
+    fresh = batch.filter("valid_from is not null") if load.done is None else batch.filter(f"valid_from > {literal(load.done)}")
+    number = load.number + 1
+    write_table(fresh, _copy_path(path, number))
+    to = watermark(read_table(spark, _copy_path(path, number)), "valid_from")
+    if to is None:
+        return written
+    _note(spark, path, 2 * number, load.done, to)
+    return written + _merge(spark, path, Load(number, load.done, to), key)
+
+
+def _merge(spark: SparkSession, path: str, load: Load, key: str) -> int:
+    """Replay a begun load from its copy and note it as done.
 
     Only days with newly closed rows and days of the batch are rewritten. Their number is
     bounded by the calendar, which is all the driver sees.
     """
-    stored = read_table(spark, path)
-    last = watermark(stored, "valid_from")
-    fresh = batch if last is None else batch.filter(f"valid_from > {literal(last)}")
-    batch_days = fresh.selectExpr(f"cast(valid_from as date) as {DAY}").distinct()
-    days = {r[0] for r in batch_days.collect()}
-    if not days:
-        return 0
-    if last is None:
+    fresh, table = read_table(spark, _copy_path(path, load.number)), read_table(spark, path)
+    days = {r[0] for r in fresh.selectExpr(f"cast(valid_from as date) as {DAY}").distinct().collect()}
+    if load.done is None or table is None:
         _write_days(close_by_replay(fresh, key), path)
-        return len(days)
-
-    k, at_last = name(key), f"valid_from = {literal(last)}"
-    still_open = stored.filter(f"valid_to = {FOREVER}")
-    anchors = still_open.select(key).distinct().selectExpr(k, f"{literal(last)} as valid_from")
-    runs = append_evolving(fresh, anchors)
-    # The last stored poll is part of the sequence even if nothing of it is still open.
-    previous = spark.range(1).selectExpr(f"{literal(last)} as valid_from")
-    ends = close_by_replay(runs, key, polls=runs.select("valid_from").unionByName(previous))
-
-    closing = ends.filter(f"{at_last} and valid_to < {FOREVER}").selectExpr(f"{k} as _gone", "valid_to as _closed_at")
-    closing = broadcast_if_small(closing)
-    hit = still_open.join(closing, F.expr(f"{k} = _gone")).select(DAY).distinct()
-    days |= {r[0] for r in hit.collect()}
-    touched = stored.filter(F.col(DAY).isin(*days)).join(closing, F.expr(f"{k} = _gone"), "left")
-    closed_at = f"case when valid_to = {FOREVER} and _gone is not null then _closed_at else valid_to end"
-    kept = with_exprs(touched, {"valid_to": closed_at}).drop("_gone", "_closed_at")
-    added = with_exprs(ends.filter(f"valid_from > {literal(last)}"), {DAY: "cast(valid_from as date)"})
-    _write_days(append_evolving(kept, added), path)
+    else:
+        stored = _as_of(table, load)
+        k, last = name(key), literal(load.done)
+        still_open = stored.filter(f"valid_to = {FOREVER}")
+        anchors = still_open.select(key).distinct().selectExpr(k, f"{last} as valid_from")
+        runs = append_evolving(fresh, anchors)
+        # The last stored poll is part of the sequence even if nothing of it is still open.
+        previous = spark.range(1).selectExpr(f"{last} as valid_from")
+        ends = close_by_replay(runs, key, polls=runs.select("valid_from").unionByName(previous))
+
+        closing = ends.filter(f"valid_from = {last} and valid_to < {FOREVER}").selectExpr(f"{k} as _gone", "valid_to as _closed_at")
+        hit = still_open.join(closing, F.expr(f"{k} = _gone")).select(DAY).distinct()
+        days |= {r[0] for r in hit.collect()}
+        touched = stored.filter(F.col(DAY).isin(*days)).join(closing, F.expr(f"{k} = _gone"), "left")
+        closed_at = f"case when valid_to = {FOREVER} and _gone is not null then _closed_at else valid_to end"
+        kept = with_exprs(touched, {"valid_to": closed_at}).drop("_gone", "_closed_at")
+        added = with_exprs(ends.filter(f"valid_from > {last}"), {DAY: "cast(valid_from as date)"})
+        _write_days(append_evolving(kept, added), path)
+    _note(spark, path, 2 * load.number + 1, load.to, None)
     return len(days)
 
 
 def upsert_partitions(
-    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], partition_by: str, order_by: Sequence[str] = ()
+    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], partition_by: str, order_by: Sequence[str]
 ) -> int:
     """``merge_upsert`` into a stored table, rewriting only the partitions the batch falls in.
 
-    ``partition_by`` must be among ``keys``, so that a row and its replacement share a partition.
-    Returns the number of partitions written. Repeating a batch leaves the table as it is.
+    ``partition_by`` must be among ``keys``, so that a row and its replacement share a partition; a null
+    partition is one like any other. Returns the number of partitions written. Repeating a batch leaves the
+    table as it is, unless it has null keys, which match nothing.
     """
     if partition_by not in keys:
         raise ValueError(f"{partition_by} must be one of the merge keys")
-    touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
-    if not touched:
+    touched = batch.select(F.col(partition_by).alias("_touched")).distinct()
+    n = touched.count()
+    if not n:
         return 0
     stored = read_table(spark, path)
     if stored is None:
         merged = deduplicate(batch, keys, order_by)
     else:
-        merged = merge_upsert(stored.filter(F.col(partition_by).isin(*touched)), batch, keys, order_by)
+        rewritten = stored.join(touched, F.col(partition_by).eqNullSafe(F.col("_touched")), "left_semi")
+        merged = merge_upsert(rewritten, batch, keys, order_by)
     write_table(merged, path, partition_by=[partition_by], only_partitions=True)
-    return len(touched)
+    return n

@@ -48,7 +48,7 @@ class Lake:
         return f"{self.root.rstrip('/')}/published"
 
 
-def _missing(error: AnalysisException) -> bool:
+def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -61,7 +61,7 @@ def recorded_schema(spark: SparkSession, path: str) -> T.StructType | None:
     try:
         noted = spark.read.schema("value string").text(_schema_path(path), wholetext=True).first()
     except AnalysisException as error:
-        if _missing(error):
+        if is_missing(error):
             return None
         raise
     return None if noted is None else T.StructType.fromJson(json.loads(noted.value))
@@ -88,7 +88,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return reader.parquet(path)
     except AnalysisException as error:
-        if _missing(error):
+        if is_missing(error):
             return None
         raise
 

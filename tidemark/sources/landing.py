@@ -13,12 +13,17 @@ from tidemark.functions.text import aliased, computed_once, literal, literals, n
 # ----------------------------------------------------------------- offers
 
 
+#: Python's idea of white space in text, which the record model strips; more than ASCII blanks.
+BLANK = r"[\p{IsWhite_Space}\x1C-\x1F]*"
+
+
 def explode_offers(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per element of the payload's ``offers`` list, as text columns under table names.
 
     ``payloads`` carries ``offer_type`` and ``ingested_at`` beside the payload. A default
     applies only to an absent key: an explicit null stays null, so the keys are looked up,
-    but only for rows where the value is null.
+    but only for rows where the value is null. ``_not_text`` lists text columns whose value is
+    no JSON string.
     """
     keys = [key for key, _, _ in fixed.OFFER_FIELDS.values() if key]
     shape = literal(", ".join(f"{name(k)} string" for k in keys))
@@ -34,27 +39,57 @@ def explode_offers(payloads: DataFrame, payload: str = "payload") -> DataFrame:
         absent = f"{text} is null and not array_contains(json_object_keys(_offer), {literal(key)})"
         return f"case when {absent} then {literal(fixed.OFFER_KEY_DEFAULTS[key])} else {text} end"
 
+    texts = {c: key for c, (key, kind, _) in fixed.OFFER_FIELDS.items() if key and kind == T.StringType()}
+    bare = ", ".join(
+        rf"""case when _o.{name(key)} is not null and not _offer rlike r'(?<!\\)"{key}"\s*:\s*"' then {literal(c)} end"""
+        for c, key in texts.items()
+    )
     return parsed.selectExpr(
-        "ingested_at", *aliased({c: value(key) if key else name(c) for c, (key, _, _) in fixed.OFFER_FIELDS.items()})
+        "ingested_at", *aliased({c: value(key) if key else name(c) for c, (key, _, _) in fixed.OFFER_FIELDS.items()}),
+        f"array_compact(array({bare})) as _not_text",
     )
 
 
+def unreadable_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """Payloads that hold no list of offers, with the rule they fail."""
+    listed = f"from_json({name(payload)}, 'offers array<string>').offers"
+    rule = f"case when json_object_keys({name(payload)}) is null then 'payload:json' else 'payload:offers' end"
+    missing = payloads.filter(f"{listed} is null")
+    return missing.selectExpr("ingested_at", "offer_type", name(payload), f"{rule} as failed_rules")
+
+
 def blank_text_to_null(df: DataFrame) -> DataFrame:
     """Whitespace-only text to null in every string column; other text stays as it is."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return computed_once(df, {c: rf"case when {name(c)} rlike r'\S' then {name(c)} end" for c in texts})
+    return computed_once(df, {c: rf"case when not {name(c)} rlike r'^{BLANK}$' then {name(c)} end" for c in texts})
+
+
+def coerced(column: str, kind: T.DataType) -> str:
+    """``column``, a text, as ``kind`` by the record model's rules, else null: whole floats are ints, on and off are booleans."""
+    text = rf"regexp_replace({name(column)}, r'^{BLANK}|{BLANK}$', '')"
+    if isinstance(kind, (T.LongType, T.IntegerType)):
+        text = rf"regexp_replace({text}, r'\.0*$', '')"
+    elif isinstance(kind, T.BooleanType):
+        text = f"case lower({text}) when 'on' then 'true' when 'off' then 'false' else {text} end"
+    elif isinstance(kind, T.StringType):
+        return name(column)
+    return f"try_cast({text} as {kind.simpleString()})"
 
 
 def validate(
-    df: DataFrame, types: Mapping[str, T.DataType], required: Sequence[str], accepted: Mapping[str, Sequence[str]]
+    df: DataFrame, types: Mapping[str, T.DataType], required: Sequence[str], accepted: Mapping[str, Sequence[str]],
+    wrong_type: Mapping[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Typed rows that pass, and raw rows that fail with ``failed_rules`` naming each reason."""
-    typed = {c: f"try_cast({name(c)} as {kind.simpleString()})" for c, kind in types.items()}
+    """Typed rows that pass, and raw rows that fail with ``failed_rules`` naming each reason.
+
+    ``wrong_type`` gives conditions under which a column's value is of the wrong type although it can be read.
+    """
+    typed, wrong = {c: coerced(c, kind) for c, kind in types.items()}, wrong_type or {}
     rules = {f"{c}:required": f"{name(c)} is null" for c in required}
     rules |= {
-        f"{c}:type": f"{name(c)} is not null and {cast} is null"
+        f"{c}:type": wrong.get(c, f"{name(c)} is not null and {cast} is null")
         for c, cast in typed.items()
-        if types[c] != T.StringType()
+        if c in wrong or types[c] != T.StringType()
     }
     rules |= {f"{c}:enum": f"{name(c)} not in ({literals(values)})" for c, values in accepted.items()}
     reasons = ", ".join(f"case when {cond} then {literal(rule)} end" for rule, cond in rules.items())
@@ -64,12 +99,18 @@ def validate(
 
 
 def land_offers(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Offers payloads to (bronze rows, rejects). Whole numbers land as long, measures as double."""
+    """Offers payloads to (bronze rows, rejects). Whole numbers land as long, measures as double.
+
+    Rejects are raw offers, and whole payloads that hold no list of offers.
+    """
     widened = {T.IntegerType(): T.LongType(), T.FloatType(): T.DoubleType()}
     types = {c: widened.get(kind, kind) for c, (_, kind, _) in fixed.OFFER_FIELDS.items()}
     required = [c for c, (_, _, needed) in fixed.OFFER_FIELDS.items() if needed]
     accepted = {"offer_type": fixed.OFFER_TYPES, "verification_flag": fixed.VERIFICATION_FLAGS}
-    return validate(blank_text_to_null(explode_offers(payloads)), types, required, accepted)
+    bare = {c: f"array_contains(_not_text, {literal(c)})" for c, (key, _, _) in fixed.OFFER_FIELDS.items() if key and types[c] == T.StringType()}
+    valid, rejects = validate(blank_text_to_null(explode_offers(payloads)), types, required, accepted, bare)
+    rejects = rejects.drop("_not_text").unionByName(unreadable_payloads(payloads), allowMissingColumns=True)
+    return valid.drop("_not_text"), rejects
 
 
 # ----------------------------------------------------------------- exchange rates

@@ -1,4 +1,4 @@
-"""Polls as a stream: each micro-batch is merged into the stored fact, late rows are kept aside."""
+"""Polls as a stream: each micro-batch is merged into the stored fact, every row left out is kept aside."""
 
 from __future__ import annotations
 
@@ -8,20 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.functions.text import literal
-from tidemark.operators.cleaning import deduplicate
-from tidemark.operators.incremental import late_rows
-from tidemark.sources.fact_store import DAY, apply_polls
-from tidemark.sources.lake import read_table, write_table
+from tidemark.functions.text import literal, names, with_exprs
+from tidemark.sources.fact_store import DAY, apply_polls, fact_watermark, stored_fact
+from tidemark.sources.lake import write_table
 
 
-def poll_stream(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*", files_per_batch: int | None = None) -> DataFrame:
-    """Parquet files of a folder as a stream. A poll must not be split over micro-batches:
+def poll_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
+    """The Parquet files under a folder as a stream. A poll must not be split over micro-batches:
     land one file per poll, or leave ``files_per_batch`` unset."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def poll_merger(
@@ -30,24 +28,31 @@ def poll_merger(
     """A ``foreachBatch`` sink. ``shape`` turns landed rows into fact rows with ``offer_id`` and
     ``valid_from``; of rows with equal keys the lowest by ``tie`` stays.
 
-    A micro-batch that runs again after a failure finds its rows at the watermark and adds
-    nothing. The late rows of a batch are a partition of their own, so they are not doubled either.
+    What does not enter the fact goes to the reject table with its ``reason``: ``no key``, ``double`` of a row of its
+    batch, or ``late``, at or below the watermark. A micro-batch that runs again after a failure adds nothing to the
+    fact, and its rejects replace those of its first run, as they are a partition of their own.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = deduplicate(shape(batch), ["offer_id", "valid_from"], tie)
-        stored = read_table(spark, fact_path)
-        if stored is not None:
-            late = late_rows(rows, stored, "valid_from")
-            first = late.selectExpr("min(valid_from)").first()[0]
-            if first is not None:
-                # On a rerun the batch's own rows are stored already; only those days are looked at.
-                known = stored.filter(f"{DAY} >= cast({literal(first)} as date)").select("offer_id", "valid_from")
-                unseen = late.join(known, ["offer_id", "valid_from"], "left_anti")
-                labelled = unseen.selectExpr("*", f"{batch_id}L as batch")
-                write_table(labelled, reject_path, partition_by=["batch"], only_partitions=True)
-        apply_polls(spark, fact_path, rows)
+        # Before the watermark is read, so that a load that stopped halfway is finished first.
+        apply_polls(spark, fact_path, shape(batch).filter("false"))
+        high = fact_watermark(spark, fact_path)
+        place = f"row_number() over (partition by offer_id, valid_from order by {names(tie)})"
+        keyed = with_exprs(shape(batch).filter("offer_id is not null and valid_from is not null"), {"_place": place})
+        first = keyed.filter("_place = 1").drop("_place")
+        rejects = shape(batch).filter("offer_id is null or valid_from is null").selectExpr("*", "'no key' as reason")
+        rejects = rejects.unionByName(keyed.filter("_place > 1").drop("_place").selectExpr("*", "'double' as reason"))
+        if high is not None:
+            late = first.filter(f"valid_from <= {literal(high)}")
+            # On a rerun the batch's own rows are stored already; only the late rows' days are looked at.
+            days = late.selectExpr(f"cast(valid_from as date) as {DAY}").distinct()
+            known = stored_fact(spark, fact_path).join(days, DAY, "left_semi").select("offer_id", "valid_from", *tie)
+            unseen = late.join(known, ["offer_id", "valid_from", *tie], "left_anti").select(*late.columns)
+            rejects = rejects.unionByName(unseen.selectExpr("*", "'late' as reason"))
+        labelled = rejects.selectExpr("*", f"{batch_id}L as batch")
+        write_table(labelled, reject_path, partition_by=["batch"], only_partitions=True)
+        apply_polls(spark, fact_path, first)
 
     return merge
 
