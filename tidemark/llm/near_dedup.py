@@ -186,9 +186,8 @@ def near_links(docs: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame]
     )
     wanted = members.select(F.col("node").alias("member")).distinct()
     sets = stored(_full_sets(docs, reps.join(wanted, F.col("node") == F.col("member"))), "shingle-sets")
-    sizes = reps.select(F.col("node").alias("of"), F.col("n").alias("first_n"))
-    pairs = members.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"), "n").distinct()
-    pairs = pairs.join(sizes, F.col("a") == F.col("of")).filter(_sizes_allow("n", "first_n")).select("a", "b")
+    # A group of near copies shares its first member, so nothing but the join below stands on that key: it can be split.
+    pairs = members.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     tested = stored(_agreeing(pairs, reps), "near-pairs")
     links = stored(_confirmed(tested, sets), "near-links")
     open_ = _open_members(members, links)
