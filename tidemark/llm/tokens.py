@@ -1,8 +1,9 @@
 """Token ids of whole texts by a public tokenizer, with a bounded cache of words.
 
 The tokenizer's byte-level pattern never joins text across a single space with other characters on both sides, so a
-text falls into words there, and each distinct word is encoded once per worker. Texts with other runs of white space
-are cut at such spaces only. The ids are those of the whole text.
+text falls into words there. It also parts letters from punctuation behind them. Each distinct run of letters, and
+each tail of punctuation, is encoded once per worker, many at a time; words of any other form are encoded as they
+are. Texts with other runs of white space are cut at such spaces only. The ids are those of the whole text.
 """
 
 from __future__ import annotations
@@ -12,11 +13,17 @@ import re
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
+
 ID_BYTES = 4
+#: How byte-level vocabularies write a space.
+SPACE = "\u0120"
 #: Entries and characters a worker's cache may hold; beyond, it starts anew.
-CACHE_WORDS, CACHE_CHARS = 300_000, 6_000_000
+CACHE_WORDS, CACHE_CHARS = 1_000_000, 20_000_000
 _UNEVEN = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Neither white space nor letter nor digit, and no apostrophe, which may begin a contraction.
+_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -35,23 +42,61 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._after_space: dict[str, bytes] = {}
         self._chars = 0
+        size = self._tokenizer.get_vocab_size()
+        self._with_space = np.array([(self._tokenizer.id_to_token(i) or "").startswith(SPACE) for i in range(size)])
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        encodings = self._tokenizer.encode_batch(texts, add_special_tokens=False)
+        encodings = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in encodings]
 
+    def _letters(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of runs of letters after a space. Each is one piece of the tokenizer's own pattern, so they go as one text,
+        in which the ids that begin with a space begin a word."""
+        flat = array("I", self._tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids)
+        starts = np.flatnonzero(self._with_space[np.frombuffer(flat, np.uint32)]).tolist()
+        if len(starts) != len(words):
+            return dict(zip(words, self._ids([" " + w for w in words]), strict=True))
+        ids = flat.tobytes()
+        return {w: ids[ID_BYTES * a : ID_BYTES * b] for w, a, b in zip(words, starts, [*starts[1:], len(flat)], strict=True)}
+
+    def _learn(self, words: set[str]) -> None:
+        known, plain, tailed, other = self._after_space, set(), [], []
+        for w in words:
+            letters = w.rstrip(_TAIL)
+            if not letters.isalpha():
+                other.append(w)
+                continue
+            if letters not in known:
+                plain.add(letters)
+            if len(letters) < len(w):
+                tailed.append((w, letters, w[len(letters) :]))
+        if plain:
+            known.update(self._letters(list(plain)))
+        tails = list({t for *_, t in tailed})
+        behind = dict(zip(tails, self._ids(tails), strict=True))
+        known.update((w, known[letters] + behind[t]) for w, letters, t in tailed)
+        known.update(zip(other, self._ids([" " + w for w in other]), strict=True))
+        self._chars += sum(map(len, words)) + sum(map(len, plain))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. ``texts`` should be a bounded batch."""
-        split = [(_CUT.split(t) if _UNEVEN.search(t) else t.split(" ")) for t in texts]
-        firsts = self._ids([words[0] for words in split])
         if len(self._after_space) > CACHE_WORDS or self._chars > CACHE_CHARS:
             self._after_space, self._chars = {}, 0
-        known = self._after_space
-        new = list({w for words in split for w in words[1:] if w not in known})
-        known.update(zip(new, self._ids([" " + w for w in new]), strict=True))
-        self._chars += sum(map(len, new))
-        look = known.__getitem__
-        return [b"".join((first, *map(look, words[1:]))) for first, words in zip(firsts, split, strict=True)]
+        split = [(_CUT.split(t) if _UNEVEN.search(t) else t.split(" ")) for t in texts]
+        firsts = self._ids([words[0] for words in split])
+        look = self._after_space.get
+        found = [list(map(look, words)) for words in split]
+        missing = {w for words, ids in zip(split, found, strict=True) for w, i in zip(words[1:], ids[1:], strict=True) if i is None}
+        if missing:
+            self._learn(missing)
+            look = self._after_space.__getitem__
+        out = []
+        for first, words, ids in zip(firsts, split, found, strict=True):
+            ids[0] = first
+            if None in ids:
+                ids[1:] = map(look, words[1:])
+            out.append(b"".join(ids))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
