@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from catalog.queries import INTERVAL_CHECKS
+from catalog import queries
 from tidemark import fixed
 from tidemark.functions import metrics
-from tidemark.operators.quality import Checks
-from tidemark.plans import checks, standin
+from tidemark.plans import standin
 
 OPEN_TS, OPEN_DAY = "TIMESTAMP '9999-12-31'", "DATE '9999-12-31'"
 SCENARIOS = list(fixed.SCENARIOS)
@@ -25,6 +24,11 @@ def chain(ctes: dict[str, str], final: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({body})" for n, body in ctes.items()) + "\n" + final
 
 
+def skey(*parts: str) -> str:
+    marked = " || '-' || ".join(f"coalesce(CAST({p} AS VARCHAR), '_dbt_utils_surrogate_key_null_')" for p in parts)
+    return f"md5({marked})"
+
+
 # ----------------------------------------------------------------- cleaning and typing
 
 ORACLES["clean_strip_non_ascii"] = (
@@ -122,7 +126,8 @@ RATES = {
     " WHERE value <> prev OR prev IS NULL",
     "rates": "SELECT 'USD' AS from_currency, 'MKD' AS to_currency, value, 1.0 / nullif(value, 0) AS inverse_value,"
     f" day AS valid_from, coalesce(CAST(lead(day) OVER (ORDER BY day) - INTERVAL 1 DAY AS DATE), {OPEN_DAY}) AS valid_to,"
-    " lead(day) OVER (ORDER BY day) IS NULL AS is_latest FROM changed",
+    " lead(day) OVER (ORDER BY day) IS NULL AS is_latest, "
+    + skey("'USD'", "'MKD'", "value", "CAST(day AS TIMESTAMP)") + " AS skey FROM changed",
 }
 
 
@@ -143,7 +148,7 @@ def _priced_columns() -> str:
         for s, code in fixed.SCENARIOS.items()
     ]
     return (
-        f"o.*, r.value IS NOT NULL AS exchange_rate_skey, r.value AS usd_to_mkd_rate, {kwh} AS total_system_kwh_per_hr,"
+        f"o.*, r.skey AS exchange_rate_skey, r.value AS usd_to_mkd_rate, {kwh} AS total_system_kwh_per_hr,"
         f" ({kwh}) / nullif(total_system_tflops, 0) AS kwh_per_tflop,"
         f" total_price_usd_per_hr AS revenue_usd_per_hr, {', '.join(cost)}"
     )
@@ -272,11 +277,6 @@ ORACLES["scalar_translate"] = chain(
 )
 
 
-def skey(*parts: str) -> str:
-    marked = " || '-' || ".join(f"coalesce(CAST({p} AS VARCHAR), '_dbt_utils_surrogate_key_null_')" for p in parts)
-    return f"md5({marked})"
-
-
 ORACLES["surrogate_key"] = (
     f"SELECT {_LINE}, "
     + skey("l_orderkey", "l_linenumber", "(CASE l_linenumber WHEN 3 THEN NULL WHEN 4 THEN '' ELSE l_returnflag END)")
@@ -397,6 +397,34 @@ ORACLES["tariff_pivot"] = chain(HISTORY, f"SELECT valid_from, valid_to, {_PIVOT}
 
 ORACLES["offers_enriched"] = chain(OFFERS, "SELECT * FROM offers")
 ORACLES["fact_offers"] = chain(FACT, f"SELECT {', '.join(_FACT_COLUMNS)} FROM fact")
+
+
+def staggered(gap: int, by_span: bool) -> str:
+    """Tariffs whose second versions start three days apart, as rows of each one's interval or as spans between changes."""
+    second = standin.TIER_VERSIONS[1]
+    parts = []
+    for i, code in enumerate(fixed.TARIFF_CODES.values()):
+        before, after = standin.TIER_PRICES[code]
+        start = f"CAST(DATE '{second}' + INTERVAL {3 * i} DAY AS DATE)"
+        parts.append(
+            f"SELECT '{code}' AS code, CAST({before} AS DOUBLE) AS price, DATE '{standin.TIER_VERSIONS[0]}' AS lo,"
+            f" CAST({start} - INTERVAL {gap} DAY AS DATE) AS hi UNION ALL SELECT '{code}', CAST({after} AS DOUBLE), {start}, {OPEN_DAY}"
+        )
+    prices = ", ".join(f"max(price) FILTER (WHERE code = '{c}') AS {c}" for c in fixed.TARIFF_CODES.values())
+    versions = " UNION ALL ".join(parts)
+    if not by_span:
+        return f"SELECT lo AS tier_from, hi AS tier_to, {prices} FROM ({versions}) GROUP BY lo, hi"
+    spans = f"SELECT lo AS f, lead(lo, 1, {OPEN_DAY}) OVER (ORDER BY lo) AS t FROM (SELECT DISTINCT lo FROM ({versions}))"
+    return f"SELECT f AS tier_from, t AS tier_to, {prices} FROM ({spans}) JOIN ({versions}) ON lo <= f AND f < hi GROUP BY f, t"
+
+
+_COSTS = ", ".join(metrics.COST.format(s) for s in SCENARIOS)
+ORACLES["fact_tiers_by_row"] = chain(FACT | {"tiers": staggered(1, False)}, f"SELECT offer_id, valid_from, {_COSTS} FROM fact")
+ORACLES["fact_tiers_by_span"] = chain(FACT | {"tiers": staggered(0, True)}, f"SELECT offer_id, valid_from, {_COSTS} FROM fact")
+ORACLES["calendar_hours"] = (
+    "SELECT d AS day_of_week, h AS hour, count(ts) AS events FROM (SELECT unnest(range(1, 8)) AS d), (SELECT unnest(range(24)) AS h)"
+    " LEFT JOIN events ON isodow(ts) = d AND hour(ts) = h AND h % 5 <> 0 GROUP BY d, h"
+)
 ORACLES["close_absent"] = chain(
     POLLED | {"last_poll": "SELECT max(ingested_at) AS latest FROM polled"},
     "SELECT user_id AS offer_id, ingested_at AS valid_from, CASE WHEN user_id IN (SELECT user_id FROM polled, last_poll"
@@ -450,6 +478,24 @@ ORACLES["schema_append"] = (
     f" CASE WHEN ts >= {_CUT} THEN event_type END AS event_type FROM events"
 )
 
+_POLL_TIMES = " UNION ALL ".join(f"SELECT {i} AS p, TIMESTAMP '{t}' AS polled" for i, t in enumerate(queries._FLOW_POLLS))
+ORACLES["dataset_flow"] = chain(
+    {
+        "times": _POLL_TIMES,
+        "sent": "SELECT DISTINCT event_id % 2 AS p, user_id AS id FROM events",
+        "seen": "SELECT p, id, polled FROM sent JOIN times USING (p) WHERE id % 11 <> 0",
+        "open": "SELECT s.* FROM seen AS s WHERE (SELECT count(*) FROM seen AS t WHERE t.id = s.id AND t.p >= s.p) = 2 - s.p",
+    },
+    "SELECT 'published' AS item, unnest(['exchange_rates', 'electricity_tariff_tiers', 'electricity_tariff_schedule', 'compute_offers', 'marts'])"
+    " AS label, CAST(unnest([1, 1, 1, 3, 4]) AS BIGINT) AS n"
+    " UNION ALL SELECT 'fact day', CAST(CAST(polled AS DATE) AS VARCHAR), count(*) FROM seen GROUP BY 2"
+    " UNION ALL SELECT 'fact open', '', count(*) FROM open"
+    " UNION ALL SELECT 'silver poll', strftime(polled, '%Y%m%d%H%M%S'), count(*) FROM seen GROUP BY 2"
+    " UNION ALL SELECT 'reject', 'verification_flag:enum', count(*) FROM sent WHERE id % 11 = 0"
+    " UNION ALL SELECT 'opportunities', '', count(*) FROM open WHERE id % 2 = 1"
+    " UNION ALL SELECT 'trend day', CAST(CAST(polled AS DATE) AS VARCHAR), count(DISTINCT (polled, id % 7)) FROM seen GROUP BY 2",
+)
+
 # ----------------------------------------------------------------- marts
 
 AVAILABLE = FACT | {
@@ -507,7 +553,8 @@ ORACLES["mart_model_summary"] = chain(
     SUMMARY, f"SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in _MEANS)}) FROM summary"
 )
 
-_WEEK = " UNION ALL ".join(
+_FIRST, _CHANGE = (f"DATE '{d}'" for d in (standin.SCHEDULE_FROM, standin.SCHEDULE_CHANGE))
+_HOURS = " UNION ALL ".join(
     f"SELECT unnest(range({days.start}, {days.stop})) AS s_day, {start} AS s_start, {end} AS s_end, {q(kind)} AS kind"
     for days, start, end, kind in fixed.WEEKLY_SCHEDULE
 )
@@ -517,19 +564,39 @@ _STATS = [
     for stat in ("avg", "min", "max")
     for c in [p.format(s) for s in SCENARIOS]
 ]
-TRENDS = FACT | {
-    "week": _WEEK,
-    "trends": "SELECT date_trunc('hour', valid_from) AS hour_bucket, CAST(isodow(valid_from) AS BIGINT) AS day_of_week,"
-    " CAST(hour(valid_from) AS BIGINT) AS hour_of_day, kind AS tariff_window, "
-    + ", ".join(fixed.TREND_KEYS)
-    + ", count(*) AS offer_count, avg(revenue_usd_per_hr) AS avg_revenue_usd_per_hr, " + ", ".join(_STATS)
-    + " FROM fact LEFT JOIN week ON isodow(valid_from) = s_day AND hour(valid_from) >= s_start"
-    f" AND hour(valid_from) < s_end AND CAST(valid_from AS DATE) >= DATE '{standin.SCHEDULE_FROM}' GROUP BY ALL",
-}
+_TREND_GROUP = [
+    {"offer_type": "offer_type", "gpu_model_name": "concat('M', offer_id % 2) AS gpu_model_name", "gpu_architecture": "'A' AS gpu_architecture"}.get(
+        c, f"CASE WHEN false THEN {c} END AS {c}"
+    )
+    for c in fixed.TREND_KEYS
+]
+
+
+def trends(local: str) -> dict[str, str]:
+    """``local`` is the time at which tariff hours are looked up."""
+    return FACT | {
+        "hours": _HOURS,
+        "week": f"SELECT s_day, s_start, s_end, kind, {_FIRST} AS s_from, CASE WHEN s_day < 7 THEN"
+        f" CAST({_CHANGE} - INTERVAL 1 DAY AS DATE) ELSE {OPEN_DAY} END AS s_to FROM hours UNION ALL"
+        " SELECT s_day, s_start, s_end, CASE WHEN s_day > 3 THEN kind WHEN kind = 'low' THEN 'high' ELSE 'low' END,"
+        f" {_CHANGE}, {OPEN_DAY} FROM hours WHERE s_day < 7",
+        "polled6": "SELECT * REPLACE (date_trunc('day', valid_from) + to_hours(CAST(floor(hour(valid_from) / 6) * 6 AS BIGINT))"
+        " AS valid_from) FROM fact",
+        "timed": f"SELECT *, {local} AS local FROM polled6",
+        "trends": "SELECT date_trunc('hour', valid_from) AS hour_bucket, CAST(isodow(local) AS BIGINT) AS day_of_week,"
+        " CAST(hour(local) AS BIGINT) AS hour_of_day, kind AS tariff_window, "
+        + ", ".join(_TREND_GROUP)
+        + ", count(*) AS offer_count, avg(revenue_usd_per_hr) AS avg_revenue_usd_per_hr, " + ", ".join(_STATS)
+        + " FROM timed LEFT JOIN week ON isodow(local) = s_day AND hour(local) >= s_start AND hour(local) < s_end"
+        " AND CAST(local AS DATE) >= s_from AND CAST(local AS DATE) < s_to GROUP BY ALL",
+    }
+
+
+TRENDS = trends("valid_from")
 _TREND_MEANS = ["avg_revenue_usd_per_hr", *[f"avg_{c}" for c in _BOTH]]
-ORACLES["mart_trends"] = chain(
-    TRENDS, f"SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in _TREND_MEANS)}) FROM trends"
-)
+_TREND_ROWS = f"SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in _TREND_MEANS)}) FROM trends"
+ORACLES["mart_trends"] = chain(TRENDS, _TREND_ROWS)
+ORACLES["mart_trends_local"] = chain(trends("valid_from + INTERVAL 1 HOUR"), _TREND_ROWS)
 
 _PROFIT = "profit_business_high_usd_per_hr"
 ORACLES["dash_rate_by_type"] = chain(
@@ -565,30 +632,85 @@ ORACLES["dash_live_count"] = chain(AVAILABLE, "SELECT count(*) AS live_offers FR
 # ----------------------------------------------------------------- data quality
 
 
-def report(table: str, source: str, declared: Checks, now: str) -> str:
-    """One SELECT per check, each scanning the table for itself."""
+def report(table: str, source: str, rules: list[tuple[str, str, str, str]], keys: list[tuple[str, list[str], bool]]) -> str:
+    """One SELECT per check, each scanning the table for itself. ``rules``: check, target, severity, failing condition."""
     row = "SELECT {} AS table_name, {} AS check_name, {} AS target, {} AS severity, count(*) AS failures FROM {}"
     parts = [
         row.format(q(table), q(check), q(target), q(severity), source) + f" WHERE {condition}"
-        for check, target, severity, condition in declared.row_rules(now)
+        for check, target, severity, condition in rules
     ]
-    for check, target, keys, skip_nulls in declared.key_rules():
-        there = f" WHERE {' AND '.join(f'{k} IS NOT NULL' for k in keys)}" if skip_nulls else ""
-        doubled = f"(SELECT 1 FROM {source}{there} GROUP BY {', '.join(keys)} HAVING count(*) > 1)"
-        parts.append(row.format(q(table), q(check), q(target), "'error'", doubled))
+    for check, columns, skip_nulls in keys:
+        there = f" WHERE {' AND '.join(f'{k} IS NOT NULL' for k in columns)}" if skip_nulls else ""
+        doubled = f"(SELECT 1 FROM {source}{there} GROUP BY {', '.join(columns)} HAVING count(*) > 1)"
+        parts.append(row.format(q(table), q(check), q(", ".join(columns)), "'error'", doubled))
     return " UNION ALL ".join(parts)
 
 
-_NOW = "TIMESTAMP '2025-01-01'"
+def absent(columns: str, severity: str = "error") -> list[tuple[str, str, str, str]]:
+    return [("not_null", c, severity, f"{c} IS NULL") for c in columns.split()]
+
+
+def low(columns: str, severity: str = "error", zero: bool = False) -> list[tuple[str, str, str, str]]:
+    """Below zero, or zero too unless that is allowed."""
+    return [("expression", f"{c} >= 0", severity, f"{c} < 0") if zero else ("expression", f"{c} > 0", severity, f"{c} <= 0") for c in columns.split()]
+
+
+_KEPT_IDS = "offer_id machine_id host_id"
+_KEPT_HOST = (
+    "gpu_architecture gpu_model_name number_of_gpus gpu_bandwidth_gbytes_per_sec cpu_architecture number_of_cpu_cores disk_space_gb"
+    " pcie_generation network_download_mbits_per_sec network_upload_mbits_per_sec reliability_score verification_flag rentable_flag rented_flag"
+)
+_KEPT_SOFT = "gpu_tdp_watts cpu_model_name disk_model_name pcie_bandwidth_gbytes_per_sec deep_learning_score"
+_SPEEDS = (
+    "gpu_bandwidth_gbytes_per_sec number_of_cpu_cores pcie_bandwidth_gbytes_per_sec network_download_mbits_per_sec network_upload_mbits_per_sec"
+)
+_UNSIGNED = (
+    "total_price_usd_per_hr deep_learning_score_per_usd minimum_bid_price_usd storage_cost_usd_per_hr"
+    " network_upload_cost_usd_per_gbit network_download_cost_usd_per_gbit"
+)
+_VERIFICATION = ("accepted_values", "verification_flag", "error", "verification_flag NOT IN ('verified', 'unverified', 'deverified')")
+_STAGED_RULES = [
+    *absent(f"{_KEPT_IDS} offer_type gpu_price_usd_per_hr {_UNSIGNED} {_KEPT_HOST} gpu_memory_mb gpu_tflops ram_mb ingested_at processed_at"),
+    *absent(f"{_KEPT_SOFT} cpu_clock_speed_ghz disk_bandwidth_mbytes_per_sec", "warn"),
+    ("accepted_values", "offer_type", "error", "offer_type NOT IN ('on_demand', 'bid', 'reserved')"), _VERIFICATION,
+    *low(f"{_UNSIGNED} reliability_score", zero=True),
+    ("expression", "gpu_price_usd_per_hr <= total_price_usd_per_hr", "error", "gpu_price_usd_per_hr > total_price_usd_per_hr"),
+    *low("number_of_gpus disk_space_gb pcie_generation gpu_memory_mb gpu_tflops"),
+    *low(f"{_SPEEDS} cpu_clock_speed_ghz ram_mb disk_bandwidth_mbytes_per_sec", "warn"),
+]
+_cost, _cost_per_tflop = (" ".join(p.format(s) for s in SCENARIOS) for p in ("cost_{}_usd_per_hr", "cost_per_tflop_{}_usd"))
+_FACT_RULES = [
+    *absent(f"{_KEPT_IDS} {_KEPT_HOST} gpu_memory_gb ram_gb deep_learning_score_per_usd gpu_price_usd_per_hr revenue_usd_per_hr"),
+    *absent(
+        f"{_KEPT_SOFT} country_code tflops_per_gpu disk_bandwidth_gbytes_per_sec total_system_kwh_per_hr total_system_tflops usd_to_mkd_rate {_cost}",
+        "warn",
+    ),
+    _VERIFICATION,
+    *low("number_of_gpus disk_space_gb pcie_generation gpu_memory_gb reliability_score"),
+    *low("ram_gb deep_learning_score_per_usd gpu_price_usd_per_hr revenue_usd_per_hr", zero=True),
+    *low(
+        f"{_SPEEDS} disk_bandwidth_gbytes_per_sec total_system_kwh_per_hr total_system_tflops kwh_per_tflop usd_to_mkd_rate {_cost} {_cost_per_tflop}",
+        "warn",
+    ),
+    ("expression", "country_code = upper(country_code)", "warn", "country_code <> upper(country_code)"),
+    ("expression", "valid_from < valid_to", "error", "valid_from >= valid_to"),
+]
 ORACLES["dq_report"] = chain(
     FACT,
-    report("stg_compute_offers", "staged", checks.ALL["stg_compute_offers"], _NOW)
-    + " UNION ALL " + report("fct_compute_offers", "fact", checks.ALL["fct_compute_offers"], _NOW),
+    report("stg_compute_offers", "staged", _STAGED_RULES, [("unique_keys", ["offer_id", "ingested_at"], False)])
+    + " UNION ALL " + report("fct_compute_offers", "fact", _FACT_RULES, [("unique_keys", ["offer_id", "valid_from"], False)]),
 )
 ORACLES["dq_duplicates"] = (
     "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"
 )
-ORACLES["dq_intervals"] = chain(HISTORY, report("tariff_history", "history", INTERVAL_CHECKS, _NOW))
+ORACLES["dq_intervals"] = chain(
+    HISTORY,
+    report(
+        "tariff_history", "history",
+        [*absent("tariff_type"), ("expression", "valid_from < valid_to", "error", "valid_from >= valid_to")],
+        [("unique", ["skey"], True), ("unique_keys", ["o_custkey", "tariff_description_mk", "valid_from"], False)],
+    ),
+)
 ORACLES["dq_hour_range"] = chain(
     {"ranges": HOURS["ranges"]},
     "SELECT 'order_schedule' AS table_name, 'singular' AS check_name, 'hour range' AS target, 'error' AS severity,"

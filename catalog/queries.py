@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import fixed
+from tidemark.functions import metrics
 from tidemark.functions import scalars as fn
 from tidemark.functions.text import literal, with_exprs
 from tidemark.operators import cleaning, incremental, intervals, quality, ranking
-from tidemark.plans import checks, dashboards, intermediate, marts, refine, staging, standin, warehouse
+from tidemark.plans import checks, dashboards, intermediate, jobs, marts, refine, staging, standin, warehouse
 from tidemark.session import scratch_path
 from tidemark.sources import fact_store, landing
 from tidemark.sources import lake as lk
@@ -372,7 +374,7 @@ def changes_only_rates(spark, sf):
 
 @register
 def scd2_rates(spark, sf):
-    return standin.rates_dim(standin.table(spark, sf, "events")).drop("skey")
+    return standin.rates_dim(standin.table(spark, sf, "events"))
 
 
 def _tariff_history(spark, sf) -> DataFrame:
@@ -416,6 +418,15 @@ def tariff_pivot(spark, sf):
     return warehouse.tiers_by_code(_tariff_history(spark, sf))
 
 
+@register
+def calendar_hours(spark, sf):
+    """Events per hour of the week, with the hours that have none."""
+    events = standin.table(spark, sf, "events").selectExpr(f"{fn.iso_weekday('ts')} as day_of_week", f"{fn.hour_of_day('ts')} as hour")
+    counted = events.filter("hour % 5 <> 0").groupBy("day_of_week", "hour").count()
+    joined = intervals.hourly_calendar(spark).join(counted, ["day_of_week", "hour"], "left")
+    return joined.selectExpr("day_of_week", "hour", "coalesce(count, 0L) as events")
+
+
 # ----------------------------------------------------------------- warehouse
 
 
@@ -424,14 +435,23 @@ def offers_enriched(spark, sf):
     return naive(standin.offers(spark, sf))
 
 
-def _without_key(fact: DataFrame) -> DataFrame:
-    """The key's text depends on how an engine prints a double, so only its presence is compared."""
-    return with_exprs(fact, {"exchange_rate_skey": "exchange_rate_skey is not null"})
+@register
+def fact_offers(spark, sf):
+    return naive(standin.fact(spark, sf))
+
+
+@register
+def fact_tiers_by_row(spark, sf):
+    """Tariffs that change on different days, each pivoted by its own interval: days with several rows double offers."""
+    fact = standin.fact(spark, sf, standin.tiers_dim(spark, stagger=3))
+    return naive(fact.select("offer_id", "valid_from", *metrics.scenario_names(metrics.COST)))
 
 
 @register
-def fact_offers(spark, sf):
-    return naive(_without_key(standin.fact(spark, sf)))
+def fact_tiers_by_span(spark, sf):
+    """The same tariffs, one complete row per span between any two changes, and no day uncovered."""
+    fact = standin.fact(spark, sf, standin.tiers_dim(spark, gap_days=0, stagger=3), tiers_per_span=True)
+    return naive(fact.select("offer_id", "valid_from", *metrics.scenario_names(metrics.COST)))
 
 
 @register
@@ -502,8 +522,14 @@ def mart_model_summary(spark, sf):
     return _rounded(naive(marts.model_summary(standin.fact(spark, sf))))
 
 
-def _trends(spark, sf) -> DataFrame:
-    return marts.trends(standin.fact(spark, sf), standin.schedule_dim(spark))
+def _trends(spark, sf, tz: str | None = None) -> DataFrame:
+    return marts.trends(standin.shared_offers(standin.fact(spark, sf)), standin.schedule_dim(spark), tz)
+
+
+@register
+def mart_trends_local(spark, sf):
+    """Tariff hours looked up in a zone one hour east."""
+    return _rounded(naive(_trends(spark, sf, "+01:00")))
 
 
 @register
@@ -631,6 +657,58 @@ def upsert_stored(spark, sf):
     return lk.read_table(spark, path)
 
 
+_FLOW_OFFER = {
+    "machine_id": "1", "host_id": "2", "discounted_dph_total": "0.75", "dph_base": "0.5", "min_bid": "0.1", "storage_total_cost": "0.01",
+    "inet_up_cost": "0.001", "inet_down_cost": "0.002", "dlperf_per_dphtotal": "9.5", "gpu_arch": "'nvidia'", "gpu_name": "concat('G', user_id % 7)",
+    "gpu_ram": "24564", "gpu_max_power": "450", "num_gpus": "2", "cuda_max_good": "12.4", "total_flops": "165.2", "gpu_mem_bw": "880.1",
+    "cpu_arch": "'amd64'", "cpu_name": "'CPU 64-Core Processor'", "cpu_cores_effective": "32.5", "cpu_ghz": "2.25", "cpu_ram": "128000",
+    "disk_name": "'nvme'", "disk_space": "100.5", "disk_bw": "3000", "pci_gen": "4", "pcie_bw": "22.1", "inet_down": "800", "inet_up": "400",
+    "reliability2": "0.99", "dlperf": "80.1", "geolocation": "'Skopje, MK'",
+    "verification": "case when user_id % 11 = 0 then 'unknown' else 'verified' end", "rentable": "true", "rented": "user_id % 2 = 0",
+}
+_FLOW_POLLS = ("2024-02-01 18:00:00", "2024-02-02 00:00:00")
+
+
+@register
+def dataset_flow(spark, sf):
+    """Payloads made of the events, landed and run poll by poll up to published marts: what each step has stored."""
+    lake = lk.Lake(scratch_path(spark, "lake"))
+    events = standin.table(spark, sf, "events")
+    # A rate that changes from one day to the next is valid for no day, which the checks refuse.
+    rates = events.filter("day(ts) % 3 = 0").groupBy(F.expr("cast(ts as date) as day")).agg(F.expr("round(avg(value)) + 1 as value")).selectExpr(
+        "concat('{\"conversion_rates\":{\"MKD\":', value, '},\"time_last_update_utc\":\"', date_format(day, 'EEE, dd MMM yyyy'), ' 00:00:00 +0000\"}') as payload",
+        "cast(day as timestamp) as ingested_at",
+    )
+    lines = "".join(f"<tr><td>{text}</td><td>{i + 1},5</td><td>-</td><td>01.01.2024</td></tr>" for i, text in enumerate(fixed.TARIFF_CODES))
+    first = events.groupBy().agg(F.expr("cast(min(ts) as timestamp) as ingested_at"))
+    jobs.run_dataset(spark, lake, lk.RATES, 1, payloads=rates)
+    jobs.run_dataset(spark, lake, lk.TIERS, 1, payloads=first.selectExpr("ingested_at", f"{literal(f'<table>{lines}</table>')} as html"))
+    jobs.run_dataset(spark, lake, lk.SCHEDULE, 1, payloads=first.selectExpr("ingested_at", f"{literal(fixed.SCHEDULE_PAGE_TEXT)} as text"))
+    structs = ", ".join(f"'{k}', {v}" for k, v in _FLOW_OFFER.items())
+    for i, poll in enumerate(_FLOW_POLLS):
+        seen = events.filter(f"event_id % 2 = {i}").select("user_id").distinct()
+        payloads = seen.selectExpr(
+            f"concat('{{\"offers\":[', to_json(named_struct('ask_contract_id', user_id, {structs})), ']}}') as payload", "'on_demand' as offer_type",
+            f"timestamp'{poll}' as ingested_at",
+        )
+        jobs.run_dataset(spark, lake, lk.OFFERS, 2 + i, payloads=payloads)
+    jobs.run_marts(spark, lake, 4)
+
+    def counted(df: DataFrame, item: str, label: str = "''") -> DataFrame:
+        return df.groupBy(F.expr(f"cast({label} as string) as label")).count().selectExpr(f"'{item}' as item", "label", "count as n")
+
+    fact = fact_store.stored_fact(spark, lake.model_path("fct_compute_offers"))
+    rejects = lk.read_table(spark, lake.reject_path(lk.OFFERS))
+    parts = [
+        spark.read.parquet(lake.marker_path()).selectExpr("'published' as item", "cast(name as string) as label", "version as n"),
+        counted(fact, "fact day", fact_store.DAY), counted(fact.filter(fn.is_open("valid_to")), "fact open"),
+        counted(spark.table(lk.OFFERS.name), "silver poll", lk.POLL), counted(rejects, "reject", "failed_rules"),
+        counted(spark.read.parquet(lake.model_path("mart_arbitrage_opportunities")), "opportunities"),
+        counted(spark.read.parquet(lake.model_path("mart_profitability_trends")), "trend day", "bucket_date"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ----------------------------------------------------------------- stream
 
 

@@ -86,7 +86,22 @@ def test_whole_flow(spark, lake):
     summary = spark.read.parquet(lake.model_path("mart_gpu_model_summary"))
     assert {r.gpu_model_name: r.total_offer_observations for r in summary.collect()} == {"GPU 0": 2, "GPU 1": 2}
     lk.register_views(spark, lake)
-    assert spark.sql("select count(*) from compute_offers").first()[0] == 2
+    assert spark.sql("select count(*) from compute_offers").first()[0] == 6  # both polls are kept
+
+
+def test_landing_in_the_run_keeps_rejects(spark, lake):
+    land_rest(spark, lake)
+    for dataset in (lk.RATES, lk.TIERS, lk.SCHEDULE):
+        jobs.run_dataset(spark, lake, dataset, 1)
+    for hour, payload in enumerate([json.dumps({"offers": [offer(1), offer(2, rented="perhaps")]}), "no json", json.dumps({"offers": [offer(3)]})]):
+        df = spark.createDataFrame([(payload, "bid", moment(f"2026-01-05T{hour:02d}:00:00"))], "payload string, offer_type string, ingested_at timestamp")
+        assert jobs.run_dataset(spark, lake, lk.OFFERS, 2 + hour, payloads=df).published
+    rejects = spark.read.parquet(lake.reject_path(lk.OFFERS))
+    assert sorted((r.offer_id or "", r.failed_rules) for r in rejects.collect()) == [("", "payload:json"), ("2", "rented_flag:type")]
+    assert read_fact(spark, lake.model_path("fct_compute_offers")).count() == 2
+    assert lk.published_versions(spark, lake)[lk.OFFERS.name] == 4
+    markers = spark.read.parquet(lake.marker_path())
+    assert markers.count() == len(lk.published_versions(spark, lake))
 
 
 def test_errors_stop_publishing(spark, lake):
@@ -112,7 +127,7 @@ def test_disabled_dataset_and_empty_batch(spark, lake):
     assert not off.run(spark, lake)
     assert refinement.run(spark, lake)
     path = lake.path("silver", lk.RATES)
-    assert spark.read.parquet(path).schema.names == fixed.RATES_SILVER.names
+    assert spark.read.parquet(path).schema.names == [*fixed.RATES_SILVER.names, lk.POLL]
     assert not lk.write_unless_empty(spark.read.parquet(path).filter("false"), path)
     assert spark.read.parquet(path).count() == 3
 

@@ -1,4 +1,4 @@
-"""End-to-end runs: one dataset from bronze to checked gold tables, and the marts over them."""
+"""End-to-end runs: one dataset from landed payloads to checked gold tables, and the marts over them."""
 
 from __future__ import annotations
 
@@ -6,16 +6,17 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions.text import with_exprs
 from tidemark.operators.cleaning import deduplicate
-from tidemark.operators.incremental import incremental_filter
 from tidemark.operators.quality import Checks, gate, run_checks, singular_check
 from tidemark.plans import checks as declared
 from tidemark.plans import intermediate, marts, staging, warehouse
 from tidemark.plans.refine import REFINEMENTS
 from tidemark.sources import lake as lk
-from tidemark.sources.fact_store import apply_polls, read_fact
+from tidemark.sources import landing
+from tidemark.sources.fact_store import DAY, apply_polls, fact_watermark, read_fact, stored_fact
 
 MARTS = "marts"
 # Mart -> how its files are laid out.
@@ -45,6 +46,23 @@ def check_tables(tables: dict[str, DataFrame], now: str = "current_timestamp()")
     return warnings
 
 
+LANDERS: dict[str, Callable[[DataFrame], tuple[DataFrame, DataFrame | None]]] = {
+    lk.OFFERS.name: landing.land_offers,
+    lk.RATES.name: landing.land_rates,
+    lk.TIERS.name: landing.land_tiers,
+    lk.SCHEDULE.name: lambda pages: (landing.land_schedule(pages), None),
+}
+
+
+def land(lake: lk.Lake, dataset: lk.Dataset, payloads: DataFrame) -> bool:
+    """Landed payloads to bronze; what is left out goes to the dataset's reject table, one partition per poll."""
+    valid, rejects = LANDERS[dataset.name](payloads)
+    if rejects is not None:
+        kept = with_exprs(rejects, {lk.POLL: lk.poll_label()})
+        lk.write_unless_empty(kept, lake.reject_path(dataset), partition_by=[lk.POLL], only_partitions=True)
+    return lk.write_unless_empty(valid, lake.path("bronze", dataset))
+
+
 def _load_staging(spark: SparkSession, lake: lk.Lake, dataset: lk.Dataset) -> DataFrame:
     """Add what is new. Rows above the watermark match no stored key, so merging them is appending."""
     path = lake.model_path(f"stg_{dataset.name}")
@@ -85,14 +103,23 @@ def _gold_schedule(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> dic
 
 
 def _gold_offers(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> dict[str, DataFrame]:
-    """Price only the polls the fact has not seen, then merge them and close absent offers."""
+    """Price only the polls the fact has not seen, then merge them and close absent offers.
+
+    Returned for the checks are the days from the last poll before this load on: older days change in
+    ``valid_to`` alone, and the keys hold the day, so their checks still stand.
+    """
     middle = intermediate.offers(staged)
     path = lake.model_path("fct_compute_offers")
-    new = incremental_filter(middle, read_fact(spark, path), "valid_from")
+    before = fact_watermark(spark, path)
+    new = middle if before is None else middle.filter(F.col("valid_from") > F.lit(before))
     rates = spark.read.parquet(lake.model_path("dim_exchange_rates"))
     tiers = spark.read.parquet(lake.model_path("dim_electricity_tariff_tiers"))
     apply_polls(spark, path, warehouse.fact_offers(new, rates, tiers))
-    return {"int_compute_offers": middle, "fct_compute_offers": read_fact(spark, path)}
+    fact = stored_fact(spark, path)
+    if before is not None:
+        first = F.to_date(F.lit(before))
+        middle, fact = middle.filter(F.to_date("valid_from") >= first), fact.filter(F.col(DAY) >= first)
+    return {"int_compute_offers": middle, "fct_compute_offers": fact.drop(DAY)}
 
 
 GOLD: dict[str, Callable[[SparkSession, lk.Lake, DataFrame], dict[str, DataFrame]]] = {
@@ -104,11 +131,15 @@ GOLD: dict[str, Callable[[SparkSession, lk.Lake, DataFrame], dict[str, DataFrame
 
 
 def run_dataset(
-    spark: SparkSession, lake: lk.Lake, dataset: lk.Dataset, version: int, clock: str = "current_timestamp()"
+    spark: SparkSession, lake: lk.Lake, dataset: lk.Dataset, version: int, clock: str = "current_timestamp()",
+    payloads: DataFrame | None = None,
 ) -> Run:
-    """Refine, load staging, build the dataset's gold tables, check, and publish if checks pass."""
+    """Land ``payloads`` if given, refine, load staging, build the dataset's gold tables, check, and publish if checks pass."""
+    if payloads is not None and dataset.enabled:
+        land(lake, dataset, payloads)
     if not REFINEMENTS[dataset.name].run(spark, lake, clock):
         return Run([], False)
+    lk.register_views(spark, lake, [dataset])
     staged = _load_staging(spark, lake, dataset)
     tables = {f"stg_{dataset.name}": staged, **GOLD[dataset.name](spark, lake, staged)}
     warnings = check_tables(tables)

@@ -29,13 +29,16 @@ def opportunities(fact: DataFrame) -> DataFrame:
         "profit_per_tflop_business_high_usd desc", "reliability_score desc", "gpu_tdp_watts asc",
         "pcie_bandwidth_gbytes_per_sec desc", "gpu_bandwidth_gbytes_per_sec desc", "valid_from desc", "offer_id asc",
     ]
-    ranked = rank_rows(available(fact), ["offer_type"], order, "arbitrage_rank")
-    return ranked.select(
+    shown = [
         *fixed.OPPORTUNITY_ATTRIBUTES,
         *metrics.scenario_names(metrics.PROFIT),
         *metrics.scenario_names(metrics.PROFIT_PER_TFLOP),
         "valid_from",
-    )
+    ]
+    # Ranking stores its rows, so only what is shown or ordered by goes in.
+    needed = dict.fromkeys([*shown, *[o.split()[0] for o in order]])
+    rows = available(fact).select(*[c for c in needed if c != "arbitrage_rank"])
+    return rank_rows(rows, ["offer_type"], order, "arbitrage_rank").select(*shown)
 
 
 def best_offers(fact: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark import fixed
+from tidemark.functions.text import with_exprs
 from tidemark.operators import cleaning as clean
 from tidemark.sources import lake as lk
 
@@ -27,11 +28,15 @@ class Refinement:
         return clean.cast_to_schema(clean.stamp_processed(cleaned, clock), self.schema)
 
     def run(self, spark: SparkSession, lake: lk.Lake, clock: str = "current_timestamp()") -> bool:
-        """Read bronze, clean, write silver. False when disabled, without bronze, or without rows."""
+        """Read bronze, clean, write silver. False when disabled, without bronze, or without rows.
+
+        Silver keeps every poll as a partition of its own, so a gold run that fails is made up for by the next one.
+        """
         bronze = lk.read_table(spark, lake.path("bronze", self.dataset)) if self.dataset.enabled else None
         if bronze is None:
             return False
-        return lk.write_unless_empty(self.transform(bronze, clock), lake.path("silver", self.dataset))
+        silver = with_exprs(self.transform(bronze, clock), {lk.POLL: lk.poll_label()})
+        return lk.write_unless_empty(silver, lake.path("silver", self.dataset), partition_by=[lk.POLL], only_partitions=True)
 
 
 def _unique(*keys: str) -> Step:

@@ -19,7 +19,7 @@ from tidemark.plans import intermediate, staging, warehouse
 from tidemark.sources import lake as lk
 from tidemark.sources.landing import weekly_schedule
 
-SCHEDULE_FROM = dt.date(2024, 1, 1)
+SCHEDULE_FROM, SCHEDULE_CHANGE = dt.date(2024, 1, 1), dt.date(2024, 1, 16)
 TIER_VERSIONS = (dt.date(2023, 12, 1), dt.date(2024, 1, 15))
 # Invented prices per tariff code, one per version above.
 TIER_PRICES = {
@@ -138,16 +138,36 @@ def tiers_silver(spark: SparkSession) -> DataFrame:
     return cast_to_schema(_stamped(frame), fixed.TIERS_SILVER)
 
 
-def tiers_dim(spark: SparkSession, gap_days: int = 1) -> DataFrame:
-    return warehouse.dim_tiers(intermediate.tiers(staging.stage(tiers_silver(spark), lk.TIERS.name)), gap_days)
+def tiers_dim(spark: SparkSession, gap_days: int = 1, stagger: int = 0) -> DataFrame:
+    """``stagger`` puts the tariffs' second versions that many days apart from each other."""
+    silver = tiers_silver(spark)
+    if stagger:
+        texts = literals(fixed.TARIFF_CODES)
+        days = f"(array_position(array({texts}), tariff_description) - 1) * {stagger}"
+        later = f"case when valid_from = {literal(TIER_VERSIONS[1])} then date_add(valid_from, cast({days} as int)) else valid_from end"
+        silver = with_exprs(silver, {"valid_from": later})
+    return warehouse.dim_tiers(intermediate.tiers(staging.stage(silver, lk.TIERS.name)), gap_days)
 
 
 def schedule_dim(spark: SparkSession) -> DataFrame:
-    weekly = with_exprs(weekly_schedule(spark), {"valid_from": literal(SCHEDULE_FROM)})
-    silver = cast_to_schema(_stamped(weekly), fixed.SCHEDULE_SILVER)
+    """Two versions: from the change on, the windows of Monday to Wednesday are swapped and Sunday is as before."""
+    first = with_exprs(weekly_schedule(spark), {"valid_from": literal(SCHEDULE_FROM)})
+    swapped = "case when day_of_week > 3 then tariff_type when tariff_type = 'low' then 'high' else 'low' end"
+    second = with_exprs(first.filter("day_of_week < 7"), {"tariff_type": swapped, "valid_from": literal(SCHEDULE_CHANGE)})
+    silver = cast_to_schema(_stamped(first.unionByName(second)), fixed.SCHEDULE_SILVER)
     return warehouse.dim_schedule(intermediate.schedule(staging.stage(silver, lk.SCHEDULE.name)))
 
 
+def shared_offers(fact: DataFrame) -> DataFrame:
+    """The fact with few variants, observed every six hours, so that many rows share a trend group."""
+    coarse = {c: f"cast(null as {kind})" for c, kind in fact.dtypes if c in fixed.TREND_KEYS}
+    coarse |= {
+        "offer_type": "offer_type", "gpu_model_name": "concat('M', offer_id % 2)", "gpu_architecture": "'A'",
+        "valid_from": "date_trunc('day', valid_from) + make_interval(0, 0, 0, 0, cast(floor(hour(valid_from) / 6) * 6 as int), 0, 0)",
+    }
+    return with_exprs(fact, coarse)
+
+
 def _stamped(df: DataFrame) -> DataFrame:
     stamp = "cast(valid_from as timestamp)"
     return with_exprs(df, {"ingested_at": stamp, "processed_at": stamp})
@@ -165,11 +185,11 @@ def latest_ids(events: DataFrame) -> DataFrame:
     return recent.selectExpr("user_id as offer_id")
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fact(spark: SparkSession, sf_dir: str, tiers: DataFrame | None = None, tiers_per_span: bool = False) -> DataFrame:
     """The offers fact after one full load: priced, with rows absent from the last poll closed."""
     events = table(spark, sf_dir, "events")
     source = offers(spark, sf_dir, events)
-    priced = warehouse.fact_offers(source, rates_dim(events), tiers_dim(spark))
+    priced = warehouse.fact_offers(source, rates_dim(events), tiers_dim(spark) if tiers is None else tiers, tiers_per_span=tiers_per_span)
     return warehouse.close_single_load(priced, latest_poll(events), latest_ids(events))
 
 

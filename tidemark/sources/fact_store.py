@@ -122,11 +122,8 @@ def apply_polls(spark: SparkSession, path: str, batch: DataFrame, key: str = "of
     nothing. A load that was begun and not finished is merged again first. Returns the number of
     day partitions written.
     """
+    written = finish_load(spark, path, key)
     load = last_load(spark, path)
-    written = 0
-    if load.to is not None:
-        written = _merge(spark, path, load, key)
-        load = last_load(spark, path)
     fresh = batch.filter("valid_from is not null") if load.done is None else batch.filter(f"valid_from > {literal(load.done)}")
     number = load.number + 1
     write_table(fresh, _copy_path(path, number))
@@ -137,6 +134,12 @@ def apply_polls(spark: SparkSession, path: str, batch: DataFrame, key: str = "of
     return written + _merge(spark, path, Load(number, load.done, to), key)
 
 
+def finish_load(spark: SparkSession, path: str, key: str = "offer_id") -> int:
+    """Merge a load that was begun and not finished, if there is one. Returns the number of day partitions written."""
+    load = last_load(spark, path)
+    return 0 if load.to is None else _merge(spark, path, load, key)
+
+
 def _merge(spark: SparkSession, path: str, load: Load, key: str) -> int:
     """Replay a begun load from its copy and note it as done.
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tidemark.functions.text import literal
 
 STAGES = ("bronze", "silver", "gold")
+POLL = "poll"
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,9 @@ class Lake:
             raise ValueError(f"unknown stage {stage}")
         return f"{self.root.rstrip('/')}/{stage}/{dataset.kind}/{dataset.name}"
 
+    def reject_path(self, dataset: Dataset) -> str:
+        return f"{self.path('bronze', dataset)}_rejects"
+
     def model_path(self, model: str) -> str:
         return self.path("gold", Dataset(model, "models"))
 
@@ -48,6 +52,11 @@ class Lake:
         return f"{self.root.rstrip('/')}/published"
 
 
+def poll_label(stamp: str = "ingested_at") -> str:
+    """The partition value of a poll, as SQL."""
+    return f"date_format({stamp}, 'yyyyMMddHHmmss')"
+
+
 def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -103,14 +112,14 @@ def write_table(
     columns, so that files hold narrow key ranges and their statistics let scans skip them.
     A day's rows are not forced into one task; each task sorts the partitions it holds.
     """
-    written = df.schema
+    # Noted first: a column without files reads as null, files without a noted column would hide it.
+    _note_schema(df.sparkSession, path, df.schema, replaced=mode == "overwrite" and not only_partitions)
     if cluster_by and not partition_by:
         df = df.repartitionByRange(*cluster_by)
     if cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if only_partitions else "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    _note_schema(df.sparkSession, path, written, replaced=mode == "overwrite" and not only_partitions)
 
 
 def write_unless_empty(df: DataFrame, path: str, **layout) -> bool:
@@ -128,9 +137,9 @@ def register_views(spark: SparkSession, lake: Lake, datasets: Sequence[Dataset]
 
 
 def publish(spark: SparkSession, lake: Lake, name: str, version: int) -> None:
-    """Record that ``name`` passed its checks as of ``version``."""
-    row = spark.range(1).select(F.lit(name).alias("name"), F.lit(version).cast("long").alias("version"))
-    row.coalesce(1).write.mode("append").parquet(lake.marker_path())
+    """Record that ``name`` passed its checks as of ``version``: one partition per name, replaced each time."""
+    row = spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(name).alias("name"))
+    write_table(row.coalesce(1), lake.marker_path(), partition_by=["name"], only_partitions=True)
 
 
 def published_versions(spark: SparkSession, lake: Lake) -> dict[str, int]:

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.functions.text import literal, names, with_exprs
-from tidemark.sources.fact_store import DAY, apply_polls, fact_watermark, stored_fact
+from tidemark.sources.fact_store import DAY, apply_polls, fact_watermark, finish_load, stored_fact
 from tidemark.sources.lake import write_table
 
 
@@ -35,8 +35,7 @@ def poll_merger(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # Before the watermark is read, so that a load that stopped halfway is finished first.
-        apply_polls(spark, fact_path, shape(batch).filter("false"))
+        finish_load(spark, fact_path)
         high = fact_watermark(spark, fact_path)
         place = f"row_number() over (partition by offer_id, valid_from order by {names(tie)})"
         keyed = with_exprs(shape(batch).filter("offer_id is not null and valid_from is not null"), {"_place": place})
