@@ -322,15 +322,14 @@ def test_chunks_cover_a_text_and_follow_its_content(head, n, tail):
 
 
 def test_shared_passages_share_chunks_and_clashes_start_anew(spark, monkeypatch):
-    first, second = documents(spark, [LONG, "Intro. " + LONG]), None
-    table = exact_dedup.recipes(first, b"k").filter("chunk is null").collect()
+    df = documents(spark, [LONG, "Intro. " + LONG])
+    table = exact_dedup.recipes(df, b"k").filter("chunk is null").collect()
     ids = [{r.recipe[i : i + 16] for i in range(0, len(r.recipe), 16)} for r in table]
     assert len(ids[0] & ids[1]) > 0.9 * len(ids[0])
     rounds = []
     real = exact_dedup.clashes
     monkeypatch.setattr(exact_dedup, "clashes", lambda t: (rounds.append(1), real(t))[1] if rounds else (rounds.append(0), 1)[1])
-    assert exact_dedup.exact_groups(first).filter("kept").count() == 2 and rounds == [0, 1]
-    del second
+    assert exact_dedup.exact_groups(df).filter("kept").count() == 2 and rounds == [0, 1]
 
 
 # ---------------------------------------------------------------- 8: neighbours

@@ -136,7 +136,7 @@ def verified_recipes(docs: DataFrame) -> DataFrame:
 def exact_groups(docs: DataFrame) -> DataFrame:
     """Every document with the row that stays for its text, and whether it is that row."""
     rows = verified_recipes(docs)
-    # Ids and rows are summed up apart from each other, in fixed-width buffers; the row breaks ties of the id.
+    # Rows that share text and id are summed up first; the row breaks ties of the id.
     same = rows.groupBy("recipe", "doc_id").agg(F.count("*").alias("n"), F.min("row").alias("row"))
     groups = same.groupBy("recipe").agg(
         F.sum("n").alias("n"), F.max("doc_id").alias("keep_id"), F.max(F.struct("doc_id", "row")).getField("row").alias("keep_row")
