@@ -192,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         half = (FIT_ROWS + CURVE_ROWS) // 2
         room = FIT_ROWS + CURVE_ROWS - min(half, other)
         wanted[label] = min(1.0, max(half, room) / own) if own else 0.0
-    rows = docs.join(known, F.col("doc_id") == F.col("labelled_id")).select(
+    rows = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("labelled_id")).select(
         F.col("text").cast("string").alias("text"), "label", F.xxhash64(F.lit(SEED), "doc_id").bitwiseAND(F.lit(2**31 - 1)).alias("place")
     )
     table = stored(_counted(rows, wanted), "quality-counts")

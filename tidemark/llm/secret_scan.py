@@ -171,12 +171,17 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     return keyed.select("doc_id", F.array_sort(F.concat(*found)).alias("spans"))
 
 
+def _is(kind: int):
+    return lambda k: (k == kind).cast("int")
+
+
 def secret_report(docs: DataFrame) -> DataFrame:
     """Counts per kind, all spans as text and their digest, for the base rules."""
     names = F.array(*[F.lit(r.kind) for r in RULES])
     listed = F.array_join(
         F.transform("spans", lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ","
     )
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{r.kind}") for i, r in enumerate(RULES)]
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [F.size(F.array_remove(F.transform(kinds, _is(i)), 0)).cast("long").alias(f"n_{r.kind}") for i, r in enumerate(RULES)]
     report = scan(docs).select("doc_id", *counts, listed.alias("spans"))
     return report.withColumn("base_sha256", F.sha2("spans", 256))
