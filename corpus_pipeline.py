@@ -1,17 +1,22 @@
 """The corpus pipeline: quality, exact and near duplicates, mixing and packing, each stage on what the last one kept.
 
 Stages are functions of ``(spark, docs, sf_dir)``. ``run`` writes each stage's rows as Parquet to the shared folder and
-reads them back for the next one.
+reads them back for the next one. As a stage's rows are written before the next stage begins, the tables that it made on
+the way are removed then.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import exact_dedup, mixing, near_dedup, packing, quality_model
-from tidemark.llm.base import stored
+from tidemark.llm.base import WRITTEN, discard, stored
+
+#: Tables of the stage before, by session.
+_SPENT: dict[str, list[str]] = {}
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +45,23 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _tidy(stage: Stage) -> Stage:
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        session = spark.sparkContext.applicationId
+        discard(spark, _SPENT.pop(session, []))
+        before = len(WRITTEN)
+        rows = stage(spark, docs, sf_dir)
+        _SPENT[session] = WRITTEN[before:]
+        return rows
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mixed), ("packing", packed),
+    ("quality", _tidy(quality)), ("exact_dedup", _tidy(exact)), ("near_dedup", _tidy(near)), ("mixing", _tidy(mixed)), ("packing", _tidy(packed)),
 ]
 
 #: Trained weights and seeded hashes have no SQL form; tests hold each stage against a plain version.
@@ -49,7 +69,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(spark, last)
+        last = WRITTEN[-1:]
     return docs

@@ -151,16 +151,21 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_distinct(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one per distinct text, with all their columns."""
-    groups = stored(exact_groups(docs).select("doc_id", "text_sha256", "kept"), "exact-groups")
-    keys = groups.groupBy(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).agg(
-        F.max("kept").alias("kept"), F.count("*").alias("copies")
-    )
-    kept = stored(keys.filter("kept").drop("kept"), "exact-kept")
-
-    def chosen(which: str) -> DataFrame:
-        match = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.sha2(whole_text(), 256) == F.col("kept_sha"))
-        return docs.join(kept.filter(which), match, "left_semi")
+    """The rows of ``docs`` that stay, one per distinct text, with all their columns.
 
+    Joined are the ids of dropped rows, which are fewer than those that stay. Only where an id stands on rows
+    of both kinds, or on several that stay, the text decides as well.
+    """
+    groups = stored(exact_groups(docs).select("doc_id", "text_sha256", "kept"), "exact-groups")
+    by_id = groups.groupBy(F.col("doc_id").alias("dropped_id")).agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    dropped = stored(by_id.filter("not kept").select("dropped_id"), "exact-dropped")
+    mixed = stored(by_id.filter("kept and rows > 1").select(F.col("dropped_id").alias("mixed_id")), "exact-mixed")
+    rest = docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("dropped_id")), "left_anti")
+    if mixed.isEmpty():
+        return rest
+    is_mixed = F.col("doc_id").eqNullSafe(F.col("mixed_id"))
+    keys = groups.filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct()
+    match = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.sha2(whole_text(), 256) == F.col("kept_sha"))
+    several = rest.join(mixed, is_mixed, "left_semi").join(keys, match, "left_semi")
     # Rows repeated with id and text are told apart by nothing that counts.
-    return chosen("copies = 1").unionByName(chosen("copies > 1").dropDuplicates(["doc_id", "text"]))
+    return rest.join(mixed, is_mixed, "left_anti").unionByName(several.dropDuplicates(["doc_id", "text"]))

@@ -245,6 +245,6 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_distinct(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: one id of each component."""
-    kept = stored(near_components(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct(), "near-kept")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    """The rows of ``docs`` that stay: one id of each component. Joined are the ids that go, which are fewer."""
+    dropped = stored(near_components(docs).filter("not kept").select(F.col("doc_id").alias("dropped_id")).distinct(), "near-dropped")
+    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("dropped_id")), "left_anti")
