@@ -5,9 +5,10 @@ that its shapes and repeated words make up, in steps. Class counts of every indi
 give log-count ratios; the indicators, scaled by these, feed a linear model with hinge loss, fitted by dual coordinate
 descent. A logistic curve, fitted on rows that the model has not seen, turns margins into scores.
 
-All counts cover all labelled rows. The model itself is fitted on at most ``FIT_ROWS`` and the curve on at most
-``CURVE_ROWS`` of them, the first by a seeded hash and as even between the classes as their numbers allow; the curve
-weighs the classes back to their share. What is collected is bounded by these and by ``FEATURES``.
+The classifier is fitted on a bounded sample of the labelled rows: at most ``FIT_ROWS`` for the class counts and the
+linear model and ``CURVE_ROWS`` for the curve, chosen from the labels alone by a seeded hash and as even between the classes
+as their numbers allow; the curve weighs the classes back to their share. So the labels that meet the documents are
+few enough to be broadcast, whatever the size of either table, and no text is shuffled.
 
 Defined cases: null and empty texts have no indicators and get the score of the intercept; rows with several labels
 count with each; rows without a label or with a null one are scored only; without rows of both classes every score is
@@ -151,62 +152,52 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.encode(F.col(doc_id).cast("string"), "utf-8")) % 5 == 0, F.lit(False))
 
 
-COUNTED = "feature int, good bigint, bad bigint, label int, place bigint, found binary"
+def _place() -> Column:
+    """Seeded order of labelled rows."""
+    return F.xxhash64(F.lit(SEED), "labelled_id")
 
 
-def _counted(labelled: DataFrame, share: dict[int, float]) -> DataFrame:
-    """Counts by class of each indicator per task, and the indicators of rows whose ``place`` is in their class's share."""
+def _sampled(known: DataFrame, n: dict[int, int]) -> DataFrame:
+    """At most ``FIT_ROWS + CURVE_ROWS`` of ``known(labelled_id, label)``, half of each class if there are as many."""
+    room = FIT_ROWS + CURVE_ROWS
+    parts = [
+        known.filter(F.col("label") == label).orderBy(_place(), "labelled_id").limit(max(room // 2, room - n.get(1 - label, 0)))
+        for label in (0, 1)
+    ]
+    return parts[0].unionByName(parts[1])
 
-    def count(batches: Iterator) -> Iterator:
+
+def _indicated(rows: DataFrame) -> DataFrame:
+    """``label``, ``place`` and the indicators of each row's text, as bytes."""
+
+    def indicate(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        types = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-        names = ["feature", "good", "bad", "label", "place", "found"]
-        totals = np.zeros((2, FEATURES), np.int64)
         for part, data, ends in wh.text_batches(batches):
-            labels, places = part.column("label").to_pylist(), part.column("place").to_pylist()
-            rows: list[tuple] = []
-            for label, place, found in zip(labels, places, indicators(data, ends), strict=True):
-                totals[label][found] += 1
-                if place < share[label] * 2**31:
-                    rows.append((label, place, found.astype("<i4").tobytes()))
-            none = [None] * len(rows)
-            columns = [none, none, none, *([r[i] for r in rows] for i in range(3))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
-        seen = np.flatnonzero(totals.sum(axis=0))
-        blank = [pa.nulls(len(seen), t) for t in types[3:]]
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(totals[1][seen]), pa.array(totals[0][seen]), *blank], names)
-
-    return labelled.mapInArrow(count, COUNTED)
+            found = pa.array([f.astype("<i4").tobytes() for f in indicators(data, ends)], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("label"), part.column("place"), found], ["label", "place", "found"])
+
+    return rows.mapInArrow(indicate, "label int, place bigint, found binary")
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model of the labelled rows of ``docs`` that are not held out."""
+    """The model of a bounded sample of the labelled rows of ``docs`` that are not held out."""
     known = labels.filter("quality is not null").filter(~held_out()).select(
         F.col("doc_id").alias("labelled_id"), (F.col("quality") > 0).cast("int").alias("label")
     )
     n = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     good, bad = n.get(1, 0), n.get(0, 0)
-    wanted = {}
-    for label, own, other in ((1, good, bad), (0, bad, good)):
-        half = (FIT_ROWS + CURVE_ROWS) // 2
-        room = FIT_ROWS + CURVE_ROWS - min(half, other)
-        wanted[label] = min(1.0, max(half, room) / own) if own else 0.0
-    rows = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("labelled_id")).select(
-        F.col("text").cast("string").alias("text"), "label", F.xxhash64(F.lit(SEED), "doc_id").bitwiseAND(F.lit(2**31 - 1)).alias("place")
+    chosen = stored(_sampled(known, n), "labelled-sample")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id")).select(
+        F.col("text").cast("string").alias("text"), "label", _place().alias("place")
     )
-    table = stored(_counted(rows, wanted), "quality-counts")
-    counts = table.filter("feature is not null").groupBy("feature").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).toArrow()
-    sample = table.filter("label is not null").orderBy("place", "label", "found").limit(FIT_ROWS + CURVE_ROWS).select("label", "found").toArrow()
+    # An id may stand on many rows, so the bound is kept once more.
+    sample = _indicated(rows).orderBy("place", "label", "found").limit(FIT_ROWS + CURVE_ROWS).select("label", "found").toArrow()
     y = np.array(sample.column("label").to_pylist(), np.int64)
     if len(set(y.tolist())) < 2:
         share = good / (good + bad) if good + bad else 1.0
         return Model(np.zeros(FEATURES), 0.0, 0.0, float(np.log((share + 1e-6) / (1 - share + 1e-6))))
     x = [np.frombuffer(b, "<i4") for b in sample.column("found").to_pylist()]
-    totals = np.zeros((2, FEATURES))
-    at = counts.column("feature").to_numpy()
-    totals[1][at], totals[0][at] = counts.column("good").to_numpy(), counts.column("bad").to_numpy()
-    ratio = log_count_ratio(totals[1], totals[0])
     # Every third row of each class is for the curve; too few to spare: it is fitted on all.
     curve = np.zeros(len(y), bool)
     for label in (0, 1):
@@ -214,6 +205,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     fit = ~curve
     if len(set(y[curve].tolist())) < 2:
         curve[:] = fit[:] = True
+    totals = np.zeros((2, FEATURES))
+    for row, label, f in zip(x, y.tolist(), fit, strict=True):
+        if f:
+            totals[label][row] += 1
+    ratio = log_count_ratio(totals[1], totals[0])
     weights, bias = dual_descent([r for r, f in zip(x, fit, strict=True) if f], y[fit], ratio)
     chosen = np.flatnonzero(curve)
     margins = np.array([weights[x[i]].sum() + bias for i in chosen])
