@@ -1,8 +1,7 @@
 """Approximate nearest neighbours by balanced posting lists.
 
 Centroids are fitted on a bounded sample and kept balanced by splitting crowded ones. Every vector is listed under its
-nearest centroid and, near a boundary, under others whose distance is within a ratio of the nearest, unless a chosen
-centroid lies nearer to that one than the vector does. A query walks a neighbour graph over the centroids, held in
+nearest centroid and, near a boundary, under others whose distance is within a ratio of the nearest. A query walks a neighbour graph over the centroids, held in
 memory by each task, and reads the lists whose distance is within a ratio of the nearest list's. Distances within lists are exact.
 
 Equal vectors are indexed once, with their smallest ids: no more of them than a query returns can appear in its
@@ -31,8 +30,8 @@ NEIGHBOURS = 10
 LIST_VECTORS = 120
 MAX_LISTS, SAMPLE_PER_LIST = 8192, 16
 REPLICAS, REPLICA_RATIO = 6, 1.25
-PROBES, PROBE_RATIO = 64, 1.6
-DEGREE, BEAM = 24, 96
+PROBES, PROBE_RATIO = 96, 1.6
+DEGREE, BEAM = 24, 128
 SEGMENT, BLOCK = 4000, 500
 
 # ---------------------------------------------------------------- centroids and their graph
@@ -150,7 +149,6 @@ def fit(indexed: DataFrame) -> Graph | None:
 def postings(indexed: DataFrame, graph: Graph) -> DataFrame:
     """``list``, ``class``, ``first_id``, ``embedding``: every vector in its nearest list and in those it borders on."""
     centres = graph.centres
-    between = squared_distances(centres, centres)
 
     def assign(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -160,18 +158,12 @@ def postings(indexed: DataFrame, graph: Graph) -> DataFrame:
                 batch = whole.slice(start, 1000)
                 d = squared_distances(_arrays(batch.column("embedding")), centres)
                 near = np.argsort(d, axis=1, kind="stable")[:, :REPLICAS]
-                row, lists = [], []
-                for i, order in enumerate(near.tolist()):
-                    chosen: list[int] = []
-                    limit = d[i, order[0]] * REPLICA_RATIO**2
-                    for c in order:
-                        if not chosen or (d[i, c] <= limit and all(between[c, o] > d[i, c] for o in chosen)):
-                            chosen.append(c)
-                    row += [i] * len(chosen)
-                    lists += chosen
+                far = np.take_along_axis(d, near, axis=1)
+                row, place = np.nonzero(far <= far[:, :1] * REPLICA_RATIO**2)
+                lists = near[row, place]
                 taken = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists, pa.int32()), *(taken.column(c) for c in ("class", "first_id", "embedding"))],
+                    [pa.array(lists.astype(np.int32)), *(taken.column(c) for c in ("class", "first_id", "embedding"))],
                     ["list", "class", "first_id", "embedding"],
                 )
 
