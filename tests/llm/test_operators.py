@@ -362,6 +362,23 @@ def test_neighbours(spark):
     assert hits >= 0.97 * 10 * len(got)
 
 
+def test_probes_grow_until_neighbours_are_found(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_VECTORS", 5)
+    points = np.random.default_rng(4).normal(size=(6000, 48))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id bigint, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in ann.search(df).collect():
+        got[r.query_id].add(r.vec_id)
+    assert set(got) == set(range(0, 6000, 100))
+    hits = 0
+    for q, found in got.items():
+        d = ((points - points[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(found & set(np.argsort(d)[:10].tolist()))
+    assert hits >= 0.97 * 10 * len(got)
+
+
 def test_few_or_no_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0])], "vec_id bigint, embedding array<double>")
     assert [tuple(r) for r in ann.search(df).orderBy("rank").collect()] == [(0, 1, 2, 0.0), (0, 2, 1, pytest.approx(2**0.5))]

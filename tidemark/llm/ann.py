@@ -2,7 +2,11 @@
 
 Centroids are fitted on a bounded sample and kept balanced by splitting crowded ones. Every vector is listed under its
 nearest centroid and, near a boundary, under others whose distance is within a ratio of the nearest. A query walks a neighbour graph over the centroids, held in
-memory by each task, and reads the lists whose distance is within a ratio of the nearest list's. Distances within lists are exact.
+memory by each task, and reads the nearest lists. Distances within lists are exact.
+
+How many lists a query reads is measured in each run: the neighbours of a few sampled queries are found by brute force over
+all vectors, and the count grows from ``PROBES`` up to all lists until ``RECALL`` of these neighbours stand in lists that
+are read. Where the walk would keep a quarter of the centroids or more, the distances to all of them are computed instead.
 
 Equal vectors are indexed once, with their smallest ids: no more of them than a query returns can appear in its
 answer. Long lists are cut into segments and many queries of a list into blocks, so no task gathers an unbounded list.
@@ -30,7 +34,8 @@ NEIGHBOURS = 10
 LIST_VECTORS = 120
 MAX_LISTS, SAMPLE_PER_LIST = 8192, 16
 REPLICAS, REPLICA_RATIO = 6, 1.25
-PROBES, PROBE_RATIO = 96, 1.6
+#: Lists that a query reads at least, recall on the calibrating queries that this number grows for, and their number.
+PROBES, RECALL, CALIBRATING = 96, 0.99, 128
 DEGREE, BEAM = 24, 128
 SEGMENT, BLOCK = 4000, 500
 
@@ -83,6 +88,10 @@ class Graph:
         """Ids and distances of about the ``beam`` nearest centroids of each query, nearest first."""
         n, k = len(queries), len(self.centres)
         beam = min(beam, k)
+        if 4 * beam >= k:
+            exact = np.sqrt(squared_distances(queries, self.centres))
+            ids = np.argsort(exact, axis=1, kind="stable")[:, :beam]
+            return ids, np.take_along_axis(exact, ids, axis=1)
         rows = np.arange(n)[:, None]
         ids = np.repeat(self.entries[None, :], n, 0)
         seen = np.zeros((n, k), bool)
@@ -174,8 +183,66 @@ def postings(indexed: DataFrame, graph: Graph) -> DataFrame:
 # ---------------------------------------------------------------- search
 
 
-def probes(asked: DataFrame, graph: Graph) -> DataFrame:
-    """``list``, ``asking`` (class of the query) and its ``point``, for every list that it reads."""
+def beam_for(count: int) -> int:
+    return max(BEAM, count + count // 3)
+
+
+def true_neighbours(indexed: DataFrame, asking: np.ndarray, points: np.ndarray, k: int) -> DataFrame:
+    """``asking`` and ``near``, the ``k`` nearest classes by brute force over all vectors, for a few queries."""
+
+    def nearest(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        near, score = np.empty((len(points), 0), np.int64), np.empty((len(points), 0))
+        for whole in batches:
+            for start in range(0, whole.num_rows, 4000):
+                batch = whole.slice(start, 4000)
+                own = np.broadcast_to(np.asarray(batch.column("class")), (len(points), batch.num_rows))
+                d = squared_distances(points, _arrays(batch.column("embedding")))
+                d[own == asking[:, None]] = np.inf
+                near, score = np.concatenate([near, own], 1), np.concatenate([score, d], 1)
+                best = np.argsort(score, axis=1, kind="stable")[:, :k]
+                near, score = np.take_along_axis(near, best, axis=1), np.take_along_axis(score, best, axis=1)
+        # One row per query and task.
+        found = [[{"score": s, "near": c} for s, c in zip(*row, strict=True) if s < np.inf] for row in zip(score.tolist(), near.tolist(), strict=True)]
+        kind = pa.list_(pa.struct([("score", pa.float64()), ("near", pa.int64())]))
+        yield pa.RecordBatch.from_arrays([pa.array(asking, pa.int64()), pa.array(found, kind)], ["asking", "found"])
+
+    parts = indexed.select("class", "embedding").mapInArrow(nearest, "asking bigint, found array<struct<score:double,near:bigint>>")
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, k)
+    return parts.groupBy("asking").agg(best.alias("found")).select("asking", F.explode("found.near").alias("near"))
+
+
+def calibrated(indexed: DataFrame, lists: DataFrame, asked: DataFrame, graph: Graph, k: int) -> int:
+    """Lists to read, so that ``RECALL`` of the true neighbours of a bounded sample of queries stand in them."""
+    total = len(graph.centres)
+    if total <= PROBES:
+        return total
+    sample = asked.orderBy(F.xxhash64("embedding")).limit(CALIBRATING).select("class", "embedding").toArrow()
+    if not sample.num_rows:
+        return PROBES
+    asking, points = sample.column("class").to_numpy(), _arrays(sample.column("embedding").combine_chunks())
+    true = true_neighbours(indexed, asking, points, k)
+    held = lists.select("class", "list").join(F.broadcast(true), F.col("class") == F.col("near")).select("asking", "near", "list").toArrow()
+    row = {c: i for i, c in enumerate(asking.tolist())}
+    pairs, number = np.unique(np.stack([held.column("asking").to_numpy(), held.column("near").to_numpy()]), axis=1, return_inverse=True)
+    rows, in_list, number = np.array([row[c] for c in held.column("asking").to_pylist()], int), held.column("list").to_numpy(), number.reshape(-1)
+    count = PROBES
+    while count < total:
+        ids, dist = graph.search(points, beam_for(count))
+        read = np.zeros((len(points), total), bool)
+        query, place = np.nonzero(np.isfinite(dist[:, :count]))
+        read[query, ids[query, place]] = True
+        met = np.zeros(pairs.shape[1], bool)
+        np.logical_or.at(met, number, read[rows, in_list])
+        if met.sum() >= RECALL * len(met):
+            break
+        count = min(total, count + count // 4)
+    return count
+
+
+def probes(asked: DataFrame, graph: Graph, count: int) -> DataFrame:
+    """``list``, ``asking`` (class of the query) and its ``point``, for each of the ``count`` lists that it reads."""
 
     def walk(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -183,9 +250,9 @@ def probes(asked: DataFrame, graph: Graph) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, 64):
                 batch = whole.slice(start, 64)
-                ids, dist = graph.search(_arrays(batch.column("embedding")))
-                read = dist <= dist[:, :1] * PROBE_RATIO
-                read[:, PROBES:] = False
+                ids, dist = graph.search(_arrays(batch.column("embedding")), beam_for(count))
+                read = np.isfinite(dist)
+                read[:, count:] = False
                 row, _ = np.nonzero(read)
                 taken = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
@@ -230,7 +297,7 @@ def search(vectors: DataFrame, queries: str = "vec_id % 100 = 0", k: int = NEIGH
     named = rows.filter(queries).distinct().join(indexed.select(F.col("embedding").alias("of"), "class", "ids"), F.col("embedding") == F.col("of"))
     asking = stored(named.select(F.col("vec_id").alias("query_id"), "class"), "queries")
     asked = indexed.join(asking.select(F.col("class").alias("asked")).distinct(), F.col("class") == F.col("asked"), "left_semi")
-    reads = stored(probes(asked, graph), "probes")
+    reads = stored(probes(asked, graph, calibrated(indexed, lists, asked, graph, k)), "probes")
     sizes = lists.groupBy("list").agg(F.ceil(F.count("*") / SEGMENT).cast("int").alias("segments"))
     loads = reads.groupBy(F.col("list").alias("read_list")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     cuts = stored(sizes.join(loads, F.col("list") == F.col("read_list")).select(F.col("list").alias("cut_list"), "segments", "blocks"), "list-cuts")
