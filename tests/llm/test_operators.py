@@ -108,6 +108,20 @@ def test_marked_article_keeps_shared_wording(spark):
     assert html_text.extract(pages(spark, [(1, "u", "x")]).filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("wrapper", [
+    "<div class='with-sidebar'>", "<div class='search-page'>", "<form id='aspnetForm'>", "<div class='overflow-hidden'>",
+    "<div style='overflow: hidden'>", "<div aria-hidden='false'>", "<div data-class='ad'>", "<div title='a class=ad'>",
+])
+def test_wrappers_do_not_hide_the_article(wrapper):
+    def text(page):
+        return html_text.main_text(html_text.slots([dict(zip(("token", "slot", "text", "chrome", "article", "linked"), b)) for b in html_text.parse(page)[1]], {}))
+
+    assert text(f"<body>{wrapper}<article><p>One</p><div class='ad'>Buy</div><div hidden>Not seen</div></article></body>") == "One"
+    for chrome in ("<nav>", "<aside>", "<footer>", "<div hidden>"):
+        assert text(f"<body>{chrome}<article><p>One</p></article></body>") == ""
+    assert text("<body><div style='overflow: hidden' aria-hidden='false' data-class='ad'><p>Plain</p></div></body>") == "Plain"
+
+
 def test_registered_pages_match_their_article(spark):
     from tidemark.llm.queries import QUERIES, table
 

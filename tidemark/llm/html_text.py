@@ -36,7 +36,9 @@ _TAG = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: Every attribute with its value, so that neither values nor parts of names pass for attributes.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s"'>/=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|"[^"]*"|'[^']*'""")
+NAMED = frozenset(["class", "id", "role", "itemprop"])
 _WORD = re.compile(r"[a-z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,6 +48,8 @@ BLOCK = frozenset(
     " h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul br".split()
 )
 CHROME_TAGS = frozenset("nav footer aside form menu dialog button fieldset legend label head".split())
+#: Chrome that an article inside does not end.
+FIRM_TAGS = frozenset("nav footer aside menu dialog".split())
 CHROME_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr login"
     " menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion recommended related"
@@ -75,8 +79,8 @@ def parse(page: str) -> tuple[dict[int, list[int]], list[tuple]]:
     """
     tokens: dict[int, list[int]] = {}
     blocks: list[tuple] = []
-    # Open elements: tag, path, inside chrome, inside article, inside link.
-    stack: list[tuple] = [("", "", False, False, False)]
+    # Open elements: tag, path, inside chrome, inside article, inside link, inside chrome that no article ends.
+    stack: list[tuple] = [("", "", False, False, False, False)]
     held: list[str] = []
     state = {"linked": 0, "place": 0, "slot": 0}
 
@@ -88,7 +92,7 @@ def parse(page: str) -> tuple[dict[int, list[int]], list[tuple]]:
         text = " ".join(entities.unescape("".join(held)).split())
         held.clear()
         if text:
-            _, path, chrome, article, _ = stack[-1]
+            _, path, chrome, article, *_ = stack[-1]
             token = _token(f"{path}#{text}", False)
             note(token)
             blocks.append((token, state["slot"], text, chrome, article, state["linked"]))
@@ -144,18 +148,20 @@ def parse(page: str) -> tuple[dict[int, list[int]], list[tuple]]:
         if tag in VOID:
             continue
         attributes = m[3] if m[2] else m[6]
-        names, marked = "", set()
+        names, marked, hidden = "", set(), False
         if attributes:
             for key, *values in _ATTRIBUTE.findall(attributes):
-                value = next((v for v in values if v), "").lower()
-                if key.lower() == "hidden":
-                    marked.add("hidden")
-                elif key.lower() == "itemprop":
+                key, value = key.lower(), next((v for v in values if v), "").lower()
+                if key == "hidden":
+                    hidden = True
+                elif key not in NAMED:
+                    continue
+                elif key == "itemprop":
                     marked.update(["main"] if value == "articlebody" else [])
                 else:
                     names += "." + value
                     marked.update(_WORD.findall(value))
-        _, path, chrome, article, link = stack[-1]
+        _, path, chrome, article, link, firm = stack[-1]
         if tag in RAW:
             raw = None if attributes.rstrip().endswith("/") and tag in ("svg", "math") else tag
             continue
@@ -164,12 +170,16 @@ def parse(page: str) -> tuple[dict[int, list[int]], list[tuple]]:
         off = marked & CHROME_WORDS if tag not in ("body", "html", "main") and (tag != "article" or nested) else set()
         if article:
             off = off - PAGE_ONLY
-        chrome = chrome or tag in CHROME_TAGS or nested or bool(off) or "hidden" in marked or (not article and (tag == "header" or "header" in marked))
+        # Words on a wrapper and a form around the page do not reach into the outermost article; real chrome does.
+        firm = firm or hidden or tag in FIRM_TAGS
+        if inner and not article:
+            chrome = firm
+        chrome = chrome or firm or tag in CHROME_TAGS or nested or bool(off) or (not article and (tag == "header" or "header" in marked))
         if block:
             path = f"{path}>{tag}{re.sub('[0-9]+', '0', names)}"
             state["slot"] = _token(path, True)
             note(state["slot"])
-        stack.append((tag, path, chrome, inner, link or tag == "a"))
+        stack.append((tag, path, chrome, inner, link or tag == "a", firm))
     flush()
     return tokens, blocks
 
