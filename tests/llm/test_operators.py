@@ -466,6 +466,24 @@ def test_near_components(spark):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {d for d in want if want[d] == d}
 
 
+def test_near_copies_of_null_and_repeated_ids(spark):
+    def near(text):
+        return text + " tail"
+
+    one, two, three, four, alone = (sentence(100 + i, 200) for i in range(5))
+    rows = [
+        (1, one), (None, near(one)), (None, alone), (None, None), (None, ""),  # a null id near a numbered one, others linked with nothing
+        (None, two), (None, near(two)),  # null ids alone
+        (2, three), (3, near(three)), (3, sentence(110, 200)),  # 3 goes in one place and stays in another
+        (4, four), (4, near(four)), (5, sentence(111, 200)), (5, sentence(111, 200)),
+    ]
+    df = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], brute.SHAPE)
+    got = collections.Counter((r.doc_id, r.text) for r in near_dedup.keep_distinct(df).collect())
+    sure = [(1, one), (None, alone), (None, None), (None, ""), (2, three), (3, sentence(110, 200)), (5, sentence(111, 200))]
+    assert all(got.pop(row) == 1 for row in sure)
+    assert sorted(got.values()) == [1, 1] and len(set(got) & {(None, two), (None, near(two))}) == 1 == len(set(got) & {(4, four), (4, near(four))})
+
+
 @settings(max_examples=3, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 30), st.integers(1, 30)), max_size=40))
 def test_connected_components(spark, pairs):

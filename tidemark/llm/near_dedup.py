@@ -227,24 +227,49 @@ def _prefix_pairs(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
 
 
-def near_components(docs: DataFrame) -> DataFrame:
-    """Every document with the size of its shingle set, its component and whether it stays."""
+def _placed(docs: DataFrame, order: Column) -> DataFrame:
+    """Rows of every document (``doc_id``, ``text_key``, ``n_shingles``, ``set_id``) with the least ``order`` of its component, ``first``."""
     table = stored(signed(docs), "signatures")
     reps, labels = near_links(docs, table)
-    classes = table.groupBy("set_id").agg(F.min("doc_id").alias("class_id")).filter("set_id is not null")
+    classes = table.groupBy("set_id").agg(F.min(order).alias("class_first")).filter("set_id is not null")
     named = (
         reps.select("set_id", "node").join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
         .select(F.col("set_id"), F.coalesce("component", "node").alias("component")).join(classes, "set_id")
     )
     named = stored(named, "class-components")
-    first = named.groupBy("component").agg(F.min("class_id").alias("component_id"), F.count("*").alias("classes"))
-    by_set = named.join(first.withColumnRenamed("component", "of"), F.col("component") == F.col("of")).select(F.col("set_id").alias("of_set"), "component_id")
-    found = table.select("doc_id", "n_shingles", "set_id").join(by_set, F.col("set_id") == F.col("of_set"), "left")
-    own = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select("doc_id", "n_shingles", own.alias("component_id")).withColumn("kept", F.expr("doc_id <=> component_id"))
+    first = named.groupBy("component").agg(F.min("class_first").alias("first"))
+    by_set = named.join(first.withColumnRenamed("component", "of"), F.col("component") == F.col("of")).select(F.col("set_id").alias("of_set"), "first")
+    rows = table.select("doc_id", "text_key", "n_shingles", "set_id")
+    return rows.join(by_set, F.col("set_id") == F.col("of_set"), "left").drop("of_set")
+
+
+def near_components(docs: DataFrame) -> DataFrame:
+    """Every document with the size of its shingle set, its component and whether it stays."""
+    own = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("first"))
+    found = _placed(docs, F.col("doc_id")).select("doc_id", "n_shingles", own.alias("component_id"))
+    return found.withColumn("kept", F.expr("doc_id <=> component_id"))
 
 
 def keep_distinct(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: one id of each component. Joined are the ids that go, which are fewer."""
-    dropped = stored(near_components(docs).filter("not kept").select(F.col("doc_id").alias("dropped_id")).distinct(), "near-dropped")
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("dropped_id")), "left_anti")
+    """The rows of ``docs`` that stay: one of each component, and all that are linked with nothing for want of words.
+
+    Of a component the row with the least id stays, among equal or null ids that of the least text key. Joined are the
+    rows that go, which are fewer, by id and text key, as an id may stand on rows of both kinds.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col("text_key").alias("text"))
+    rows = _placed(docs, order).filter("set_id is not null")
+    rows = stored(rows.select("doc_id", "text_key", order.eqNullSafe(F.col("first")).alias("stays")), "near-rows")
+    dropped = stored(
+        rows.filter("not stays").select(F.col("doc_id").alias("dropped_id"), F.col("text_key").alias("dropped_text")).distinct(), "near-dropped"
+    )
+    again = rows.filter("stays").groupBy(F.col("doc_id").alias("again_id"), F.col("text_key").alias("again_text")).count()
+    again = stored(again.filter("count > 1").drop("count"), "near-repeated")
+
+    def same(of: str) -> Column:
+        return F.col("doc_id").eqNullSafe(F.col(f"{of}_id")) & (_text_key() == F.col(f"{of}_text"))
+
+    rest = docs.join(dropped, same("dropped"), "left_anti")
+    if again.isEmpty():
+        return rest
+    # Rows repeated with id and text are told apart by nothing that counts.
+    return rest.join(again, same("again"), "left_anti").unionByName(rest.join(again, same("again"), "left_semi").dropDuplicates(["doc_id", "text"]))
