@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.operators.quality import QualityError
@@ -116,6 +117,23 @@ def test_errors_stop_publishing(spark, lake):
     assert lk.published_versions(spark, lake) == {}
 
 
+def test_rows_of_a_failed_load_stop_later_ones(spark, lake, monkeypatch):
+    land_rest(spark, lake)
+    for dataset in (lk.RATES, lk.TIERS, lk.SCHEDULE):
+        jobs.run_dataset(spark, lake, dataset, 1)
+    real = jobs.warehouse.fact_offers
+    monkeypatch.setattr(jobs.warehouse, "fact_offers", lambda *a: real(*a).withColumn("gpu_model_name", F.lit(None).cast("string")))
+    land_poll(spark, lake, 0, [offer(1)])
+    with pytest.raises(QualityError, match="gpu_model_name"):
+        jobs.run_dataset(spark, lake, lk.OFFERS, 2)
+    monkeypatch.undo()
+    for version, hour in ((3, 30), (4, 60)):
+        land_poll(spark, lake, hour, [offer(1)])
+        with pytest.raises(QualityError, match="gpu_model_name"):
+            jobs.run_dataset(spark, lake, lk.OFFERS, version)
+    assert lk.OFFERS.name not in lk.published_versions(spark, lake)
+
+
 def test_disabled_dataset_and_empty_batch(spark, lake):
     from dataclasses import replace
 

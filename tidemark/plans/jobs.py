@@ -105,8 +105,8 @@ def _gold_schedule(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> dic
 def _gold_offers(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> dict[str, DataFrame]:
     """Price only the polls the fact has not seen, then merge them and close absent offers.
 
-    Returned for the checks are the days from the last poll before this load on: older days change in
-    ``valid_to`` alone, and the keys hold the day, so their checks still stand.
+    Returned for the checks is the whole fact: a load is merged before it is checked, so rows of a load that failed are
+    stored below the next one's watermark, and closing rewrites older days.
     """
     middle = intermediate.offers(staged)
     path = lake.model_path("fct_compute_offers")
@@ -115,11 +115,7 @@ def _gold_offers(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> dict[
     rates = spark.read.parquet(lake.model_path("dim_exchange_rates"))
     tiers = spark.read.parquet(lake.model_path("dim_electricity_tariff_tiers"))
     apply_polls(spark, path, warehouse.fact_offers(new, rates, tiers))
-    fact = stored_fact(spark, path)
-    if before is not None:
-        first = F.to_date(F.lit(before))
-        middle, fact = middle.filter(F.to_date("valid_from") >= first), fact.filter(F.col(DAY) >= first)
-    return {"int_compute_offers": middle, "fct_compute_offers": fact.drop(DAY)}
+    return {"int_compute_offers": middle, "fct_compute_offers": stored_fact(spark, path).drop(DAY)}
 
 
 GOLD: dict[str, Callable[[SparkSession, lk.Lake, DataFrame], dict[str, DataFrame]]] = {
