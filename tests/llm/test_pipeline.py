@@ -70,7 +70,7 @@ def test_run_and_registration(spark, stages):
     import __spark_entry__ as entry
 
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in QUERIES} and QUERIES.items() <= entry.queries().items()
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES} and QUERIES.items() <= entry.queries().items()
     got = corpus_pipeline.run(spark, SF)
     pick = ("doc_id", "piece", "start", "length", "ids_crc32")
     assert sorted(tuple(r) for r in got.select(*pick).collect()) == sorted(tuple(r) for r in stages[5].select(*pick).collect())
