@@ -423,7 +423,7 @@ ORACLES["fact_tiers_by_row"] = chain(FACT | {"tiers": staggered(1, False)}, f"SE
 ORACLES["fact_tiers_by_span"] = chain(FACT | {"tiers": staggered(0, True)}, f"SELECT offer_id, valid_from, {_COSTS} FROM fact")
 ORACLES["calendar_hours"] = (
     "SELECT d AS day_of_week, h AS hour, count(ts) AS events FROM (SELECT unnest(range(1, 8)) AS d), (SELECT unnest(range(24)) AS h)"
-    " LEFT JOIN events ON isodow(ts) = d AND hour(ts) = h AND h % 5 <> 0 GROUP BY d, h"
+    " LEFT JOIN events ON isodow(ts) = d AND hour(ts) - hour(ts) % 5 = h GROUP BY d, h"
 )
 ORACLES["close_absent"] = chain(
     POLLED | {"last_poll": "SELECT max(ingested_at) AS latest FROM polled"},
@@ -446,6 +446,21 @@ ORACLES["close_absent_doubled"] = chain(
 ORACLES["stream_poll_merge"] = ORACLES["fact_store_polls"] = chain(
     REPLAY, "SELECT offer_id, valid_from, valid_to, event_id, value FROM closed"
 )
+def replayed_until(cut: str) -> str:
+    """The fact after the polls before ``cut``, as rows of ``REPLAY``'s columns."""
+    return (
+        "SELECT user_id AS offer_id, runs.ingested_at AS valid_from, coalesce(nx.ingested_at, " + OPEN_TS + ") AS valid_to, event_id, value FROM ("
+        f"SELECT *, max(n) OVER (PARTITION BY user_id, island) AS last_n FROM islands, span WHERE ingested_at < {cut}) AS runs"
+        f" LEFT JOIN (SELECT numbered.* FROM numbered, span WHERE ingested_at < {cut}) AS nx ON nx.n = last_n + 1"
+    )
+
+
+_CUTS = {f"cut{i}": f"date_trunc('hour', lo + (hi - lo) / 3 * {i})" for i in (1, 2)}
+ORACLES["fact_audit_publish"] = chain(
+    REPLAY | {"span": f"SELECT {', '.join(f'{e} AS {c}' for c, e in _CUTS.items())} FROM (SELECT min(ts) AS lo, max(ts) AS hi FROM events)"},
+    f"SELECT *, 'refused' AS state FROM ({replayed_until('cut1')}) UNION ALL SELECT *, 'mended' FROM ({replayed_until('cut2')})"
+    " UNION ALL SELECT offer_id, valid_from, valid_to, event_id, value, 'next' FROM closed",
+)
 ORACLES["stream_late_rows"] = chain(
     {
         "marked": "SELECT event_id, CASE WHEN event_id % 97 <> 0 THEN user_id END AS id,"
@@ -482,14 +497,15 @@ _POLL_TIMES = " UNION ALL ".join(f"SELECT {i} AS p, TIMESTAMP '{t}' AS polled" f
 ORACLES["dataset_flow"] = chain(
     {
         "times": _POLL_TIMES,
-        "sent": "SELECT DISTINCT event_id % 2 AS p, user_id AS id FROM events",
-        "seen": "SELECT p, id, polled FROM sent JOIN times USING (p) WHERE id % 11 <> 0",
+        "sent": "SELECT event_id % 2 AS p, user_id AS id, 1 + sum(CAST(floor(abs(value)) AS BIGINT)) AS price FROM events GROUP BY 1, 2",
+        "seen": "SELECT p, id, price, polled FROM sent JOIN times USING (p) WHERE id % 11 <> 0",
         "open": "SELECT s.* FROM seen AS s WHERE (SELECT count(*) FROM seen AS t WHERE t.id = s.id AND t.p >= s.p) = 2 - s.p",
     },
     "SELECT 'published' AS item, unnest(['exchange_rates', 'electricity_tariff_tiers', 'electricity_tariff_schedule', 'compute_offers', 'marts'])"
     " AS label, CAST(unnest([1, 1, 1, 3, 4]) AS BIGINT) AS n"
     " UNION ALL SELECT 'fact day', CAST(CAST(polled AS DATE) AS VARCHAR), count(*) FROM seen GROUP BY 2"
     " UNION ALL SELECT 'fact open', '', count(*) FROM open"
+    " UNION ALL SELECT 'fact revenue', CAST(CAST(polled AS DATE) AS VARCHAR), CAST(sum(price) AS BIGINT) FROM seen GROUP BY 2"
     " UNION ALL SELECT 'silver poll', strftime(polled, '%Y%m%d%H%M%S'), count(*) FROM seen GROUP BY 2"
     " UNION ALL SELECT 'reject', 'verification_flag:enum', count(*) FROM sent WHERE id % 11 = 0"
     " UNION ALL SELECT 'opportunities', '', count(*) FROM open WHERE id % 2 = 1"
@@ -596,6 +612,7 @@ TRENDS = trends("valid_from")
 _TREND_MEANS = ["avg_revenue_usd_per_hr", *[f"avg_{c}" for c in _BOTH]]
 _TREND_ROWS = f"SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in _TREND_MEANS)}) FROM trends"
 ORACLES["mart_trends"] = chain(TRENDS, _TREND_ROWS)
+ORACLES["mart_trends_incremental"] = ORACLES["mart_trends"]
 ORACLES["mart_trends_local"] = chain(trends("valid_from + INTERVAL 1 HOUR"), _TREND_ROWS)
 
 _PROFIT = "profit_business_high_usd_per_hr"

@@ -420,9 +420,10 @@ def tariff_pivot(spark, sf):
 
 @register
 def calendar_hours(spark, sf):
-    """Events per hour of the week, with the hours that have none."""
-    events = standin.table(spark, sf, "events").selectExpr(f"{fn.iso_weekday('ts')} as day_of_week", f"{fn.hour_of_day('ts')} as hour")
-    counted = events.filter("hour % 5 <> 0").groupBy("day_of_week", "hour").count()
+    """Events per hour of the week in which their shift of five hours begins, with the hours that have none."""
+    hour = fn.hour_of_day("ts")
+    events = standin.table(spark, sf, "events").selectExpr(f"{fn.iso_weekday('ts')} as day_of_week", f"{hour} - {hour} % 5 as hour")
+    counted = events.groupBy("day_of_week", "hour").count()
     joined = intervals.hourly_calendar(spark).join(counted, ["day_of_week", "hour"], "left")
     return joined.selectExpr("day_of_week", "hour", "coalesce(count, 0L) as events")
 
@@ -638,6 +639,44 @@ def fact_store_polls(spark, sf):
     return naive(fact_store.read_fact(spark, path))
 
 
+@register
+def fact_audit_publish(spark, sf):
+    """What readers see while a load is refused, and after it was mended: the second of three loads doubles rows, which the audit
+    of its candidate finds."""
+    path = f"{scratch_path(spark, 'audited')}/fact"
+    rules = quality.Checks(not_null=("value",), unique_keys=(("offer_id", "valid_from"),))
+
+    def audit(rewritten: DataFrame) -> None:
+        quality.gate(quality.run_checks(rewritten, "fact", rules))
+
+    seen = []
+    first, second, third = (cleaning.deduplicate(_poll_rows(p), ["offer_id", "valid_from"], ["event_id"]) for p in _slices(standin.table(spark, sf, "events"), "ts"))
+    fact_store.apply_polls(spark, path, first, audit=audit)
+    try:
+        fact_store.apply_polls(spark, path, second.unionByName(second), audit=audit)
+    except quality.QualityError:
+        seen.append(fact_store.read_fact(spark, path).withColumn("state", F.lit("refused")))
+    fact_store.apply_polls(spark, path, second, audit=audit)
+    seen.append(fact_store.read_fact(spark, path).withColumn("state", F.lit("mended")))
+    fact_store.apply_polls(spark, path, third, audit=audit)
+    seen.append(fact_store.read_fact(spark, path).withColumn("state", F.lit("next")))
+    return naive(reduce(DataFrame.unionByName, seen))
+
+
+@register
+def mart_trends_incremental(spark, sf):
+    """The trends mart after three loads of the stored fact, each followed by a refresh of the days that it changed."""
+    lake = lk.Lake(scratch_path(spark, "trends-lake"))
+    lk.write_table(standin.schedule_dim(spark), lake.model_path("dim_electricity_tariff_schedule"))
+    # Rows that share a poll stay together; the hour alone keys them here, as offers of a poll may share ids.
+    rows = standin.shared_offers(standin.fact(spark, sf))
+    for part in _slices(rows, "valid_from"):
+        fact_store.apply_polls(spark, lake.model_path("fct_compute_offers"), part)
+        jobs.refresh_trends(spark, lake)
+    built = spark.read.parquet(lake.model_path("mart_profitability_trends"))
+    return _rounded(naive(built.drop(jobs.BUCKET_DAY)))
+
+
 @register
 def close_absent_doubled(spark, sf):
     """Replay over offers of which every fifth row is there twice, as tariffs that change on different days double them."""
@@ -658,7 +697,7 @@ def upsert_stored(spark, sf):
 
 
 _FLOW_OFFER = {
-    "machine_id": "1", "host_id": "2", "discounted_dph_total": "0.75", "dph_base": "0.5", "min_bid": "0.1", "storage_total_cost": "0.01",
+    "machine_id": "1", "host_id": "2", "discounted_dph_total": "price", "dph_base": "0.5", "min_bid": "0.1", "storage_total_cost": "0.01",
     "inet_up_cost": "0.001", "inet_down_cost": "0.002", "dlperf_per_dphtotal": "9.5", "gpu_arch": "'nvidia'", "gpu_name": "concat('G', user_id % 7)",
     "gpu_ram": "24564", "gpu_max_power": "450", "num_gpus": "2", "cuda_max_good": "12.4", "total_flops": "165.2", "gpu_mem_bw": "880.1",
     "cpu_arch": "'amd64'", "cpu_name": "'CPU 64-Core Processor'", "cpu_cores_effective": "32.5", "cpu_ghz": "2.25", "cpu_ram": "128000",
@@ -674,8 +713,9 @@ def dataset_flow(spark, sf):
     """Payloads made of the events, landed and run poll by poll up to published marts: what each step has stored."""
     lake = lk.Lake(scratch_path(spark, "lake"))
     events = standin.table(spark, sf, "events")
-    # A rate that changes from one day to the next is valid for no day, which the checks refuse.
-    rates = events.filter("day(ts) % 3 = 0").groupBy(F.expr("cast(ts as date) as day")).agg(F.expr("round(avg(value)) + 1 as value")).selectExpr(
+    # A rate that changes from one day to the next is valid for no day, which the checks refuse: one rate per three days.
+    span = "date_add(date'2024-01-01', cast(3 * floor(datediff(ts, date'2024-01-01') / 3) as int)) as day"
+    rates = events.groupBy(F.expr(span)).agg(F.expr("round(avg(value)) + 1 as value")).selectExpr(
         "concat('{\"conversion_rates\":{\"MKD\":', value, '},\"time_last_update_utc\":\"', date_format(day, 'EEE, dd MMM yyyy'), ' 00:00:00 +0000\"}') as payload",
         "cast(day as timestamp) as ingested_at",
     )
@@ -686,7 +726,7 @@ def dataset_flow(spark, sf):
     jobs.run_dataset(spark, lake, lk.SCHEDULE, 1, payloads=first.selectExpr("ingested_at", f"{literal(fixed.SCHEDULE_PAGE_TEXT)} as text"))
     structs = ", ".join(f"'{k}', {v}" for k, v in _FLOW_OFFER.items())
     for i, poll in enumerate(_FLOW_POLLS):
-        seen = events.filter(f"event_id % 2 = {i}").select("user_id").distinct()
+        seen = events.filter(f"event_id % 2 = {i}").groupBy("user_id").agg(F.expr("1 + sum(cast(floor(abs(value)) as bigint)) as price"))
         payloads = seen.selectExpr(
             f"concat('{{\"offers\":[', to_json(named_struct('ask_contract_id', user_id, {structs})), ']}}') as payload", "'on_demand' as offer_type",
             f"timestamp'{poll}' as ingested_at",
@@ -702,6 +742,8 @@ def dataset_flow(spark, sf):
     parts = [
         spark.read.parquet(lake.marker_path()).selectExpr("'published' as item", "cast(name as string) as label", "version as n"),
         counted(fact, "fact day", fact_store.DAY), counted(fact.filter(fn.is_open("valid_to")), "fact open"),
+        fact.groupBy(F.expr(f"cast({fact_store.DAY} as string) as label")).agg(F.expr("cast(sum(revenue_usd_per_hr) as bigint) as n"))
+        .selectExpr("'fact revenue' as item", "label", "n"),
         counted(spark.table(lk.OFFERS.name), "silver poll", lk.POLL), counted(rejects, "reject", "failed_rules"),
         counted(spark.read.parquet(lake.model_path("mart_arbitrage_opportunities")), "opportunities"),
         counted(spark.read.parquet(lake.model_path("mart_profitability_trends")), "trend day", "bucket_date"),
@@ -712,15 +754,16 @@ def dataset_flow(spark, sf):
 # ----------------------------------------------------------------- stream
 
 
-def _streamed(spark, parts: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """The stored fact and the rejects after the parts have landed and been merged one after the other."""
+def _streamed(spark, parts: list[DataFrame]) -> tuple[DataFrame, DataFrame | None]:
+    """The stored fact and the rejects, if any, after the parts have landed and been merged one after the other."""
     work = scratch_path(spark, "stream")
     landed, fact, late = f"{work}/landed", f"{work}/fact", f"{work}/late"
     sink = polls.poll_merger(fact, late, _poll_rows, tie=("event_id",))
     for part in parts:
         part.write.mode("append").parquet(landed)
         polls.run_available(polls.poll_stream(spark, landed, part.schema), sink, f"{work}/checkpoint")
-    return naive(fact_store.read_fact(spark, fact)), naive(lk.read_table(spark, late))
+    rejects = lk.read_table(spark, late)
+    return naive(fact_store.read_fact(spark, fact)), None if rejects is None else naive(rejects)
 
 
 @register

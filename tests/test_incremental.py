@@ -1,13 +1,11 @@
 import datetime as dt
-import itertools
-import shutil
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidemark.operators import incremental as inc
-from tidemark.sources.fact_store import DAY, apply_polls, read_fact
+from tidemark.sources.fact_store import DAY, apply_polls, read_fact, stored_fact
 from tests.conftest import moment, rows
 
 FOREVER = dt.datetime(9999, 12, 31)
@@ -108,7 +106,7 @@ def test_stored_fact_follows_polls_one_by_one(spark, tmp_path):
     for hour in sorted({h for _, h in items}):
         assert apply_polls(spark, path, polled(spark, [(i, h) for i, h in items if h == hour])) > 0
     assert outcome(read_fact(spark, path)) == brute_force(items)
-    days = {r[0] for r in spark.read.parquet(path).select(DAY).distinct().collect()}
+    days = {r[0] for r in stored_fact(spark, path).select(DAY).distinct().collect()}
     assert days == {dt.date(2024, 1, 30), dt.date(2024, 1, 31), dt.date(2024, 2, 1)}
 
 
@@ -184,46 +182,52 @@ class Stopped(Exception):
     pass
 
 
-def test_a_load_may_stop_with_any_days_in_place(spark, tmp_path, monkeypatch):
-    from tidemark.sources import fact_store
+@pytest.mark.parametrize("where", ["stage", "publish"])
+def test_a_load_may_stop_anywhere(spark, tmp_path, monkeypatch, where):
+    from tidemark.sources import snapshots
 
     items = [(1, 0), (2, 0), (5, 0), (1, 30), (3, 30), (3, 54), (5, 54)]
     first, second = ([x for x in items if (x[1] < 30) == early] for early in (True, False))
-    before, after = tmp_path / "before", tmp_path / "after"
-    apply_polls(spark, str(before / "fact"), polled(spark, first))
-    shutil.copytree(before, after)
-    note = fact_store._note
+    path = str(tmp_path / "fact")
+    apply_polls(spark, path, polled(spark, first))
+    stage = snapshots.SnapshotTable.stage
 
-    def stop_before_done(spark, path, seq, done, to):
-        if seq % 2:
-            raise Stopped
-        note(spark, path, seq, done, to)
+    def stop(self, *args):
+        if where == "stage":
+            stage(self, *args)
+        raise Stopped
 
-    monkeypatch.setattr(fact_store, "_note", stop_before_done)
+    monkeypatch.setattr(snapshots.SnapshotTable, where, stop)
     with pytest.raises(Stopped):
-        apply_polls(spark, str(after / "fact"), polled(spark, second))
+        apply_polls(spark, path, polled(spark, second))
     monkeypatch.undo()
-    days = sorted(p.name for p in (after / "fact").iterdir() if p.name.startswith(DAY))
-    assert len(days) == 3
-    for n in range(len(days) + 1):
-        for in_place in itertools.combinations(days, n):
-            trial = tmp_path / f"trial-{'-'.join(in_place)}"
-            shutil.copytree(after, trial)
-            for d in set(days) - set(in_place):
-                shutil.rmtree(trial / "fact" / d)
-                if (before / "fact" / d).exists():
-                    shutil.copytree(before / "fact" / d, trial / "fact" / d)
-            path = str(trial / "fact")
-            assert outcome(read_fact(spark, path)) == brute_force(first)  # readers see the last finished load
-            apply_polls(spark, path, polled(spark, second))
-            assert outcome(read_fact(spark, path)) == brute_force(items)
-
-
-def test_watermark_reads_one_day(spark, tmp_path):
+    assert outcome(read_fact(spark, path)) == brute_force(first)  # readers see the last published load
+    apply_polls(spark, path, polled(spark, second))
+    assert outcome(read_fact(spark, path)) == brute_force(items)
+
+
+def test_a_refused_load_leaves_the_version_readers_see(spark, tmp_path):
+    from tidemark.sources.fact_store import fact_table
+
+    def audit(rewritten):
+        if rewritten.groupBy("offer_id", "valid_from").count().filter("count > 1").count():
+            raise Stopped
+
+    items = [(1, 0), (2, 0), (1, 30), (3, 30)]
+    path = str(tmp_path / "fact")
+    apply_polls(spark, path, polled(spark, items[:2]), audit=audit)
+    files = sorted(p.name for p in (tmp_path / "fact" / "data").iterdir())
+    with pytest.raises(Stopped):
+        apply_polls(spark, path, polled(spark, [*items[2:], items[3]]), audit=audit)
+    assert outcome(read_fact(spark, path)) == brute_force(items[:2])
+    assert sorted(p.name for p in (tmp_path / "fact" / "data").iterdir()) == files
+    assert apply_polls(spark, path, polled(spark, items[2:]), audit=audit) == 2
+    assert outcome(read_fact(spark, path)) == brute_force(items) and fact_table(spark, path).numbers() == [1, 2]
+
+
+def test_watermark_is_noted(spark, tmp_path):
     from tidemark.sources import fact_store
 
     path = str(tmp_path / "fact")
     apply_polls(spark, path, polled(spark, [(1, 0), (1, 30), (2, 54)]))
     assert fact_store.fact_watermark(spark, path) == moment("2024-02-01T06:00:00")
-    table = spark.read.parquet(path)
-    assert fact_store.day_watermark(table) == moment("2024-02-01T06:00:00")

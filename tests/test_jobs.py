@@ -117,21 +117,77 @@ def test_errors_stop_publishing(spark, lake):
     assert lk.published_versions(spark, lake) == {}
 
 
-def test_rows_of_a_failed_load_stop_later_ones(spark, lake, monkeypatch):
+def files(path):
+    import pathlib
+
+    return sorted(str(p) for p in pathlib.Path(path).rglob("*.parquet"))
+
+
+def test_a_failed_load_is_dropped_and_a_mended_one_publishes(spark, lake, monkeypatch):
     land_rest(spark, lake)
     for dataset in (lk.RATES, lk.TIERS, lk.SCHEDULE):
         jobs.run_dataset(spark, lake, dataset, 1)
+    land_poll(spark, lake, 0, [offer(1), offer(2)])
+    assert jobs.run_dataset(spark, lake, lk.OFFERS, 2).published
+    fact_path, staged = lake.model_path("fct_compute_offers"), lake.model_path("stg_compute_offers")
+    before, rows = files(fact_path) + files(staged), sorted(map(str, read_fact(spark, fact_path).collect()))
     real = jobs.warehouse.fact_offers
     monkeypatch.setattr(jobs.warehouse, "fact_offers", lambda *a: real(*a).withColumn("gpu_model_name", F.lit(None).cast("string")))
-    land_poll(spark, lake, 0, [offer(1)])
+    land_poll(spark, lake, 30, [offer(1)])
     with pytest.raises(QualityError, match="gpu_model_name"):
-        jobs.run_dataset(spark, lake, lk.OFFERS, 2)
+        jobs.run_dataset(spark, lake, lk.OFFERS, 3)
     monkeypatch.undo()
-    for version, hour in ((3, 30), (4, 60)):
-        land_poll(spark, lake, hour, [offer(1)])
-        with pytest.raises(QualityError, match="gpu_model_name"):
-            jobs.run_dataset(spark, lake, lk.OFFERS, version)
-    assert lk.OFFERS.name not in lk.published_versions(spark, lake)
+    assert files(fact_path) + files(staged) == before and sorted(map(str, read_fact(spark, fact_path).collect())) == rows
+    assert lk.published_versions(spark, lake)[lk.OFFERS.name] == 2
+    assert jobs.run_dataset(spark, lake, lk.OFFERS, 4).published  # the poll is still in silver
+    assert sorted(r.offer_id for r in open_rows(spark, fact_path).collect()) == [1, 1]
+    assert lk.published_versions(spark, lake)[lk.OFFERS.name] == 4
+
+
+def test_a_mended_poll_replaces_the_refused_one(spark, lake):
+    land_rest(spark, lake)
+    for dataset in (lk.RATES, lk.TIERS, lk.SCHEDULE):
+        jobs.run_dataset(spark, lake, dataset, 1)
+    land_poll(spark, lake, 0, [offer(1), offer(2, num_gpus=-4)])
+    with pytest.raises(QualityError):
+        jobs.run_dataset(spark, lake, lk.OFFERS, 2)
+    assert read_fact(spark, lake.model_path("fct_compute_offers")) is None
+    land_poll(spark, lake, 0, [offer(1), offer(2)])
+    assert jobs.run_dataset(spark, lake, lk.OFFERS, 3).published
+    assert read_fact(spark, lake.model_path("fct_compute_offers")).count() == 2
+
+
+def test_trends_follow_changed_days_only(spark, lake):
+    from tidemark.plans import marts
+
+    land_rest(spark, lake)
+    for dataset in (lk.RATES, lk.TIERS, lk.SCHEDULE):
+        jobs.run_dataset(spark, lake, dataset, 1)
+    mart = lake.model_path("mart_profitability_trends")
+    seen = {}
+    for version, (hour, numbers) in enumerate([(0, (1, 2)), (30, (1, 2)), (54, (1, 3)), (55, (1, 3))], 2):
+        land_poll(spark, lake, hour, [offer(n, discounted_dph_total=1.0 + n + hour) for n in numbers])
+        jobs.run_dataset(spark, lake, lk.OFFERS, version)
+        jobs.run_marts(spark, lake, version)
+        fact = read_fact(spark, lake.model_path("fct_compute_offers"))
+        schedule = spark.read.parquet(lake.model_path("dim_electricity_tariff_schedule"))
+        whole = marts.trends(fact, schedule)
+        assert sorted(map(str, spark.read.parquet(mart).select(whole.columns).collect())) == sorted(map(str, whole.collect()))
+        now = {d: [f for f in files(mart) if f"bucket_date=2026-01-{d:02d}" in f] for d in (5, 6, 7)}
+        # The second load closes nothing, the third one rows of both days before it.
+        if hour == 30:
+            assert now[5] == seen[5] and now[6]
+        if hour == 54:
+            assert now[5] != seen[5] and now[6] != seen[6] and now[7]
+        if hour == 55:
+            assert now[5] == seen[5] and now[6] == seen[6] and now[7] != seen[7]
+        seen = now
+    assert jobs.refresh_trends(spark, lake) == [] and {d: [f for f in files(mart) if f"bucket_date=2026-01-{d:02d}" in f] for d in (5, 6, 7)} == seen
+    partials = jobs.SnapshotTable(spark, lake.model_path("trend_partials"), jobs.BUCKET_DAY)
+    once = partials.read(partials.latest())
+    # Partials of coarser groups are merged from finer ones.
+    day = marts.trends_of(marts.merge_partials(once, ("offer_type",)), keys=("offer_type",)).first()
+    assert day.offer_count == 8 and day.avg_revenue_usd_per_hr == pytest.approx(fact.agg(F.avg("revenue_usd_per_hr")).first()[0])
 
 
 def test_disabled_dataset_and_empty_batch(spark, lake):

@@ -16,16 +16,21 @@ from tidemark.plans import intermediate, marts, staging, warehouse
 from tidemark.plans.refine import REFINEMENTS
 from tidemark.sources import lake as lk
 from tidemark.sources import landing
-from tidemark.sources.fact_store import DAY, apply_polls, fact_watermark, read_fact, stored_fact
+from tidemark.session import discard, scratch_path
+from tidemark.sources.fact_store import DAY, apply_polls, fact_table, fact_watermark, read_fact
+from tidemark.sources.snapshots import Candidate, SnapshotTable, changed, folder
 
 MARTS = "marts"
+#: Number of the load that added a staging row, and the partition of staging tables.
+INCREMENT = "increment"
+BUCKET_DAY = "bucket_date"
 # Mart -> how its files are laid out.
 MART_LAYOUT = {
     "mart_arbitrage_opportunities": {"cluster_by": ("offer_type", "gpu_model_name")},
     "mart_best_offers_by_gpu": {"cluster_by": ("offer_type", "gpu_architecture", "gpu_model_name")},
     "mart_gpu_model_summary": {"cluster_by": ("gpu_model_name", "offer_type")},
-    "mart_profitability_trends": {"partition_by": ("bucket_date",), "cluster_by": ("gpu_model_name", "offer_type")},
 }
+TREND_LAYOUT = {"partition_by": (BUCKET_DAY,), "cluster_by": ("gpu_model_name", "offer_type")}
 
 
 @dataclass(frozen=True)
@@ -63,50 +68,66 @@ def land(lake: lk.Lake, dataset: lk.Dataset, payloads: DataFrame) -> bool:
     return lk.write_unless_empty(valid, lake.path("bronze", dataset))
 
 
-def _load_staging(spark: SparkSession, lake: lk.Lake, dataset: lk.Dataset) -> DataFrame:
-    """Add what is new. Rows above the watermark match no stored key, so merging them is appending."""
-    path = lake.model_path(f"stg_{dataset.name}")
-    silver = spark.read.parquet(lake.path("silver", dataset))
-    target = lk.read_table(spark, path)
+def staging_table(spark: SparkSession, lake: lk.Lake, dataset: lk.Dataset) -> SnapshotTable:
+    return SnapshotTable(spark, lake.model_path(f"stg_{dataset.name}"), INCREMENT)
+
+
+def _staged(table: SnapshotTable, silver: DataFrame, dataset: lk.Dataset) -> tuple[Candidate | None, DataFrame]:
+    """What staging would hold with the rows that are new, as a candidate if there are any.
+
+    Rows above the watermark match no stored key, so merging them is appending.
+    """
+    base = table.latest()
+    target = None if base is None else table.read(base).drop(INCREMENT)
     batch = staging.stage_increment(silver, dataset.name, target)
     keys = staging.LAYOUT[dataset.name][2]
     batch = deduplicate(batch, keys, [c for c in batch.columns if c not in keys])
-    lk.write_unless_empty(batch, path, mode="append")
-    return lk.read_table(spark, path)
+    if batch.isEmpty() and target is not None:
+        return None, target
+    number = 1 if base is None else base.number + 1
+    candidate = table.stage(batch.withColumn(INCREMENT, F.lit(number)), base, (), {})
+    return candidate, table.read(candidate).drop(INCREMENT)
+
 
+# Each checks what a load would make of its gold tables, and stores them if they pass. They return the warnings.
 
-def _build_dim(spark: SparkSession, lake: lk.Lake, model: str, built: DataFrame, **layout) -> DataFrame:
-    lk.write_table(built, lake.model_path(model), **layout)
-    return spark.read.parquet(lake.model_path(model))
+
+def _checked_dim(spark: SparkSession, lake: lk.Lake, tables: dict[str, DataFrame], model: str, built: DataFrame, **layout) -> list[str]:
+    beside = scratch_path(spark, model)
+    built.write.parquet(beside)
+    candidate = spark.read.schema(built.schema).parquet(beside)
+    try:
+        warnings = check_tables({**tables, model: candidate})
+        lk.write_table(candidate, lake.model_path(model), **layout)
+    finally:
+        discard(spark, [beside])
+    return warnings
 
 
-def _gold_rates(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> dict[str, DataFrame]:
+def _gold_rates(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> list[str]:
     middle = intermediate.rates(staged)
     dim = warehouse.dim_rates(middle, chunk="trunc(timestamp, 'month')")
-    pair = ("from_currency", "to_currency")
-    return {
-        "int_exchange_rates": middle,
-        "dim_exchange_rates": _build_dim(spark, lake, "dim_exchange_rates", dim, cluster_by=pair),
-    }
+    tables = {"stg_exchange_rates": staged, "int_exchange_rates": middle}
+    return _checked_dim(spark, lake, tables, "dim_exchange_rates", dim, cluster_by=("from_currency", "to_currency"))
 
 
-def _gold_tiers(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> dict[str, DataFrame]:
+def _gold_tiers(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> list[str]:
     middle = intermediate.tiers(staged)
-    dim = _build_dim(spark, lake, "dim_electricity_tariff_tiers", warehouse.dim_tiers(middle))
-    return {"int_electricity_tariff_tiers": middle, "dim_electricity_tariff_tiers": dim}
+    tables = {"stg_electricity_tariff_tiers": staged, "int_electricity_tariff_tiers": middle}
+    return _checked_dim(spark, lake, tables, "dim_electricity_tariff_tiers", warehouse.dim_tiers(middle))
 
 
-def _gold_schedule(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> dict[str, DataFrame]:
+def _gold_schedule(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> list[str]:
     middle = intermediate.schedule(staged)
-    dim = _build_dim(spark, lake, "dim_electricity_tariff_schedule", warehouse.dim_schedule(middle))
-    return {"int_electricity_tariff_schedule": middle, "dim_electricity_tariff_schedule": dim}
+    tables = {"stg_electricity_tariff_schedule": staged, "int_electricity_tariff_schedule": middle}
+    return _checked_dim(spark, lake, tables, "dim_electricity_tariff_schedule", warehouse.dim_schedule(middle))
 
 
-def _gold_offers(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> dict[str, DataFrame]:
-    """Price only the polls the fact has not seen, then merge them and close absent offers.
+def _gold_offers(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> list[str]:
+    """Price only the polls the fact has not seen, merge them and close absent offers in a candidate, and publish it if it passes.
 
-    Returned for the checks is the whole fact: a load is merged before it is checked, so rows of a load that failed are
-    stored below the next one's watermark, and closing rewrites older days.
+    Checked are the days that the load rewrites; other days are files of versions that passed. The fact's only key holds
+    ``valid_from``, so equal keys share a day.
     """
     middle = intermediate.offers(staged)
     path = lake.model_path("fct_compute_offers")
@@ -114,11 +135,16 @@ def _gold_offers(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> dict[
     new = middle if before is None else middle.filter(F.col("valid_from") > F.lit(before))
     rates = spark.read.parquet(lake.model_path("dim_exchange_rates"))
     tiers = spark.read.parquet(lake.model_path("dim_electricity_tariff_tiers"))
-    apply_polls(spark, path, warehouse.fact_offers(new, rates, tiers))
-    return {"int_compute_offers": middle, "fct_compute_offers": stored_fact(spark, path).drop(DAY)}
+    warnings = check_tables({"stg_compute_offers": staged, "int_compute_offers": middle})
+
+    def audit(rewritten: DataFrame) -> None:
+        warnings.extend(check_tables({"fct_compute_offers": rewritten.drop(DAY)}))
+
+    apply_polls(spark, path, warehouse.fact_offers(new, rates, tiers), audit=audit)
+    return warnings
 
 
-GOLD: dict[str, Callable[[SparkSession, lk.Lake, DataFrame], dict[str, DataFrame]]] = {
+GOLD: dict[str, Callable[[SparkSession, lk.Lake, DataFrame], list[str]]] = {
     lk.RATES.name: _gold_rates,
     lk.TIERS.name: _gold_tiers,
     lk.SCHEDULE.name: _gold_schedule,
@@ -130,15 +156,27 @@ def run_dataset(
     spark: SparkSession, lake: lk.Lake, dataset: lk.Dataset, version: int, clock: str = "current_timestamp()",
     payloads: DataFrame | None = None,
 ) -> Run:
-    """Land ``payloads`` if given, refine, load staging, build the dataset's gold tables, check, and publish if checks pass."""
+    """Land ``payloads`` if given, refine, and write, audit and publish staging and gold.
+
+    When a check fails, readers keep the tables they had: candidates of staging and of the fact are dropped. The poll stays in silver,
+    so landing a mended payload of the same stamp, or mending the code, lets the next run publish.
+    """
     if payloads is not None and dataset.enabled:
         land(lake, dataset, payloads)
     if not REFINEMENTS[dataset.name].run(spark, lake, clock):
         return Run([], False)
     lk.register_views(spark, lake, [dataset])
-    staged = _load_staging(spark, lake, dataset)
-    tables = {f"stg_{dataset.name}": staged, **GOLD[dataset.name](spark, lake, staged)}
-    warnings = check_tables(tables)
+    table = staging_table(spark, lake, dataset)
+    candidate, staged = _staged(table, spark.read.parquet(lake.path("silver", dataset)), dataset)
+    try:
+        warnings = GOLD[dataset.name](spark, lake, staged)
+        # Last, as a run that stops before this stages the same rows again, which gold then knows.
+        if candidate is not None:
+            table.publish(candidate)
+    except BaseException:
+        if candidate is not None:
+            table.drop(candidate)
+        raise
     lk.publish(spark, lake, dataset.name, version)
     return Run(warnings, True)
 
@@ -149,24 +187,50 @@ def marts_due(spark: SparkSession, lake: lk.Lake) -> bool:
     return any(version > seen.get(MARTS, -1) for name, version in seen.items() if name != MARTS)
 
 
+def refresh_trends(spark: SparkSession, lake: lk.Lake) -> list[str]:
+    """Bring the trends up to the current version of the fact, by the days that changed since they were last built.
+
+    Sums, counts, minima and maxima per group are stored by day; the mart is a projection of them. Both are replaced for days whose
+    files differ between the fact's version noted then and the current one. A changed schedule, or a version that is
+    no longer kept, rebuilds all days.
+    """
+    source = fact_table(spark, lake.model_path("fct_compute_offers"))
+    partials = SnapshotTable(spark, lake.model_path("trend_partials"), BUCKET_DAY)
+    schedule = spark.read.parquet(lake.model_path("dim_electricity_tariff_schedule"))
+    looks = str(schedule.agg(F.expr("struct(count(*), bit_xor(xxhash64(*)))")).first()[0])
+    now, base = source.latest(), partials.latest()
+    known = base is not None and base.notes["schedule"] == looks and base.notes["fact"] in source.numbers()
+    days = None if not known else changed(source.version(base.notes["fact"]), now)
+    if days is not None and not days:
+        return []
+    buckets = None if days is None else {folder(BUCKET_DAY, d.partition("=")[2]) for d in days}
+    rows = with_exprs(marts.trend_partials(source.read(now, days), schedule), {BUCKET_DAY: "cast(hour_bucket as date)"})
+    candidate = partials.stage(rows, base, buckets, {"fact": now.number, "schedule": looks}, ("gpu_model_name", "offer_type"))
+    try:
+        built = marts.trends_of(partials.read(candidate, buckets), (BUCKET_DAY,))
+        warnings = check_tables({"mart_profitability_trends": built})
+        lk.write_table(built, lake.model_path("mart_profitability_trends"), **TREND_LAYOUT, only_partitions=days is not None)
+        partials.publish(candidate)
+    except BaseException:
+        partials.drop(candidate)
+        raise
+    return warnings
+
+
 def run_marts(spark: SparkSession, lake: lk.Lake, version: int) -> Run:
-    """Rebuild all marts from the stored fact and schedule, check, and publish if checks pass."""
+    """Rebuild the marts of open rows, refresh the trends, check, and publish if checks pass."""
     if not marts_due(spark, lake):
         return Run([], False)
     fact = read_fact(spark, lake.model_path("fct_compute_offers"))
-    schedule = spark.read.parquet(lake.model_path("dim_electricity_tariff_schedule"))
     built = {
         "mart_arbitrage_opportunities": marts.opportunities(fact),
         "mart_best_offers_by_gpu": marts.best_offers(fact),
         "mart_gpu_model_summary": marts.model_summary(fact),
-        "mart_profitability_trends": with_exprs(
-            marts.trends(fact, schedule), {"bucket_date": "cast(hour_bucket as date)"}
-        ),
     }
     stored = {}
     for model, df in built.items():
         lk.write_table(df, lake.model_path(model), **MART_LAYOUT[model])
         stored[model] = spark.read.parquet(lake.model_path(model))
-    warnings = check_tables(stored)
+    warnings = check_tables(stored) + refresh_trends(spark, lake)
     lk.publish(spark, lake, MARTS, version)
     return Run(warnings, True)

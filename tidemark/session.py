@@ -55,3 +55,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing is created yet."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders that nothing will read again."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

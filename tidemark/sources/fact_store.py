@@ -1,95 +1,54 @@
-"""The stored offers fact: day partitions, of which a load rewrites only those it changes.
+"""The stored offers fact: day partitions under versions, of which a load rewrites only those it changes.
 
-A load is safe to stop at any point. Its batch is written to ``<path>.batch`` first, then noted as begun in
-``<path>.loads``, then merged, and noted as done last. The watermark is that of the last load that is done, so a load that stopped
-halfway is found begun and is merged again from its own copy, whatever part of its days is already in place: rows
-above the watermark are left out and ends above it are taken back before the batch is replayed. Readers get the same view.
+A load is written beside the table and audited as a candidate version; only when it passes does it become the version that readers
+see (``snapshots``). So a load may stop or fail anywhere: the version before it stays, and the same or a mended batch
+is loaded again from there. The watermark is a note of the version.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fixed
 from tidemark.functions.text import literal, name, with_exprs
 from tidemark.operators.cleaning import deduplicate
-from tidemark.operators.incremental import append_evolving, close_by_replay, merge_upsert, watermark
-from tidemark.sources.lake import is_missing, read_table, write_table
+from tidemark.operators.incremental import append_evolving, close_by_replay, merge_upsert
+from tidemark.session import discard, scratch_path
+from tidemark.sources.lake import read_table, write_table
+from tidemark.sources.snapshots import SnapshotTable, Version, folder
 
 DAY = "valid_from_date"
 FOREVER = literal(fixed.OPEN_TIMESTAMP)
 CLUSTER = ("gpu_model_name", "offer_type")
+WATERMARK = "watermark"
 
+Audit = Callable[[DataFrame], Any]
 
-@dataclass(frozen=True)
-class Load:
-    """The state after the last note: ``done`` is the watermark of all finished loads, ``to`` that of a begun one."""
 
-    number: int
-    done: dt.datetime | None
-    to: dt.datetime | None
+def fact_table(spark: SparkSession, path: str) -> SnapshotTable:
+    return SnapshotTable(spark, path, DAY)
 
 
-_NOTE = "seq long, done timestamp, to timestamp"
+def _watermark(version: Version | None) -> dt.datetime | None:
+    # Noted with its offset, as Spark hands instants to Python in local time.
+    return None if version is None else dt.datetime.fromisoformat(version.notes[WATERMARK]).astimezone().replace(tzinfo=None)
 
 
-def _note(spark: SparkSession, path: str, seq: int, done: Any, to: Any) -> None:
-    """Begun and done alternate between two folders, so that a note cut short leaves the one before it readable."""
-    row = spark.createDataFrame([(seq, done, to)], _NOTE)
-    row.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}.loads/{seq % 2}")
-
-
-def last_load(spark: SparkSession, path: str) -> Load:
-    notes = []
-    for slot in (0, 1):
-        try:
-            notes += spark.read.schema(_NOTE).parquet(f"{path.rstrip('/')}.loads/{slot}").collect()
-        except AnalysisException as error:
-            if not is_missing(error):
-                raise
-    if notes:
-        last = max(notes, key=lambda r: r.seq)
-        return Load((last.seq + 1) // 2, last.done, last.to)
-    # A table without notes was written as a whole: its highest day holds its watermark.
-    table = read_table(spark, path)
-    return Load(0, None if table is None else day_watermark(table), None)
-
-
-def day_watermark(table: DataFrame, column: str = "valid_from", day: str = DAY) -> Any:
-    """The highest value by the highest partition: no other day's data is read."""
-    newest = table.agg(F.max(day)).first()[0]
-    return None if newest is None else watermark(table.filter(F.col(day) == F.lit(newest)), column)
-
-
-def _as_of(table: DataFrame, load: Load) -> DataFrame:
-    """The table without traces of a begun load."""
-    if load.to is None:
-        return table
-    if load.done is None:
-        return table.filter("false")
-    done = literal(load.done)
-    known = table.filter(f"{DAY} <= cast({done} as date) and valid_from <= {done}")
-    return with_exprs(known, {"valid_to": f"case when valid_to > {done} then {FOREVER} else valid_to end"})
-
-
-def fact_watermark(spark: SparkSession, path: str) -> Any:
-    return last_load(spark, path).done
+def fact_watermark(spark: SparkSession, path: str) -> dt.datetime | None:
+    """The latest poll that the current version holds."""
+    return _watermark(fact_table(spark, path).latest())
 
 
 def stored_fact(spark: SparkSession, path: str) -> DataFrame | None:
-    """The fact as of its last finished load, with its day column; None before the first one."""
-    table = read_table(spark, path)
-    if table is None:
-        return None
-    load = last_load(spark, path)
-    return None if load.done is None else _as_of(table, load)
+    """The current version of the fact, with its day column; None before the first one."""
+    table = fact_table(spark, path)
+    version = table.latest()
+    return None if version is None else table.read(version)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame | None:
@@ -103,73 +62,74 @@ def open_rows(spark: SparkSession, path: str) -> DataFrame | None:
     return None if fact is None else fact.filter(f"valid_to = {FOREVER}")
 
 
-def _write_days(fact: DataFrame, path: str) -> None:
-    dated = fact if DAY in fact.columns else with_exprs(fact, {DAY: "cast(valid_from as date)"})
-    cluster = [c for c in CLUSTER if c in dated.columns]
-    write_table(dated, path, partition_by=[DAY], cluster_by=cluster, only_partitions=True)
-
-
-def _copy_path(path: str, number: int) -> str:
-    return f"{path.rstrip('/')}.batch/{number % 2}"
-
-
-def apply_polls(spark: SparkSession, path: str, batch: DataFrame, key: str = "offer_id") -> int:
+def apply_polls(
+    spark: SparkSession, path: str, batch: DataFrame, key: str = "offer_id", audit: Audit | None = None, written: bool = False
+) -> int:
     """Add a batch of one or more whole polls, and close what each of them lacks.
 
     Same outcome as loading the polls one by one and calling ``close_absent`` after each, but
     in one pass: the batch is replayed together with one anchor row per id that is open at the
-    last finished poll. Rows at or below the watermark are left out, so a repeated batch changes
-    nothing. A load that was begun and not finished is merged again first. Returns the number of
+    last poll of the current version. Rows at or below the watermark are left out, so a repeated batch changes
+    nothing. ``audit`` sees the rewritten days of the candidate, as other days are files of versions that passed; if it raises,
+    the candidate is dropped and the current version stays.
+    ``written`` tells that the batch is read from files, so that no copy of it need be made. Returns the number of
     day partitions written.
     """
-    written = finish_load(spark, path, key)
-    load = last_load(spark, path)
-    fresh = batch.filter("valid_from is not null") if load.done is None else batch.filter(f"valid_from > {literal(load.done)}")
-    number = load.number + 1
-    write_table(fresh, _copy_path(path, number))
-    to = watermark(read_table(spark, _copy_path(path, number)), "valid_from")
-    if to is None:
-        return written
-    _note(spark, path, 2 * number, load.done, to)
-    return written + _merge(spark, path, Load(number, load.done, to), key)
-
-
-def finish_load(spark: SparkSession, path: str, key: str = "offer_id") -> int:
-    """Merge a load that was begun and not finished, if there is one. Returns the number of day partitions written."""
-    load = last_load(spark, path)
-    return 0 if load.to is None else _merge(spark, path, load, key)
-
-
-def _merge(spark: SparkSession, path: str, load: Load, key: str) -> int:
-    """Replay a begun load from its copy and note it as done.
+    table = fact_table(spark, path)
+    base = table.latest()
+    done = _watermark(base)
+    fresh = batch.filter("valid_from is not null") if done is None else batch.filter(f"valid_from > {literal(done)}")
+    copy = None
+    if not written:
+        copy = scratch_path(spark, "fact-batch")
+        fresh.write.parquet(copy)
+        fresh = spark.read.schema(fresh.schema).parquet(copy)
+    try:
+        found = fresh.selectExpr("max(valid_from) as high", "collect_set(cast(valid_from as date)) as days").first()
+        if found.high is None:
+            return 0
+        days = set(found.days)
+        rows, replaced = _replayed(spark, table, base, done, fresh, days, key)
+        candidate = table.stage(rows, base, replaced, {WATERMARK: found.high.astimezone(dt.timezone.utc).isoformat()}, [c for c in CLUSTER if c in fresh.columns])
+        try:
+            if audit is not None:
+                audit(table.read(candidate, replaced))
+            table.publish(candidate)
+        except BaseException:
+            table.drop(candidate)
+            raise
+        return len(replaced)
+    finally:
+        if copy is not None:
+            discard(spark, [copy])
+
+
+def _replayed(
+    spark: SparkSession, table: SnapshotTable, base: Version | None, done: dt.datetime | None, fresh: DataFrame, days: set[dt.date], key: str
+) -> tuple[DataFrame, set[str]]:
+    """The rows of all partitions that a load changes, and their folders.
 
     Only days with newly closed rows and days of the batch are rewritten. Their number is
     bounded by the calendar, which is all the driver sees.
     """
-    fresh, table = read_table(spark, _copy_path(path, load.number)), read_table(spark, path)
-    days = {r[0] for r in fresh.selectExpr(f"cast(valid_from as date) as {DAY}").distinct().collect()}
-    if load.done is None or table is None:
-        _write_days(close_by_replay(fresh, key), path)
-    else:
-        stored = _as_of(table, load)
-        k, last = name(key), literal(load.done)
-        still_open = stored.filter(f"valid_to = {FOREVER}")
-        anchors = still_open.select(key).distinct().selectExpr(k, f"{last} as valid_from")
-        runs = append_evolving(fresh, anchors)
-        # The last stored poll is part of the sequence even if nothing of it is still open.
-        previous = spark.range(1).selectExpr(f"{last} as valid_from")
-        ends = close_by_replay(runs, key, polls=runs.select("valid_from").unionByName(previous))
-
-        closing = ends.filter(f"valid_from = {last} and valid_to < {FOREVER}").selectExpr(f"{k} as _gone", "valid_to as _closed_at")
-        hit = still_open.join(closing, F.expr(f"{k} = _gone")).select(DAY).distinct()
-        days |= {r[0] for r in hit.collect()}
-        touched = stored.filter(F.col(DAY).isin(*days)).join(closing, F.expr(f"{k} = _gone"), "left")
-        closed_at = f"case when valid_to = {FOREVER} and _gone is not null then _closed_at else valid_to end"
-        kept = with_exprs(touched, {"valid_to": closed_at}).drop("_gone", "_closed_at")
-        added = with_exprs(ends.filter(f"valid_from > {last}"), {DAY: "cast(valid_from as date)"})
-        _write_days(append_evolving(kept, added), path)
-    _note(spark, path, 2 * load.number + 1, load.to, None)
-    return len(days)
+    if base is None:
+        return with_exprs(close_by_replay(fresh, key), {DAY: "cast(valid_from as date)"}), {folder(DAY, d) for d in days}
+    k, last = name(key), literal(done)
+    still_open = table.read(base).filter(f"valid_to = {FOREVER}")
+    anchors = still_open.select(key).distinct().selectExpr(k, f"{last} as valid_from")
+    runs = append_evolving(fresh, anchors)
+    # The last stored poll is part of the sequence even if nothing of it is still open.
+    previous = spark.range(1).selectExpr(f"{last} as valid_from")
+    ends = close_by_replay(runs, key, polls=runs.select("valid_from").unionByName(previous))
+
+    closing = ends.filter(f"valid_from = {last} and valid_to < {FOREVER}").selectExpr(f"{k} as _gone", "valid_to as _closed_at")
+    hit = still_open.join(closing, F.expr(f"{k} = _gone")).select(DAY).distinct()
+    replaced = {folder(DAY, d) for d in days | {r[0] for r in hit.collect()}}
+    touched = table.read(base, replaced).join(closing, F.expr(f"{k} = _gone"), "left")
+    closed_at = f"case when valid_to = {FOREVER} and _gone is not null then _closed_at else valid_to end"
+    kept = with_exprs(touched, {"valid_to": closed_at}).drop("_gone", "_closed_at")
+    added = with_exprs(ends.filter(f"valid_from > {last}"), {DAY: "cast(valid_from as date)"})
+    return append_evolving(kept, added), replaced
 
 
 def upsert_partitions(

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.functions.text import literal, names, with_exprs
-from tidemark.sources.fact_store import DAY, apply_polls, fact_watermark, finish_load, stored_fact
+from tidemark.session import discard, scratch_path
+from tidemark.sources.fact_store import DAY, apply_polls, fact_watermark, stored_fact
 from tidemark.sources.lake import write_table
 
 
@@ -35,23 +37,34 @@ def poll_merger(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        finish_load(spark, fact_path)
         high = fact_watermark(spark, fact_path)
-        place = f"row_number() over (partition by offer_id, valid_from order by {names(tie)})"
-        keyed = with_exprs(shape(batch).filter("offer_id is not null and valid_from is not null"), {"_place": place})
-        first = keyed.filter("_place = 1").drop("_place")
-        rejects = shape(batch).filter("offer_id is null or valid_from is null").selectExpr("*", "'no key' as reason")
-        rejects = rejects.unionByName(keyed.filter("_place > 1").drop("_place").selectExpr("*", "'double' as reason"))
-        if high is not None:
-            late = first.filter(f"valid_from <= {literal(high)}")
-            # On a rerun the batch's own rows are stored already; only the late rows' days are looked at.
-            days = late.selectExpr(f"cast(valid_from as date) as {DAY}").distinct()
-            known = stored_fact(spark, fact_path).join(days, DAY, "left_semi").select("offer_id", "valid_from", *tie)
-            unseen = late.join(known, ["offer_id", "valid_from", *tie], "left_anti").select(*late.columns)
-            rejects = rejects.unionByName(unseen.selectExpr("*", "'late' as reason"))
-        labelled = rejects.selectExpr("*", f"{batch_id}L as batch")
-        write_table(labelled, reject_path, partition_by=["batch"], only_partitions=True)
-        apply_polls(spark, fact_path, first)
+        # Shaped and judged once, and written: what follows reads this.
+        keyless = "offer_id is null or valid_from is null"
+        # Rows without a key are spread, as nothing is to be found among them.
+        spread = f"case when {keyless} then pmod(xxhash64({names(tie)}), 4096) end"
+        place = f"row_number() over (partition by offer_id, valid_from, {spread} order by {names(tie)})"
+        late = "false" if high is None else f"valid_from <= {literal(high)}"
+        reason = f"case when {keyless} then 'no key' when _place > 1 then 'double' when {late} then 'late' end"
+        judged = with_exprs(with_exprs(shape(batch), {"_place": place}).withColumn("reason", F.expr(reason)), {"batch": f"{batch_id}L"}).drop("_place")
+        work = scratch_path(spark, "micro-batch")
+        judged.write.parquet(work)
+        judged = spark.read.schema(judged.schema).parquet(work)
+        try:
+            reasons = {r[0] for r in judged.select("reason").distinct().collect()}
+            rejects = judged.filter("reason is not null")
+            if "late" in reasons:
+                # On a rerun the batch's own rows are stored already; only the late rows' days are looked at.
+                came = rejects.filter("reason = 'late'")
+                days = came.selectExpr(f"cast(valid_from as date) as {DAY}").distinct()
+                known = stored_fact(spark, fact_path).join(days, DAY, "left_semi").select("offer_id", "valid_from", *tie)
+                unseen = came.join(known, ["offer_id", "valid_from", *tie], "left_anti").select(*came.columns)
+                rejects = rejects.filter("reason <> 'late'").unionByName(unseen)
+            if reasons - {None}:
+                write_table(rejects, reject_path, partition_by=["batch"], only_partitions=True)
+            if None in reasons:
+                apply_polls(spark, fact_path, judged.filter("reason is null").drop("reason", "batch"), written=True)
+        finally:
+            discard(spark, [work])
 
     return merge
 
