@@ -425,6 +425,28 @@ ORACLES["calendar_hours"] = (
     "SELECT d AS day_of_week, h AS hour, count(ts) AS events FROM (SELECT unnest(range(1, 8)) AS d), (SELECT unnest(range(24)) AS h)"
     " LEFT JOIN events ON isodow(ts) = d AND hour(ts) - hour(ts) % 5 = h GROUP BY d, h"
 )
+ORACLES["interval_join_asof"] = chain(
+    {
+        "bought": "SELECT * FROM events WHERE event_type = 'purchase' QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id) = 1",
+        "states": "SELECT user_id, event_id AS state_id, value AS state_value, ts AS lo, least(ts + INTERVAL 6 HOUR,"
+        " coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts), ts + INTERVAL 6 HOUR)) AS hi FROM bought",
+    },
+    "SELECT e.event_id, state_id, state_value FROM events AS e LEFT JOIN states AS s ON e.user_id = s.user_id AND e.ts >= lo AND e.ts < hi",
+)
+ORACLES["interval_join_asof_hot"] = chain(
+    {
+        "bought": "SELECT * FROM events WHERE event_type = 'purchase' QUALIFY row_number() OVER (PARTITION BY ts ORDER BY event_id) = 1",
+        "states": "SELECT event_id AS state_id, ts AS lo, least(ts + INTERVAL 90 SECOND, coalesce(lead(ts) OVER (ORDER BY ts), ts + INTERVAL 90 SECOND)) AS hi FROM bought",
+    },
+    "SELECT e.event_id, state_id FROM events AS e LEFT JOIN states AS s ON e.ts >= lo AND e.ts < hi",
+)
+ORACLES["stream_dedup_state"] = "SELECT event_id, user_id, ts, value FROM events"
+ORACLES["sorted_sink"] = "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS place FROM events"
+ORACLES["schedule_in_order"] = (
+    "SELECT d AS day_of_week, h AS hour, count(o_orderkey) AS orders, row_number() OVER (ORDER BY d, h) AS place"
+    " FROM (SELECT CAST(unnest(range(1, 8)) AS BIGINT) AS d), (SELECT CAST(unnest(range(24)) AS BIGINT) AS h)"
+    " LEFT JOIN orders ON isodow(o_orderdate) = d AND o_orderkey % 24 = h GROUP BY d, h"
+)
 ORACLES["close_absent"] = chain(
     POLLED | {"last_poll": "SELECT max(ingested_at) AS latest FROM polled"},
     "SELECT user_id AS offer_id, ingested_at AS valid_from, CASE WHEN user_id IN (SELECT user_id FROM polled, last_poll"

@@ -18,7 +18,7 @@ from tidemark.plans import checks, dashboards, intermediate, jobs, marts, refine
 from tidemark.session import scratch_path
 from tidemark.sources import fact_store, landing
 from tidemark.sources import lake as lk
-from tidemark.streaming import polls
+from tidemark.streaming import dedup, polls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -413,6 +413,31 @@ def interval_join_salted(spark, sf):
     return _rated_offers(spark, sf, salts=4)
 
 
+def _purchase_states(events: DataFrame) -> DataFrame:
+    """What each user's last purchase says, for six hours or until the next one."""
+    bought = cleaning.deduplicate(events.filter("event_type = 'purchase'"), ["user_id", "ts"], ["event_id"])
+    following = intervals.with_next(bought, ["user_id"], "ts", "next_ts", chunk="trunc(ts, 'month')")
+    return following.selectExpr("user_id", "event_id as state_id", "value as state_value", "ts as lo", "least(ts + interval 6 hours, coalesce(next_ts, ts + interval 6 hours)) as hi")
+
+
+@register
+def interval_join_asof(spark, sf):
+    """Each event with the state of its user's last purchase; intervals begin and end at any second."""
+    events = standin.table(spark, sf, "events")
+    joined = intervals.asof_join(events.select("event_id", "user_id", "ts"), _purchase_states(events), "ts", "lo", "hi", keys=("user_id",))
+    return joined.select("event_id", "state_id", "state_value")
+
+
+@register
+def interval_join_asof_hot(spark, sf):
+    """Without keys: every event with the latest purchase of anyone, months split further."""
+    events = standin.table(spark, sf, "events")
+    bought = cleaning.deduplicate(events.filter("event_type = 'purchase'"), ["ts"], ["event_id"]).selectExpr("event_id as state_id", "ts as lo", "ts + interval 90 seconds as latest")
+    following = intervals.with_next(bought.selectExpr("*", "0 as feed"), ["feed"], "lo", "next_lo", chunk="trunc(lo, 'month')")
+    states = following.selectExpr("state_id", "lo", "least(latest, coalesce(next_lo, latest)) as hi")
+    return intervals.asof_join(events.select("event_id", "ts"), states, "ts", "lo", "hi", salts=8).select("event_id", "state_id")
+
+
 @register
 def tariff_pivot(spark, sf):
     return warehouse.tiers_by_code(_tariff_history(spark, sf))
@@ -784,3 +809,39 @@ def stream_late_rows(spark, sf):
     parts = [early.filter(f"not ({held_back})"), middle.unionByName(early.filter(held_back)), last]
     fact, rejects = _streamed(spark, parts)
     return fact.selectExpr("event_id", "'fact' as fate").unionByName(rejects.selectExpr("event_id", "reason as fate"))
+
+
+@register
+def stream_dedup_state(spark, sf):
+    """Events landed in three parts, each with the last six hours of the one before again: every event once."""
+    work = scratch_path(spark, "stream-once")
+    events = standin.table(spark, sf, "events").withColumn("ts", F.expr("cast(ts as timestamp)"))
+    parts = _slices(events, "ts")
+    again = [p.join(p.agg((F.max("ts") - F.expr("interval 6 hours")).alias("since")), F.expr("ts >= since")).drop("since") for p in parts]
+    for part in (parts[0], parts[1].unionByName(again[0]), parts[2].unionByName(again[1])):
+        part.write.mode("append").parquet(f"{work}/landed")
+        stream = polls.poll_stream(spark, f"{work}/landed", part.schema)
+        dedup.write_once(dedup.first_sightings(stream, ["event_id"], "ts", "12 hours"), f"{work}/once", f"{work}/checkpoint")
+    return naive(spark.read.schema(events.schema).parquet(f"{work}/once")).select("event_id", "user_id", "ts", "value")
+
+
+# ----------------------------------------------------------------- order at the sink
+
+
+@register
+def sorted_sink(spark, sf):
+    """Events written in order of time: their places when files are read by name."""
+    path = f"{scratch_path(spark, 'sorted')}/events"
+    lk.write_table(standin.table(spark, sf, "events").select("ts", "event_id"), path, cluster_by=("ts", "event_id"))
+    return lk.in_file_order(spark, path).select("event_id", "place")
+
+
+@register
+def schedule_in_order(spark, sf):
+    """Orders per weekday and hour of the hourly calendar, stored in (day, hour) order."""
+    path = f"{scratch_path(spark, 'schedule')}/hours"
+    orders = standin.table(spark, sf, "orders").selectExpr(f"{fn.iso_weekday('o_orderdate')} as day_of_week", "cast(o_orderkey % 24 as int) as hour")
+    counted = orders.groupBy("day_of_week", "hour").count()
+    hours = intervals.hourly_calendar(spark).join(counted, ["day_of_week", "hour"], "left").selectExpr("day_of_week", "hour", "coalesce(count, 0L) as orders")
+    lk.write_table(hours, path, cluster_by=("day_of_week", "hour"))
+    return lk.in_file_order(spark, path).select("day_of_week", "hour", "orders", "place")

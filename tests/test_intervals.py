@@ -1,8 +1,11 @@
 import datetime as dt
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tidemark.operators import intervals as iv
 from tests.conftest import day, rows
 
@@ -128,3 +131,40 @@ def test_copies_of_one_fact_row_are_spread_over_salts(spark):
     hot = spark.range(0, 8000, 1, 8).selectExpr("date'2024-01-15' as at", "1 as n")
     dim = spark.createDataFrame([(day("2024-01-10"), FOREVER, 1)], "s date, e date, v int")
     assert iv.interval_join(hot, dim, "at", "s", "e", salts=4).filter("v = 1").count() == 8000
+
+
+def test_asof_join_equals_range_join(spark):
+    import datetime as dt
+    import random
+
+    order, base = random.Random(3), dt.datetime(2024, 1, 25)
+    at = lambda minutes: base + dt.timedelta(minutes=minutes)
+    dim, n = [], 0
+    for k in (1, 2, 3):
+        t = 0
+        for _ in range(40):
+            t += order.randint(1, 900)
+            end = t + order.randint(0, 400)
+            dim.append((k, n, at(t), at(end)))
+            t, n = end, n + 1
+    facts = [(order.choice([1, 2, 3, 4, None]), i, at(order.randint(-500, 30_000)) if i % 37 else None) for i in range(600)]
+    # Facts on both borders of an interval, and copies.
+    facts += [(k, 1000 + i, t) for i, (k, _, lo, hi) in enumerate(dim) for t in (lo, hi)] + facts[:50]
+    dims = spark.createDataFrame(dim, "k int, state int, lo timestamp, hi timestamp")
+    rows_ = spark.createDataFrame(facts, "k int, f int, at timestamp")
+    want = rows_.alias("f").join(dims.alias("d"), F.expr("f.k = d.k and at >= lo and at < hi"), "left").select("f.k", "f", "at", "state", "lo", "hi")
+    for salts in (1, 4):
+        got = iv.asof_join(rows_, dims, "at", "lo", "hi", keys=["k"], salts=salts)
+        assert got.columns == want.columns and rows(got) == rows(want)
+        inner = iv.asof_join(rows_, dims, "at", "lo", "hi", keys=["k"], how="inner", salts=salts)
+        assert rows(inner) == rows(want.filter("state is not null"))
+    one = dims.filter("k = 1").drop("k")
+    got = iv.asof_join(rows_, one, "at", "lo", "hi", chunk="trunc({t}, 'week')", salts=3)
+    want = rows_.join(one, F.expr("at >= lo and at < hi"), "left")
+    assert rows(got) == rows(want)
+    plan = iv.asof_join(rows_.drop("f"), dims, "at", "lo", "hi", keys=["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan  # no row per day covered
+    for empty in (dims.filter("false"), dims.withColumn("hi", F.col("lo"))):
+        assert iv.asof_join(rows_, empty, "at", "lo", "hi", keys=["k"]).filter("state is null").count() == len(facts)
+    with pytest.raises(ValueError):
+        iv.asof_join(rows_, dims, "at", "lo", "hi", how="full")

@@ -73,3 +73,35 @@ def test_small_shares_of_a_partition_meet_in_one_file(spark, tmp_path):
     rows = spark.range(0, 4000, numPartitions=8).selectExpr("cast(id as int) as k", "'v' as v", "date_add(date'2024-01-01', cast(id % 4 as int)) as d")
     t.publish(t.stage(rows, None, None, {}))
     assert len(list((tmp_path / "table").rglob("*.parquet"))) == 4
+
+
+def test_files_in_name_order_hold_the_order(spark, tmp_path):
+    from tidemark.sources.lake import in_file_order, write_table
+
+    path = str(tmp_path / "sorted")
+    rows = spark.range(0, 5000, numPartitions=7).selectExpr("pmod(xxhash64(id), 1000) as a", "id as b")
+    write_table(rows, path, cluster_by=("a", "b"))
+    got = [(r.a, r.b) for r in in_file_order(spark, path).orderBy("place").collect()]
+    assert got == sorted((r.a, r.b) for r in rows.collect())
+    assert [r.place for r in in_file_order(spark, path).orderBy("place").collect()] == list(range(1, 5001))
+
+
+def test_upsert_reads_touched_partitions_only(spark, tmp_path, monkeypatch):
+    from tidemark.sources import fact_store
+
+    path = str(tmp_path / "table")
+    rows = spark.range(0, 100).selectExpr("id as k", "concat('p', id % 10) as p", "'old' as v").unionByName(spark.createDataFrame([(900, None, "old")], "k long, p string, v string"))
+    fact_store.upsert_partitions(spark, path, rows, ["k", "p"], "p", ["v"])
+    plans = []
+    real = fact_store.merge_upsert
+
+    def merge(target, *args):
+        plans.append(target._jdf.queryExecution().executedPlan().toString())
+        return real(target, *args)
+
+    monkeypatch.setattr(fact_store, "merge_upsert", merge)
+    assert fact_store.upsert_partitions(spark, path, spark.createDataFrame([(3, "p3", "new")], "k long, p string, v string"), ["k", "p"], "p", ["v"]) == 1
+    assert fact_store.upsert_partitions(spark, path, spark.createDataFrame([(901, None, "new")], "k long, p string, v string"), ["k", "p"], "p", ["v"]) == 1
+    assert "PartitionFilters: [isnotnull(p" in plans[0] and "p3" in plans[0] and "isnull(p" in plans[1]
+    got = {(r.k, r.p): r.v for r in fact_store.read_table(spark, path).collect()}
+    assert len(got) == 102 and got[(3, "p3")] == "new" and got[(13, "p3")] == "old" and got[(900, None)] == "old" and got[(901, None)] == "new"

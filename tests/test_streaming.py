@@ -41,3 +41,25 @@ def test_stream_equals_polls_one_by_one_and_keeps_late_rows(spark, tmp_path):
     before = outcome(read_fact(spark, fact))
     sink(spark.read.parquet(str(landed)), 99)  # a batch that runs again
     assert outcome(read_fact(spark, fact)) == before
+
+
+def test_doubles_over_micro_batches_are_dropped_and_state_is_evicted(spark, tmp_path):
+    from tidemark.streaming import dedup
+
+    base, shape = dt.datetime(2024, 1, 30), "id long, at timestamp"
+    landed, once, checkpoint = (str(tmp_path / n) for n in ("landed", "once", "checkpoint"))
+
+    def drain(items):
+        rows = [(i, base + dt.timedelta(hours=h)) for i, h in items]
+        spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(landed)
+        stream = polls.poll_stream(spark, landed, spark.read.parquet(landed).schema)
+        return dedup.write_once(dedup.first_sightings(stream, ["id"], "at", "10 hours"), once, checkpoint)
+
+    kept = []
+    for items in ([(1, 0), (2, 1), (2, 1)], [(1, 0), (3, 5), (None, 5), (None, 6)], [(3, 5), (4, 40)], [(1, 41), (5, 2)], [(6, 90)]):
+        query = drain(items)
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    got = sorted((r.id or 0, int((r.at - base).total_seconds()) // 3600) for r in spark.read.schema(shape).parquet(once).collect())
+    # 1 comes again after its state is gone; 5 is later than the watermark.
+    assert got == [(0, 5), (1, 0), (1, 41), (2, 1), (3, 5), (4, 40), (6, 90)]
+    assert max(kept) <= 5 and kept[-1] <= 2

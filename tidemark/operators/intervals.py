@@ -170,3 +170,41 @@ def interval_join(
         expanded = expanded.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) as _salt_d")
         cond += " and _salt = _salt_d"
     return timed.join(expanded, F.expr(cond), how).drop("_day", "_at_day", "_salt", "_salt_d")
+
+
+def asof_join(
+    facts: DataFrame, dim: DataFrame, at: str, start: str = "valid_from", end: str = "valid_to", keys: Sequence[str] = (),
+    how: str = "left", chunk: str = "trunc({t}, 'month')", salts: int = 1,
+) -> DataFrame:
+    """``range_join`` on equal ``keys`` for a dim whose intervals do not overlap within a key, on times of any precision.
+
+    Facts and dim rows are put in one order of time, and each fact takes the last dim row before it, if that has not ended. No dim row
+    is repeated for the time it covers, and nothing but this union is shuffled. ``chunk`` is an expression of the time ``{t}`` that
+    never decreases with it: a key's rows are split by chunk, and one dim row per chunk is carried into the later ones. ``salts`` splits
+    a hot chunk's facts further, at the price of that many copies of the dim.
+
+    Null keys match nothing, nor do null times; empty intervals hold nothing. ``facts`` and ``dim`` must not share columns but the keys.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(how)
+    given = [f"cast({name(k)} as {facts.schema[k].dataType.simpleString()}) as {name(k)}" for k in keys]
+    own = [c for c in dim.columns if c not in keys]
+    some = dim.filter(f"{name(start)} < {name(end)}").selectExpr(
+        *given, f"cast({name(start)} as timestamp) as _t", "0 as _kind", f"struct({names(own)}) as _dim", f"explode(sequence(0, {salts - 1})) as _salt" if salts > 1 else "0 as _salt",
+    )
+    # Different rows are spread by their hash, copies of one row by the task that reads them.
+    spread = f"cast(pmod(pmod(xxhash64({names(facts.columns)}), {salts}L) + spark_partition_id(), {salts}L) as int)" if salts > 1 else "0"
+    asked = facts.selectExpr(*map(name, keys), f"cast({at} as timestamp) as _t", "1 as _kind", f"struct({names(facts.columns)}) as _fact", f"{spread} as _salt")
+    by = [*keys, "_salt"]
+    keyed = keyed_by_chunk(asked.unionByName(some, allowMissingColumns=True), by, chunk.format(t="_t"))
+    local = with_exprs(keyed, {"_here": "last(_dim, true) over (partition by _key order by _t, _kind rows between unbounded preceding and current row)"})
+    wide = carry_across(
+        local, by, {"_last": "max_by(_dim, _t) filter (where _kind = 0)"},
+        {"_before": "last(_last, true) over ({w} rows between unbounded preceding and 1 preceding)"},
+    )
+    found = wide.filter("_kind = 1").selectExpr("_fact", "_t", "coalesce(_here, _before) as _dim")
+    known = " and ".join(["_t is not null", *[f"_fact.{name(k)} is not null" for k in keys], f"_t < _dim.{name(end)}"])
+    held = found.selectExpr("_fact.*", f"case when {known} then _dim end as _dim")
+    if how == "inner":
+        held = held.filter("_dim is not null")
+    return held.selectExpr(*map(name, facts.columns), *[f"_dim.{name(c)} as {name(c)}" for c in own])

@@ -120,7 +120,7 @@ def _gold_tiers(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> list[s
 def _gold_schedule(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> list[str]:
     middle = intermediate.schedule(staged)
     tables = {"stg_electricity_tariff_schedule": staged, "int_electricity_tariff_schedule": middle}
-    return _checked_dim(spark, lake, tables, "dim_electricity_tariff_schedule", warehouse.dim_schedule(middle))
+    return _checked_dim(spark, lake, tables, "dim_electricity_tariff_schedule", warehouse.dim_schedule(middle), cluster_by=("day_of_week", "hour", "valid_from"))
 
 
 def _gold_offers(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> list[str]:

@@ -140,18 +140,23 @@ def upsert_partitions(
     ``partition_by`` must be among ``keys``, so that a row and its replacement share a partition; a null
     partition is one like any other. Returns the number of partitions written. Repeating a batch leaves the
     table as it is, unless it has null keys, which match nothing.
+
+    The touched values are few beside the rows and known to the driver, so they reach the scan as literals: other partitions are not
+    listed for reading, whatever size the join is planned for.
     """
     if partition_by not in keys:
         raise ValueError(f"{partition_by} must be one of the merge keys")
-    touched = batch.select(F.col(partition_by).alias("_touched")).distinct()
-    n = touched.count()
-    if not n:
+    values = [r[0] for r in batch.select(partition_by).distinct().collect()]
+    if not values:
         return 0
     stored = read_table(spark, path)
     if stored is None:
         merged = deduplicate(batch, keys, order_by)
     else:
-        rewritten = stored.join(touched, F.col(partition_by).eqNullSafe(F.col("_touched")), "left_semi")
+        touched = F.col(partition_by).isin([v for v in values if v is not None])
+        if None in values:
+            touched = touched | F.col(partition_by).isNull()
+        rewritten = stored.filter(touched)
         merged = merge_upsert(rewritten, batch, keys, order_by)
     write_table(merged, path, partition_by=[partition_by], only_partitions=True)
-    return n
+    return len(values)

@@ -109,12 +109,15 @@ def write_table(
     """Write Parquet. ``only_partitions`` replaces just the partitions present in ``df``, not the table.
 
     Clustering sorts by the cluster columns: range-partitioned when the table has no partition
-    columns, so that files hold narrow key ranges and their statistics let scans skip them.
-    A day's rows are not forced into one task; each task sorts the partitions it holds.
+    columns, so that files hold narrow key ranges and their statistics let scans skip them, and files in
+    name order hold the rows in order (``in_file_order``). With partition columns rows are rebalanced by these: the small shares of a
+    partition meet in one file, and a partition beyond AQE's advisory size is split over several tasks.
     """
     # Noted first: a column without files reads as null, files without a noted column would hide it.
     _note_schema(df.sparkSession, path, df.schema, replaced=mode == "overwrite" and not only_partitions)
-    if cluster_by and not partition_by:
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    elif cluster_by:
         df = df.repartitionByRange(*cluster_by)
     if cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
@@ -122,6 +125,17 @@ def write_table(
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def in_file_order(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a table with their ``place`` (from 1) when its files are read one after the other by name.
+
+    A row's place is its place in its file after the rows of the files before it, so no rows are sorted.
+    """
+    rows = read_table(spark, path).selectExpr("*", "_metadata.file_name as _file", "_metadata.row_index as _at")
+    sizes = rows.groupBy("_file").agg(F.max("_at").alias("_last"))
+    before = sizes.selectExpr("_file as _of", "sum(_last + 1) over (order by _file) - _last as _first")
+    return rows.join(before, F.expr("_file = _of")).withColumn("place", F.expr("_first + _at")).drop("_file", "_of", "_at", "_first")
+
+
 def write_unless_empty(df: DataFrame, path: str, **layout) -> bool:
     """Never replace a table by nothing: an empty batch leaves it as it is."""
     if df.isEmpty():

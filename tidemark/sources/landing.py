@@ -40,8 +40,10 @@ def explode_offers(payloads: DataFrame, payload: str = "payload") -> DataFrame:
         return f"case when {absent} then {literal(fixed.OFFER_KEY_DEFAULTS[key])} else {text} end"
 
     texts = {c: key for c, (key, kind, _) in fixed.OFFER_FIELDS.items() if key and kind == T.StringType()}
+    # Without escaped quotes, a quoted key before a quote can only be that key with a text; the pattern is for all other offers.
+    plainly = "not contains(_offer, r'\\\"') and contains(_offer, r'\"{key}\":\"')"
     bare = ", ".join(
-        rf"""case when _o.{name(key)} is not null and not _offer rlike r'(?<!\\)"{key}"\s*:\s*"' then {literal(c)} end"""
+        rf"""case when _o.{name(key)} is not null and not ({plainly.format(key=key)}) and not _offer rlike r'(?<!\\)"{key}"\s*:\s*"' then {literal(c)} end"""
         for c, key in texts.items()
     )
     return parsed.selectExpr(
@@ -58,17 +60,24 @@ def unreadable_payloads(payloads: DataFrame, payload: str = "payload") -> DataFr
     return missing.selectExpr("ingested_at", "offer_type", name(payload), f"{rule} as failed_rules")
 
 
+def _inked(char: str) -> str:
+    """Whether a character (the first one of a text) is ASCII and not blank; false for an empty text. Cheaper than a pattern."""
+    return f"ascii({char}) between 33 and 126"
+
+
 def blank_text_to_null(df: DataFrame) -> DataFrame:
     """Whitespace-only text to null in every string column; other text stays as it is."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return computed_once(df, {c: rf"case when not {name(c)} rlike r'^{BLANK}$' then {name(c)} end" for c in texts})
+    return computed_once(df, {c: rf"case when {_inked(name(c))} or not {name(c)} rlike r'^{BLANK}$' then {name(c)} end" for c in texts})
 
 
 def coerced(column: str, kind: T.DataType) -> str:
     """``column``, a text, as ``kind`` by the record model's rules, else null: whole floats are ints, on and off are booleans."""
-    text = rf"regexp_replace({name(column)}, r'^{BLANK}|{BLANK}$', '')"
+    own = name(column)
+    bare = f"{_inked(own)} and {_inked(f'right({own}, 1)')}"
+    text = rf"case when {bare} then {own} else regexp_replace({own}, r'^{BLANK}|{BLANK}$', '') end"
     if isinstance(kind, (T.LongType, T.IntegerType)):
-        text = rf"regexp_replace({text}, r'\.0*$', '')"
+        text = rf"case when contains({own}, '.') then regexp_replace({text}, r'\.0*$', '') else {text} end"
     elif isinstance(kind, T.BooleanType):
         text = f"case lower({text}) when 'on' then 'true' when 'off' then 'false' else {text} end"
     elif isinstance(kind, T.StringType):
@@ -84,18 +93,17 @@ def validate(
 
     ``wrong_type`` gives conditions under which a column's value is of the wrong type although it can be read.
     """
-    typed, wrong = {c: coerced(c, kind) for c, kind in types.items()}, wrong_type or {}
+    wrong = wrong_type or {}
+    read = {c: f"_read_{c}" for c, kind in types.items() if kind != T.StringType()}
+    # Read once: rules and valid rows both need the values.
+    rows = computed_once(df, {into: coerced(c, types[c]) for c, into in read.items()}) if read else df
     rules = {f"{c}:required": f"{name(c)} is null" for c in required}
-    rules |= {
-        f"{c}:type": wrong.get(c, f"{name(c)} is not null and {cast} is null")
-        for c, cast in typed.items()
-        if c in wrong or types[c] != T.StringType()
-    }
+    rules |= {f"{c}:type": wrong.get(c, f"{name(c)} is not null and {name(read.get(c, c))} is null") for c in types if c in wrong or c in read}
     rules |= {f"{c}:enum": f"{name(c)} not in ({literals(values)})" for c, values in accepted.items()}
     reasons = ", ".join(f"case when {cond} then {literal(rule)} end" for rule, cond in rules.items())
-    checked = df.selectExpr("*", f"nullif(concat_ws(',', {reasons}), '') as failed_rules")
-    valid = checked.filter("failed_rules is null").drop("failed_rules")
-    return with_exprs(valid, typed), checked.filter("failed_rules is not null")
+    checked = rows.selectExpr("*", f"nullif(concat_ws(',', {reasons}), '') as failed_rules")
+    valid = with_exprs(checked.filter("failed_rules is null"), {c: name(into) for c, into in read.items()})
+    return valid.drop("failed_rules", *read.values()), checked.filter("failed_rules is not null").drop(*read.values())
 
 
 def land_offers(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
