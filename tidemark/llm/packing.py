@@ -12,7 +12,6 @@ a null id is an ordinary id; an empty table gives no rows; other columns of ``do
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -33,23 +32,21 @@ PACKED = f"{PIECE}, bin bigint, at bigint, fill bigint"
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Every document's pieces; only the first of a longer one may be short."""
-    end = array("I", [end_id]).tobytes()
-    width = tokens.ID_BYTES
-
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for part, ids in tokens.encoded(batches, vocabulary):
+        for part, flat, counts in tokens.encoded(batches, vocabulary, end_id):
             columns: list[list] = [[], [], [], [], []]
-            for doc, coded in zip(part.column("doc_id").to_pylist(), ids, strict=True):
-                whole = coded + end
-                n = len(whole) // width
+            data, at = memoryview(flat.astype("<u4", copy=False)).cast("B"), 0
+            for doc, n in zip(part.column("doc_id").to_pylist(), counts.tolist(), strict=True):
                 stops = range(n - (n - 1) // capacity * capacity, n + 1, capacity)
                 start = 0
                 for k, stop in enumerate(stops):
-                    for column, value in zip(columns, (doc, k, start, stop - start, zlib.crc32(whole[width * start : width * stop])), strict=True):
+                    crc = zlib.crc32(data[tokens.ID_BYTES * (at + start) : tokens.ID_BYTES * (at + stop)])
+                    for column, value in zip(columns, (doc, k, start, stop - start, crc), strict=True):
                         column.append(value)
                     start = stop
+                at += n
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"]

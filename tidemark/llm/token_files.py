@@ -1,6 +1,6 @@
 """Token ids as Parquet lists that can be read selectively.
 
-Documents are dealt into files by ranges of ``doc_id`` and sorted in them, so that files in name order hold ids in
+Documents are dealt into files by ranges of ``doc_id`` (of text hashes within one id) and sorted in them, so that files in name order hold ids in
 ascending order. Ids are a dictionary-encoded list column (a file has few distinct ids beside its length), counts and
 positions are delta-encoded; row groups and pages are kept small, and Parquet's page indexes let a reader of a few
 documents, or of the metadata alone, skip the rest. Each row has its position in its file, so a document's
@@ -13,7 +13,6 @@ their text; an empty table gives no rows; other columns of ``docs`` are not read
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,12 +23,14 @@ from tidemark.session import scratch_path
 
 END_ID = 2
 FILE_BYTES = 32 << 20
+#: Files whose counts are summed together.
+RUN = 4096
 SCHEMA = "part int, doc_id bigint, position bigint, n_tokens bigint, tokens array<int>"
 LAYOUT = {
     "parquet.writer.version": "v2",  # delta encodings for integers without a dictionary
     "parquet.enable.dictionary": "false",
     "parquet.enable.dictionary#tokens.list.element": "true",
-    "parquet.block.size": str(16 << 20),
+    "parquet.block.size": str(8 << 20),
     "parquet.page.size": str(256 << 10),
     "parquet.page.row.count.limit": "2000",
     "compression": "zstd",
@@ -37,35 +38,27 @@ LAYOUT = {
 
 
 def _in_files(docs: DataFrame, file_bytes: int) -> DataFrame:
-    """``docs`` dealt by ranges of ids and sorted. The bounds are fixed first, so that a task run anew gets the same rows."""
-    n_bytes = docs.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n = max(1, -(-n_bytes // file_bytes))
-    bounds = []
-    if n > 1:
-        steps = [i / n for i in range(1, n)]
-        bounds = docs.select(F.percentile_approx("doc_id", steps, 10 * n + 1000)).first()[0] or []
-    bounds = sorted(set(bounds))
-    part = F.lit(0)
-    if bounds:
-        over = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("doc_id"))
-        part = F.coalesce(F.size(over), F.lit(0))
-    rows = docs.select(part.cast("int").alias("part"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("part", "doc_id", F.xxhash64("text"))
+    """``docs`` dealt into files by a sampled range sort of ids, then text hashes, so that no id has to fit one file.
 
+    Equal rows are spread by the task that read them, which a task run anew keeps.
+    """
+    n_bytes = docs.select(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))).first()[0]
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    keyed = rows.withColumn("text_hash", F.xxhash64("text")).withColumn("reader", F.spark_partition_id())
+    keys = ("doc_id", "text_hash", "reader")
+    dealt = keyed.repartitionByRange(max(1, -(-n_bytes // file_bytes)), *keys).sortWithinPartitions(*keys)
+    return dealt.select(F.spark_partition_id().alias("part"), "doc_id", "text")
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> None:
-    end = array("I", [end_id]).tobytes()
 
+def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> None:
     def rows(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         position = 0
-        for part, ids in tokens.encoded(batches, vocabulary):
-            counts = np.array([len(b) // tokens.ID_BYTES + 1 for b in ids], np.int64)
+        for part, flat, counts in tokens.encoded(batches, vocabulary, end_id):
             ends = np.cumsum(counts)
-            flat = np.frombuffer(b"".join(x for b in ids for x in (b, end)), np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(flat))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(flat.view(np.int32)))
             places = pa.array(position + ends - counts)
             yield pa.RecordBatch.from_arrays(
                 [part.column("part"), part.column("doc_id"), places, pa.array(counts), lists],
@@ -81,10 +74,13 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_offsets(written: DataFrame) -> DataFrame:
-    """Ids before each file, from the count column alone."""
-    sums = written.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    ahead = F.sum("n").over(Window.orderBy("part")) - F.col("n")
-    return sums.select(F.col("part").alias("of_part"), ahead.alias("ahead"))
+    """Ids before each file, from the count column alone. Runs of ``RUN`` files are summed first, so that no task holds all files."""
+    sums = written.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn("run", F.expr(f"part div {RUN}"))
+    runs = sums.groupBy(F.col("run").alias("of_run")).agg(F.sum("n").alias("n"))
+    runs = runs.select("of_run", (F.sum("n").over(Window.orderBy("of_run")) - F.col("n")).alias("before"))
+    inside = F.sum("n").over(Window.partitionBy("run").orderBy("part")) - F.col("n")
+    placed = sums.withColumn("inside", inside).join(runs, F.col("run") == F.col("of_run"))
+    return placed.select(F.col("part").alias("of_part"), F.expr("before + inside").alias("ahead"))
 
 
 def checksums(rows: DataFrame) -> DataFrame:

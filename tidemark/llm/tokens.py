@@ -2,12 +2,17 @@
 
 The tokenizer's byte-level pattern never joins text across a single space with other characters on both sides, so a
 text falls into words there. It also parts letters from punctuation behind them. Each distinct run of letters, and
-each tail of punctuation, is encoded once per worker, many at a time; words of any other form are encoded as they
+each tail of punctuation, is encoded once per cache, many at a time; words of any other form are encoded as they
 are. Texts with other runs of white space are cut at such spaces only. The ids are those of the whole text.
+
+Words get numbers, and the ids of a batch of texts are gathered by these numbers from one array. The cache is bounded in words and
+characters, so a worker stays small whatever it reads: when it is full it becomes the old cache, the one before that goes, and
+words that are met again move into the new one.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from array import array
@@ -18,85 +23,136 @@ import numpy as np
 ID_BYTES = 4
 #: How byte-level vocabularies write a space.
 SPACE = "\u0120"
-#: Entries and characters a worker's cache may hold; beyond, it starts anew.
-CACHE_WORDS, CACHE_CHARS = 1_000_000, 20_000_000
+#: Words and characters a worker's cache may hold, beside an old cache of that size.
+CACHE_WORDS, CACHE_CHARS = 350_000, 4_000_000
+#: Letters before this one (Latin, Greek and Cyrillic) are letters to every version of Unicode in use; words with others go the general way.
+FIRST_OTHER = "\u0530"
 _UNEVEN = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Neither white space nor letter nor digit, and no apostrophe, which may begin a contraction.
 _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+def _byte_letters() -> list[str]:
+    """How byte-level vocabularies write each byte: visible characters as themselves, the others in order from U+0100 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in visible]
+    return [chr(b) if b in visible else chr(0x100 + hidden.index(b)) for b in range(256)]
+
+
+_BYTE_LETTERS = dict(enumerate(_byte_letters()))
+
+
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+class _Numbers(dict):
+    """Numbers of words, given out as they are asked for."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 class Encoder:
-    """Texts to little-endian 32-bit ids, as bytes."""
+    """Texts to 32-bit ids."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._after_space: dict[str, bytes] = {}
-        self._chars = 0
-        size = self._tokenizer.get_vocab_size()
-        self._with_space = np.array([(self._tokenizer.id_to_token(i) or "").startswith(SPACE) for i in range(size)])
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        encodings = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in encodings]
-
-    def _letters(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of runs of letters after a space. Each is one piece of the tokenizer's own pattern, so they go as one text,
-        in which the ids that begin with a space begin a word."""
-        flat = array("I", self._tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids)
-        starts = np.flatnonzero(self._with_space[np.frombuffer(flat, np.uint32)]).tolist()
-        if len(starts) != len(words):
-            return dict(zip(words, self._ids([" " + w for w in words]), strict=True))
-        ids = flat.tobytes()
-        return {w: ids[ID_BYTES * a : ID_BYTES * b] for w, a, b in zip(words, starts, [*starts[1:], len(flat)], strict=True)}
-
-    def _learn(self, words: set[str]) -> None:
-        known, plain, tailed, other = self._after_space, set(), [], []
-        for w in words:
-            letters = w.rstrip(_TAIL)
-            if not letters.isalpha():
-                other.append(w)
-                continue
-            if letters not in known:
-                plain.add(letters)
-            if len(letters) < len(w):
-                tailed.append((w, letters, w[len(letters) :]))
-        if plain:
-            known.update(self._letters(list(plain)))
-        tails = list({t for *_, t in tailed})
-        behind = dict(zip(tails, self._ids(tails), strict=True))
-        known.update((w, known[letters] + behind[t]) for w, letters, t in tailed)
-        known.update(zip(other, self._ids([" " + w for w in other]), strict=True))
-        self._chars += sum(map(len, words)) + sum(map(len, plain))
+        self._piece = self._tokenizer.model.tokenize
+        self._begin()
+        self._begin()
+
+    def _begin(self) -> None:
+        """Make the cache the old one and start a new one."""
+        if hasattr(self, "_numbers"):
+            self._old = self._numbers
+            self._old_ids, self._old_starts, self._old_sizes = (array(t, x.tobytes()) for t, x in (("I", self._ids_of), ("q", self._starts), ("q", self._sizes)))
+        # A key that begins with a space is a text's first word, any other one a word after a space.
+        self._numbers, self._tails = _Numbers(), {}
+        self._ids_of, self._starts, self._sizes, self._chars = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), 0
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _tail(self, tail: str) -> list[int]:
+        if tail not in self._tails:
+            self._tails[tail] = self._encoded([tail])[0]
+        return self._tails[tail]
+
+    def _learn(self) -> None:
+        """Encode the words that have numbers and no ids yet.
+
+        A run of letters after a space is one piece of the tokenizer's own pattern, so its model takes it as it is.
+        """
+        known = len(self._starts)
+        new = list(itertools.islice(self._numbers, known, None))
+        old, old_ids, old_starts, old_sizes, piece = self._old.get, self._old_ids, self._old_starts, self._old_sizes, self._piece
+        flat: list[int] = []
+        ends: list[int] = []
+        later: list[int] = []
+        for i, w in enumerate(new):
+            n = old(w)
+            if n is not None:
+                start = old_starts[n]
+                flat += old_ids[start : start + old_sizes[n]]
+            elif w.isalpha() and w.isascii():
+                flat += [t.id for t in piece(SPACE + w)]
+            else:
+                letters = w.rstrip(_TAIL)
+                if letters.isalpha() and max(letters) < FIRST_OTHER:
+                    written = letters if letters.isascii() else letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                    flat += [t.id for t in piece(SPACE + written)]
+                    if len(letters) < len(w):
+                        flat += self._tail(w[len(letters) :])
+                else:
+                    later.append(i)
+            ends.append(len(flat))
+        stops = np.array(ends, np.int64)
+        starts = np.append(0, stops[:-1])
+        sizes = stops - starts
+        for i, ids in zip(later, self._encoded([w[1:] if w[:1] == " " else " " + w for w in map(new.__getitem__, later)]), strict=True):
+            starts[i], sizes[i] = len(flat), len(ids)
+            flat += ids
+        self._starts = np.concatenate([self._starts, starts + len(self._ids_of)])
+        self._sizes = np.concatenate([self._sizes, sizes])
+        self._ids_of = np.concatenate([self._ids_of, np.array(flat, np.uint32)])
+        self._chars += sum(map(len, new))
+
+    def encode_flat(self, texts: list[str], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``texts`` one after the other, each with ``end_id`` behind it if given, and how many each has."""
+        if len(self._numbers) > CACHE_WORDS or self._chars > CACHE_CHARS:
+            self._begin()
+        words: list[str] = []
+        ends = np.empty(len(texts), np.int64)
+        for i, t in enumerate(texts):
+            split = _CUT.split(t) if _UNEVEN.search(t) else t.split(" ")
+            split[0] = " " + split[0]
+            words += split
+            ends[i] = len(words)
+        number = np.fromiter(map(self._numbers.__getitem__, words), np.int64, len(words))
+        if len(self._numbers) > len(self._starts):
+            self._learn()
+        starts, sizes = self._starts[number], self._sizes[number]
+        before = np.append(0, np.cumsum(sizes))
+        # Each id's place in the array of known ids: its word's start there, and how far into the word it is.
+        flat = self._ids_of[np.repeat(starts - before[:-1], sizes) + np.arange(before[-1])]
+        stops = before[ends]
+        counts = np.diff(np.append(0, stops))
+        if end_id is not None:
+            flat, counts = np.insert(flat, stops, end_id), counts + 1
+        return flat, counts
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. ``texts`` should be a bounded batch."""
-        if len(self._after_space) > CACHE_WORDS or self._chars > CACHE_CHARS:
-            self._after_space, self._chars = {}, 0
-        split = [(_CUT.split(t) if _UNEVEN.search(t) else t.split(" ")) for t in texts]
-        firsts = self._ids([words[0] for words in split])
-        look = self._after_space.get
-        found = [list(map(look, words)) for words in split]
-        missing = {w for words, ids in zip(split, found, strict=True) for w, i in zip(words[1:], ids[1:], strict=True) if i is None}
-        if missing:
-            self._learn(missing)
-            look = self._after_space.__getitem__
-        out = []
-        for first, words, ids in zip(firsts, split, found, strict=True):
-            ids[0] = first
-            if None in ids:
-                ids[1:] = map(look, words[1:])
-            out.append(b"".join(ids))
-        return out
+        """The ids of each text as little-endian bytes. ``texts`` should be a bounded batch."""
+        flat, counts = self.encode_flat(texts)
+        return [part.astype("<u4").tobytes() for part in np.split(flat, np.cumsum(counts)[:-1])] if texts else []
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -109,14 +165,23 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encoded(batches: Iterator, path: str, text: str = "text", chars: int = 1_000_000) -> Iterator:
-    """Pairs (part of an Arrow batch, ids per row); parts hold about ``chars`` characters. Null counts as empty."""
+def encoded(batches: Iterator, path: str, end_id: int, text: str = "text", size: int = 500_000) -> Iterator:
+    """(part of an Arrow batch, ids of its rows one after the other, ids per row); each row ends with ``end_id``.
+
+    Parts hold about ``size`` bytes of text, and only their texts are made Python strings. Null counts as empty.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     coder = encoder(path)
     for batch in batches:
-        texts = [t or "" for t in batch.column(text).to_pylist()]
-        start, size = 0, 0
-        for i, t in enumerate(texts):
-            size += len(t)
-            if size >= chars or i + 1 == len(texts):
-                yield batch.slice(start, i + 1 - start), coder.encode(texts[start : i + 1])
-                start, size = i + 1, 0
+        upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            done = int(upto[start - 1]) if start else 0
+            stop = min(batch.num_rows, max(start + 1, int(np.searchsorted(upto, done + size, "right"))))
+            part = batch.slice(start, stop - start)
+            yield part, *coder.encode_flat([t or "" for t in part.column(text).to_pylist()], end_id)
+            start = stop
+        del batch
+    pa.default_memory_pool().release_unused()
