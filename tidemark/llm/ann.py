@@ -1,12 +1,14 @@
 """Approximate nearest neighbours by balanced posting lists.
 
 Centroids are fitted on a bounded sample and kept balanced by splitting crowded ones. Every vector is listed under its
-nearest centroid and, near a boundary, under others whose distance is within a ratio of the nearest. A query walks a neighbour graph over the centroids, held in
-memory by each task, and reads the nearest lists. Distances within lists are exact.
+nearest centroid and, near a boundary, under others whose distance is within a ratio of the nearest. A query walks a neighbour graph over the
+centroids, held in memory by each task, and reads the lists whose centroid is within a ratio of the nearest one's distance. Distances within
+lists are exact.
 
-How many lists a query reads is measured in each run: the neighbours of a few sampled queries are found by brute force over
-all vectors, and the count grows from ``PROBES`` up to all lists until ``RECALL`` of these neighbours stand in lists that
-are read. Where the walk would keep a quarter of the centroids or more, the distances to all of them are computed instead.
+The ratio is measured in each run: the neighbours of a few sampled queries are found by brute force over all vectors, and it is the
+least at which ``RECALL`` of these neighbours stand in lists that are read. Where a query's nearest centroid is closer than that of most
+sampled queries, their tenth percentile counts instead, as a multiple of nothing would be nothing. The walk keeps more centroids until the last
+one it keeps is beyond the ratio.
 
 Equal vectors are indexed once, with their smallest ids: no more of them than a query returns can appear in its
 answer. Long lists are cut into segments and many queries of a list into blocks, so no task gathers an unbounded list.
@@ -34,9 +36,10 @@ NEIGHBOURS = 10
 LIST_VECTORS = 120
 MAX_LISTS, SAMPLE_PER_LIST = 8192, 16
 REPLICAS, REPLICA_RATIO = 6, 1.25
-#: Lists that a query reads at least, recall on the calibrating queries that this number grows for, and their number.
-PROBES, RECALL, CALIBRATING = 96, 0.99, 128
-DEGREE, BEAM = 24, 128
+#: Recall on the calibrating queries that the ratio is chosen for, and their number.
+RECALL, CALIBRATING = 0.99, 128
+#: Links of a centroid to its nearest ones and to chance ones, which keep the graph in one piece; centroids a walk keeps at first.
+DEGREE, CHANCE, BEAM = 24, 4, 64
 SEGMENT, BLOCK = 4000, 500
 
 # ---------------------------------------------------------------- centroids and their graph
@@ -81,17 +84,18 @@ class Graph:
             d = squared_distances(centres[part], centres)
             d[np.arange(len(part)), part] = np.inf
             links.append(np.argsort(d, axis=1, kind="stable")[:, :degree])
+        chance = np.random.default_rng(7).integers(0, len(centres), (len(centres), CHANCE))
+        every = np.sort(np.concatenate([np.concatenate(links) % len(centres), chance], 1), axis=1)
+        # A link that is there twice leads to the centroid itself, which a walk has seen.
+        again = np.pad(every[:, 1:] == every[:, :-1], ((0, 0), (1, 0)))
+        every = np.where(again, np.arange(len(centres))[:, None], every)
         step = max(1, len(centres) // 16)
-        return Graph(centres, np.concatenate(links) % len(centres), np.arange(0, len(centres), step)[:16])
+        return Graph(centres, every, np.arange(0, len(centres), step)[:16])
 
     def search(self, queries, beam: int = BEAM):
         """Ids and distances of about the ``beam`` nearest centroids of each query, nearest first."""
         n, k = len(queries), len(self.centres)
         beam = min(beam, k)
-        if 4 * beam >= k:
-            exact = np.sqrt(squared_distances(queries, self.centres))
-            ids = np.argsort(exact, axis=1, kind="stable")[:, :beam]
-            return ids, np.take_along_axis(exact, ids, axis=1)
         rows = np.arange(n)[:, None]
         ids = np.repeat(self.entries[None, :], n, 0)
         seen = np.zeros((n, k), bool)
@@ -183,8 +187,29 @@ def postings(indexed: DataFrame, graph: Graph) -> DataFrame:
 # ---------------------------------------------------------------- search
 
 
-def beam_for(count: int) -> int:
-    return max(BEAM, count + count // 3)
+@dataclass
+class Reach:
+    """Lists are read up to ``ratio`` times the distance of the nearest centroid, which counts as ``least`` at least, and on to ``room`` entries."""
+
+    ratio: float
+    least: float
+    sizes: np.ndarray  # entries of each list
+    room: int
+
+    def lists(self, graph: Graph, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of ``points`` and the lists that each reads. A walk that may have ended too early is walked anew with more room."""
+        rows, lists, left, beam = [], [], np.arange(len(points)), BEAM
+        while len(left):
+            ids, dist = graph.search(points[left], beam)
+            limits = self.ratio * np.maximum(dist[:, :1], self.least)
+            before = np.cumsum(self.sizes[ids], axis=1) - self.sizes[ids]
+            read = (dist <= limits) | (before < self.room)
+            done = ~read[:, -1] | (beam >= len(graph.centres))
+            row, place = np.nonzero(read & np.isfinite(dist) & done[:, None])
+            rows.append(left[row])
+            lists.append(ids[row, place])
+            left, beam = left[~done], 2 * beam
+        return np.concatenate([np.empty(0, int), *rows]), np.concatenate([np.empty(0, int), *lists])
 
 
 def true_neighbours(indexed: DataFrame, asking: np.ndarray, points: np.ndarray, k: int) -> DataFrame:
@@ -213,36 +238,37 @@ def true_neighbours(indexed: DataFrame, asking: np.ndarray, points: np.ndarray,
     return parts.groupBy("asking").agg(best.alias("found")).select("asking", F.explode("found.near").alias("near"))
 
 
-def calibrated(indexed: DataFrame, lists: DataFrame, asked: DataFrame, graph: Graph, k: int) -> int:
-    """Lists to read, so that ``RECALL`` of the true neighbours of a bounded sample of queries stand in them."""
-    total = len(graph.centres)
-    if total <= PROBES:
-        return total
+def calibrated(indexed: DataFrame, lists: DataFrame, asked: DataFrame, graph: Graph, k: int) -> Reach:
+    """The least ratio at which ``RECALL`` of the true neighbours of a bounded sample of queries stand in lists that are read."""
+    sizes = np.zeros(len(graph.centres), np.int64)
+    for r in lists.groupBy("list").count().collect():
+        sizes[r["list"]] = r["count"]
+    # A vector is in REPLICAS lists at most, so that many entries hold enough different ones to answer with.
+    room = REPLICAS * (k + 1)
     sample = asked.orderBy(F.xxhash64("embedding")).limit(CALIBRATING).select("class", "embedding").toArrow()
     if not sample.num_rows:
-        return PROBES
+        return Reach(1.0, 0.0, sizes, room)
     asking, points = sample.column("class").to_numpy(), _arrays(sample.column("embedding").combine_chunks())
     true = true_neighbours(indexed, asking, points, k)
     held = lists.select("class", "list").join(F.broadcast(true), F.col("class") == F.col("near")).select("asking", "near", "list").toArrow()
+    far = np.sqrt(squared_distances(points, graph.centres))
+    nearest = far.min(1)
+    least = float(np.quantile(nearest, 0.1))
+    if not held.num_rows or least <= 0:
+        least = max(least, float(far.mean()) * 1e-3, 1e-300)
     row = {c: i for i, c in enumerate(asking.tolist())}
-    pairs, number = np.unique(np.stack([held.column("asking").to_numpy(), held.column("near").to_numpy()]), axis=1, return_inverse=True)
-    rows, in_list, number = np.array([row[c] for c in held.column("asking").to_pylist()], int), held.column("list").to_numpy(), number.reshape(-1)
-    count = PROBES
-    while count < total:
-        ids, dist = graph.search(points, beam_for(count))
-        read = np.zeros((len(points), total), bool)
-        query, place = np.nonzero(np.isfinite(dist[:, :count]))
-        read[query, ids[query, place]] = True
-        met = np.zeros(pairs.shape[1], bool)
-        np.logical_or.at(met, number, read[rows, in_list])
-        if met.sum() >= RECALL * len(met):
-            break
-        count = min(total, count + count // 4)
-    return count
-
-
-def probes(asked: DataFrame, graph: Graph, count: int) -> DataFrame:
-    """``list``, ``asking`` (class of the query) and its ``point``, for each of the ``count`` lists that it reads."""
+    rows = np.array([row[c] for c in held.column("asking").to_pylist()], int)
+    needed = far[rows, held.column("list").to_numpy()] / np.maximum(nearest[rows], least) if len(rows) else np.empty(0)
+    # A neighbour is met in the nearest of its lists.
+    met: dict[tuple[int, int], float] = {}
+    for pair, need in zip(zip(rows.tolist(), held.column("near").to_pylist(), strict=True), needed.tolist(), strict=True):
+        met[pair] = min(need, met.get(pair, np.inf))
+    ratio = float(np.quantile(list(met.values()), RECALL, method="higher")) if met else 1.0
+    return Reach(max(1.0, ratio) * (1 + 1e-9), least, sizes, room)
+
+
+def probes(asked: DataFrame, graph: Graph, reach: Reach) -> DataFrame:
+    """``list``, ``asking`` (class of the query) and its ``point``, for each list that it reads."""
 
     def walk(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -250,13 +276,10 @@ def probes(asked: DataFrame, graph: Graph, count: int) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, 64):
                 batch = whole.slice(start, 64)
-                ids, dist = graph.search(_arrays(batch.column("embedding")), beam_for(count))
-                read = np.isfinite(dist)
-                read[:, count:] = False
-                row, _ = np.nonzero(read)
-                taken = batch.take(pa.array(row))
+                rows, lists = reach.lists(graph, _arrays(batch.column("embedding")))
+                taken = batch.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[read].astype(np.int32)), taken.column("class"), taken.column("embedding")], ["list", "asking", "point"]
+                    [pa.array(lists.astype(np.int32)), taken.column("class"), taken.column("embedding")], ["list", "asking", "point"]
                 )
 
     return asked.select("class", "embedding").mapInArrow(walk, "list int, asking bigint, point array<double>")

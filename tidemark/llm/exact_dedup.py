@@ -151,21 +151,26 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_distinct(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one per distinct text, with all their columns.
+    """The rows of ``docs`` that stay, one per distinct text, with all their columns, whatever their names.
 
     Joined are the ids of dropped rows, which are fewer than those that stay. Only where an id stands on rows
     of both kinds, or on several that stay, the text decides as well.
     """
     groups = stored(exact_groups(docs).select("doc_id", "text_sha256", "kept"), "exact-groups")
-    by_id = groups.groupBy(F.col("doc_id").alias("dropped_id")).agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
-    dropped = stored(by_id.filter("not kept").select("dropped_id"), "exact-dropped")
-    mixed = stored(by_id.filter("kept and rows > 1").select(F.col("dropped_id").alias("mixed_id")), "exact-mixed")
-    rest = docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("dropped_id")), "left_anti")
+    by_id = groups.groupBy(F.col("doc_id").alias("id")).agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    dropped = stored(by_id.filter("not kept").select("id"), "exact-dropped")
+    mixed = stored(by_id.filter("kept and rows > 1").select("id"), "exact-mixed")
+    d, x, k = (F.col(f"{side}.id") for side in ("gone", "mixed", "keys"))
+    # Rows go as one struct, so that no column of theirs meets one of these names.
+    rows = docs.select(F.struct("*").alias("own")).alias("docs")
+    own_id = F.col("docs.own.doc_id").cast("bigint")
+    rest = rows.join(dropped.alias("gone"), own_id.eqNullSafe(d), "left_anti")
     if mixed.isEmpty():
-        return rest
-    is_mixed = F.col("doc_id").eqNullSafe(F.col("mixed_id"))
-    keys = groups.filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct()
-    match = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.sha2(whole_text(), 256) == F.col("kept_sha"))
-    several = rest.join(mixed, is_mixed, "left_semi").join(keys, match, "left_semi")
+        return rest.select("own.*")
+    keys = groups.filter("kept").select(F.col("doc_id").alias("id"), "text_sha256").distinct().alias("keys")
+    match = own_id.eqNullSafe(k) & (F.sha2(whole_text("docs.own.text"), 256) == F.col("keys.text_sha256"))
+    is_mixed = own_id.eqNullSafe(x)
+    several = rest.join(mixed.alias("mixed"), is_mixed, "left_semi").join(keys, match, "left_semi")
     # Rows repeated with id and text are told apart by nothing that counts.
-    return rest.join(mixed, is_mixed, "left_anti").unionByName(several.dropDuplicates(["doc_id", "text"]))
+    once = several.select("own", F.col("own.doc_id").alias("id"), whole_text("own.text").alias("text")).dropDuplicates(["id", "text"])
+    return rest.join(mixed.alias("mixed"), is_mixed, "left_anti").select("own").unionByName(once.select("own")).select("own.*")

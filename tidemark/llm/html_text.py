@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -43,6 +44,7 @@ _WORD = re.compile(r"[a-z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math select object audio video canvas xmp noembed noframes".split())
+_RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 BLOCK = frozenset(
     "html head body address article aside blockquote button center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul br".split()
@@ -81,6 +83,7 @@ def parse(page: str) -> tuple[dict[int, list[int]], list[tuple]]:
     blocks: list[tuple] = []
     # Open elements: tag, path, inside chrome, inside article, inside link, inside chrome that no article ends.
     stack: list[tuple] = [("", "", False, False, False, False)]
+    opened: Counter[str] = Counter()
     held: list[str] = []
     state = {"linked": 0, "place": 0, "slot": 0}
 
@@ -104,13 +107,17 @@ def parse(page: str) -> tuple[dict[int, list[int]], list[tuple]]:
             if stack[-1][4]:
                 state["linked"] += len(text)
 
+    def close(i: int) -> None:
+        for element in stack[i:]:
+            opened[element[0]] -= 1
+        del stack[i:]
+
     at, raw = 0, None
-    lowered = None
     while at < len(page):
         if raw:
-            lowered = lowered if lowered is not None else page.lower()
-            end = lowered.find(f"</{raw}", at)
-            at, raw = (len(page) if end < 0 else end), None
+            # Sought in the page itself: its lower-case copy may be longer.
+            end = _RAW_END[raw].search(page, at)
+            at, raw = (end.start() if end else len(page)), None
             continue
         m = _TAG.search(page, at)
         if not m:
@@ -128,9 +135,9 @@ def parse(page: str) -> tuple[dict[int, list[int]], list[tuple]]:
         if block:
             flush()
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
                 if stack[i][0] == tag:
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i][0] in SCOPES and tag not in SCOPES:
                     break
@@ -138,13 +145,13 @@ def parse(page: str) -> tuple[dict[int, list[int]], list[tuple]]:
         if tag in SIBLINGS:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] in SIBLINGS[tag]:
-                    del stack[i:]
+                    close(i)
                     if tag != "tr":
                         break
                 elif stack[i][0] in SCOPES:
                     break
         elif block and tag in SCOPES and stack[-1][0] == "p":
-            stack.pop()
+            close(len(stack) - 1)
         if tag in VOID:
             continue
         attributes = m[3] if m[2] else m[6]
@@ -166,7 +173,7 @@ def parse(page: str) -> tuple[dict[int, list[int]], list[tuple]]:
             raw = None if attributes.rstrip().endswith("/") and tag in ("svg", "math") else tag
             continue
         inner = article or tag in ("article", "main") or "main" in marked
-        nested = tag == "article" and any(s[0] == "article" for s in stack)
+        nested = tag == "article" and opened["article"] > 0
         off = marked & CHROME_WORDS if tag not in ("body", "html", "main") and (tag != "article" or nested) else set()
         if article:
             off = off - PAGE_ONLY
@@ -176,10 +183,11 @@ def parse(page: str) -> tuple[dict[int, list[int]], list[tuple]]:
             chrome = firm
         chrome = chrome or firm or tag in CHROME_TAGS or nested or bool(off) or (not article and (tag == "header" or "header" in marked))
         if block:
-            path = f"{path}>{tag}{re.sub('[0-9]+', '0', names)}"
-            state["slot"] = _token(path, True)
-            note(state["slot"])
+            # A path is told by the token of its parent, so open elements hold no long texts.
+            path = state["slot"] = _token(f"{path}>{tag}{re.sub('[0-9]+', '0', names)}", True)
+            note(path)
         stack.append((tag, path, chrome, inner, link or tag == "a", firm))
+        opened[tag] += 1
     flush()
     return tokens, blocks
 

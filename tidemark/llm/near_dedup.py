@@ -251,25 +251,27 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_distinct(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each component, and all that are linked with nothing for want of words.
+    """The rows of ``docs`` that stay, with all their columns, whatever their names: one of each component, and all that are
+    linked with nothing for want of words.
 
     Of a component the row with the least id stays, among equal or null ids that of the least text key. Joined are the
     rows that go, which are fewer, by id and text key, as an id may stand on rows of both kinds.
     """
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col("text_key").alias("text"))
-    rows = _placed(docs, order).filter("set_id is not null")
-    rows = stored(rows.select("doc_id", "text_key", order.eqNullSafe(F.col("first")).alias("stays")), "near-rows")
-    dropped = stored(
-        rows.filter("not stays").select(F.col("doc_id").alias("dropped_id"), F.col("text_key").alias("dropped_text")).distinct(), "near-dropped"
-    )
-    again = rows.filter("stays").groupBy(F.col("doc_id").alias("again_id"), F.col("text_key").alias("again_text")).count()
+    placed = _placed(docs, order).filter("set_id is not null")
+    placed = stored(placed.select("doc_id", "text_key", order.eqNullSafe(F.col("first")).alias("stays")), "near-rows")
+    dropped = stored(placed.filter("not stays").select("doc_id", "text_key").distinct(), "near-dropped")
+    again = placed.filter("stays").groupBy("doc_id", "text_key").count()
     again = stored(again.filter("count > 1").drop("count"), "near-repeated")
+    # Rows go as one struct, so that no column of theirs meets one of these names.
+    rows = docs.select(F.struct("*").alias("own"), F.col("doc_id").cast("bigint").alias("own_id"), _text_key().alias("own_key"))
 
     def same(of: str) -> Column:
-        return F.col("doc_id").eqNullSafe(F.col(f"{of}_id")) & (_text_key() == F.col(f"{of}_text"))
+        return F.col("own_id").eqNullSafe(F.col(f"{of}.doc_id")) & (F.col("own_key") == F.col(f"{of}.text_key"))
 
-    rest = docs.join(dropped, same("dropped"), "left_anti")
+    rest = rows.join(dropped.alias("gone"), same("gone"), "left_anti")
     if again.isEmpty():
-        return rest
+        return rest.select("own.*")
     # Rows repeated with id and text are told apart by nothing that counts.
-    return rest.join(again, same("again"), "left_anti").unionByName(rest.join(again, same("again"), "left_semi").dropDuplicates(["doc_id", "text"]))
+    once = rest.join(again.alias("twice"), same("twice"), "left_semi").dropDuplicates(["own_id", "own_key"])
+    return rest.join(again.alias("twice"), same("twice"), "left_anti").select("own").unionByName(once.select("own")).select("own.*")

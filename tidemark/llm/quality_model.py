@@ -1,13 +1,13 @@
 """Quality scores by naive Bayes support vectors.
 
 Texts become sets of hashed n-gram indicators: words and word pairs, word shapes and shape pairs, and the shares of a text
-that its shapes and repeated words make up, in steps. Class counts of every indicator over all training rows
+that its shapes and repeated words make up, in steps. Class counts of every indicator over the sampled training rows
 give log-count ratios; the indicators, scaled by these, feed a linear model with hinge loss, fitted by dual coordinate
 descent. A logistic curve, fitted on rows that the model has not seen, turns margins into scores.
 
 The classifier is fitted on a bounded sample of the labelled rows: at most ``FIT_ROWS`` for the class counts and the
-linear model and ``CURVE_ROWS`` for the curve, chosen from the labels alone by a seeded hash and as even between the classes
-as their numbers allow; the curve weighs the classes back to their share. So the labels that meet the documents are
+linear model and ``CURVE_ROWS`` for the curve, and ``FIT_BYTES`` of indicators, chosen from the labels that meet a document by a seeded hash
+and as even between the classes as their numbers allow; the curve weighs the classes back to their share. So the labels that meet the documents are
 few enough to be broadcast, whatever the size of either table, and no text is shuffled.
 
 Defined cases: null and empty texts have no indicators and get the score of the intercept; rows with several labels
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import wordhash as wh
@@ -29,6 +29,8 @@ from tidemark.llm.base import stored
 
 FEATURES = 1 << 18
 FIT_ROWS, CURVE_ROWS = 6_000, 3_000
+#: Bytes of indicators (4 each, 1 MB a text at most) that the driver fits on.
+FIT_BYTES = 96 << 20
 THRESHOLD = 0.3
 C, EPOCHS, SMOOTH = 0.1, 12, 1.0
 SHARES = np.array([1, 2, 4, 8, 16, 32])
@@ -185,14 +187,19 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = labels.filter("quality is not null").filter(~held_out()).select(
         F.col("doc_id").alias("labelled_id"), (F.col("quality") > 0).cast("int").alias("label")
     )
+    # Labels of other documents would take the place of those that can be learnt from. Only ids are joined.
+    known = known.join(docs.select(F.col("doc_id").alias("met")), F.col("labelled_id") == F.col("met"), "left_semi")
     n = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     good, bad = n.get(1, 0), n.get(0, 0)
     chosen = stored(_sampled(known, n), "labelled-sample")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id")).select(
         F.col("text").cast("string").alias("text"), "label", _place().alias("place")
     )
-    # An id may stand on many rows, so the bound is kept once more.
-    sample = _indicated(rows).orderBy("place", "label", "found").limit(FIT_ROWS + CURVE_ROWS).select("label", "found").toArrow()
+    # An id may stand on many rows, so the bound is kept once more; then that of bytes, over these rows.
+    order = ("place", "label", "found")
+    sample = _indicated(rows).orderBy(*order).limit(FIT_ROWS + CURVE_ROWS)
+    upto = F.sum(F.octet_length("found")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    sample = sample.withColumn("upto", upto).filter(F.col("upto") <= FIT_BYTES).select("label", "found").toArrow()
     y = np.array(sample.column("label").to_pylist(), np.int64)
     if len(set(y.tolist())) < 2:
         share = good / (good + bad) if good + bad else 1.0

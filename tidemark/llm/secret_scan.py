@@ -129,6 +129,10 @@ def candidates(index: DataFrame, trigrams: Sequence[str], queries: dict[str, lis
 # ---------------------------------------------------------------- verification
 
 
+#: Spans of a text that are gathered at a time.
+RUN = 256
+
+
 def spans(text: Column, rule: Rule, number: int) -> Column:
     """Array of (start, kind number, end) of the rule's counted matches, in code points."""
     pattern = F.lit(rule.pattern)
@@ -138,17 +142,22 @@ def spans(text: Column, rule: Rule, number: int) -> Column:
         F.split(text, rule.pattern, -1), F.arrays_zip(matches.alias("whole"), counted.alias("part")),
         lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m["whole"]).alias("long"), F.length(m["part"]).alias("counted")),
     )
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    span_type = "struct<start:int,kind:int,end:int>"
+    empty, none_done = F.array().cast(f"array<{span_type}>"), F.array().cast(f"array<array<{span_type}>>")
 
     def step(acc, x):
         start = acc["at"] + x["gap"]
         end = start + x["long"]
         span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"))
-        kept = F.when(x["counted"] >= rule.least, F.concat(acc["found"], F.array(span))).otherwise(acc["found"])
+        # Adding to an array copies it: a run of spans is put by when it is full, so no array that grows with the text is copied per span.
+        more, full = F.concat(acc["run"], F.array(span)), F.size(acc["run"]) + 1 >= RUN
+        kept = F.struct(end.alias("at"), F.when(full, empty).otherwise(more).alias("run"), F.when(full, F.concat(acc["done"], F.array(more))).otherwise(acc["done"]).alias("done"))
+        passed = F.struct(end.alias("at"), acc["run"].alias("run"), acc["done"].alias("done"))
         # The last piece has no match behind it.
-        return F.when(x["long"].isNull(), acc).otherwise(F.struct(end.alias("at"), kept.alias("found")))
+        return F.when(x["long"].isNull(), acc).when(x["counted"] >= rule.least, kept).otherwise(passed)
 
-    walked = F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("found")), step)["found"]
+    start = F.struct(F.lit(0).alias("at"), empty.alias("run"), none_done.alias("done"))
+    walked = F.aggregate(steps, start, step, lambda acc: F.concat(F.flatten(acc["done"]), acc["run"]))
     return F.when(F.regexp_like(text, pattern), walked).otherwise(empty)
 
 
