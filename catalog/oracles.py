@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from catalog import queries
+from tidemark.functions.text import literal
 from tidemark import fixed
 from tidemark.functions import metrics
 from tidemark.plans import standin
@@ -425,6 +426,19 @@ ORACLES["calendar_hours"] = (
     "SELECT d AS day_of_week, h AS hour, count(ts) AS events FROM (SELECT unnest(range(1, 8)) AS d), (SELECT unnest(range(24)) AS h)"
     " LEFT JOIN events ON isodow(ts) = d AND hour(ts) - hour(ts) % 5 = h GROUP BY d, h"
 )
+_CELLS = [
+    (0, 0, None, 0, 0, "th", "'Key'", 0), (0, 0, None, 0, 1, "td", "CAST(o_orderkey AS VARCHAR)", 1),
+    (0, 0, None, 0, 2, "td", "'[in ' || o_custkey || CASE WHEN o_orderkey % 3 = 0 THEN 'twice' ELSE '' END || ']'", 3),
+    (0, 0, None, 0, 3, "td", "o_orderstatus || ' & more'", 4), (1, 1, None, 0, 0, "td", "'in ' || o_custkey", 0),
+    (0, 0, "tbody", 1, 0, "td", "'last'", 0),
+]
+ORACLES["landing_html_nested"] = " UNION ALL ".join(
+    f"SELECT o_orderkey, {t}::INTEGER AS table_number, {d}::INTEGER AS depth, {literal(section)}::VARCHAR AS section, {r}::INTEGER AS row_number,"
+    f" {c}::INTEGER AS cell, '{kind}' AS kind, {text} AS text, {place}::INTEGER AS place FROM orders"
+    for t, d, section, r, c, kind, text, place in _CELLS
+) + (
+    " UNION ALL SELECT o_orderkey, 1::INTEGER, 1::INTEGER, NULL::VARCHAR, 1::INTEGER, 0::INTEGER, 'td', 'twice', 0::INTEGER FROM orders WHERE o_orderkey % 3 = 0"
+)
 ORACLES["interval_join_asof"] = chain(
     {
         "bought": "SELECT * FROM events WHERE event_type = 'purchase' QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id) = 1",
@@ -440,6 +454,19 @@ ORACLES["interval_join_asof_hot"] = chain(
     },
     "SELECT e.event_id, state_id FROM events AS e LEFT JOIN states AS s ON e.ts >= lo AND e.ts < hi",
 )
+_BY_LOAD = {
+    ("not_null", "user_id", "error"): "count(*) FILTER (WHERE user_id IS NULL)",
+    ("not_null", "event_type", "error"): "count(*) FILTER (WHERE event_type IS NULL)",
+    ("accepted_values", "event_type", "warn"): "count(*) FILTER (WHERE event_type NOT IN ('view', 'click', 'purchase', 'signup'))",
+    ("expression", "value > 0.5", "error"): "count(*) FILTER (WHERE NOT value > 0.5)",
+    ("expression", "value < 250", "error"): "count(*) FILTER (WHERE NOT value < 250)",
+    ("unique_keys", "user_id, ts", "error"): "max((SELECT count(*) FROM (SELECT 1 FROM hourly GROUP BY user_id, t HAVING count(*) > 1)))",
+    ("unique_keys", "event_type, ts", "error"): "max((SELECT count(*) FROM (SELECT 1 FROM hourly GROUP BY event_type, t HAVING count(*) > 1)))",
+}
+ORACLES["dq_by_load"] = "WITH hourly AS (SELECT *, date_trunc('hour', ts) AS t FROM events) " + " UNION ALL ".join(
+    f"SELECT 'events' AS table_name, '{check}' AS check_name, '{target}' AS target, '{severity}' AS severity, CAST({n} AS BIGINT) AS failures FROM hourly"
+    for (check, target, severity), n in _BY_LOAD.items()
+)
 ORACLES["stream_dedup_state"] = "SELECT event_id, user_id, ts, value FROM events"
 ORACLES["sorted_sink"] = "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS place FROM events"
 ORACLES["schedule_in_order"] = (

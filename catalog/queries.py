@@ -16,7 +16,7 @@ from tidemark.functions.text import literal, with_exprs
 from tidemark.operators import cleaning, incremental, intervals, quality, ranking
 from tidemark.plans import checks, dashboards, intermediate, jobs, marts, refine, staging, standin, warehouse
 from tidemark.session import scratch_path
-from tidemark.sources import fact_store, landing
+from tidemark.sources import fact_store, html_tables, landing
 from tidemark.sources import lake as lk
 from tidemark.streaming import dedup, polls
 
@@ -453,6 +453,20 @@ def calendar_hours(spark, sf):
     return joined.selectExpr("day_of_week", "hour", "coalesce(count, 0L) as events")
 
 
+@register
+def landing_html_nested(spark, sf):
+    """Orders as tables with an inner table, spans, commented and scripted rows and open ends: every row and cell that counts."""
+    html = (
+        "concat('<table><!-- <tr><td>gone</td></tr> --><tr><th>Key</th><td colspan=\"2\">', o_orderkey, '</td><td>[<table><tr><td>in ', o_custkey,"
+        " case when o_orderkey % 3 = 0 then '<tr><td>twice' else '' end, '</table>]<td>', o_orderstatus, ' &amp; more</td></tr>',"
+        " '<script>\"<tr><td>not this</td></tr>\"</script><tbody><tr><td>last</tbody></table>')"
+    )
+    pages = standin.table(spark, sf, "orders").selectExpr("o_orderkey", f"{html} as html")
+    return html_tables.table_rows(pages).selectExpr(
+        "o_orderkey", "table_number", "depth", "section", "row_number", "posexplode(cells) as (cell, c)",
+    ).selectExpr("o_orderkey", "table_number", "depth", "section", "row_number", "cell", "c.kind as kind", "c.text as text", "c.column as place")
+
+
 # ----------------------------------------------------------------- warehouse
 
 
@@ -627,6 +641,19 @@ def dq_intervals(spark, sf):
     return quality.run_checks(_tariff_history(spark, sf), "tariff_history", INTERVAL_CHECKS)
 
 
+EVENT_CHECKS = quality.Checks(
+    not_null=("user_id", "event_type"), accepted_warn={"event_type": ("view", "click", "purchase", "signup")},
+    holds={"{c} > 0.5": ("value",), "{c} < 250": ("value",)}, unique_keys=(("user_id", "ts"), ("event_type", "ts")),
+)
+
+
+@register
+def dq_by_load(spark, sf):
+    """Checks of three loads of the hourly events, each of its own rows, merged into the report of all."""
+    rows = standin.polled_events(standin.table(spark, sf, "events")).selectExpr("user_id", "event_type", "value", "ingested_at as ts")
+    return quality.merge_reports([quality.run_checks(part, "events", EVENT_CHECKS, NOW) for part in _slices(rows, "ts")])
+
+
 @register
 def dq_hour_range(spark, sf):
     rows = standin.order_schedule(standin.table(spark, sf, "orders"))

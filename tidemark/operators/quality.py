@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.functions.text import literal, literals
 
@@ -91,6 +92,17 @@ def run_checks(df: DataFrame, table: str, checks: Checks, now: str = "current_ti
     return reduce(DataFrame.unionByName, parts)
 
 
+def merge_reports(reports: Sequence[DataFrame]) -> DataFrame:
+    """The report of a whole table from those of its parts: failures add up.
+
+    Right for row checks of any parts, and for key checks where equal keys share a part, as they do when parts are spans of one of the
+    key's columns. So a load is checked by its own rows, and the reports of all loads tell what one of everything would.
+    """
+    every = reduce(DataFrame.unionByName, reports)
+    keys = ["table_name", "check_name", "target", "severity"]
+    return every.groupBy(*keys).agg(F.sum("failures").alias("failures"))
+
+
 def singular_check(failing: DataFrame, table: str, check: str, severity: str = ERROR) -> DataFrame:
     """A check given as a frame of failing rows."""
     counted = failing.selectExpr("count(*) as n")

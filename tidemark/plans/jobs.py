@@ -72,10 +72,11 @@ def staging_table(spark: SparkSession, lake: lk.Lake, dataset: lk.Dataset) -> Sn
     return SnapshotTable(spark, lake.model_path(f"stg_{dataset.name}"), INCREMENT)
 
 
-def _staged(table: SnapshotTable, silver: DataFrame, dataset: lk.Dataset) -> tuple[Candidate | None, DataFrame]:
-    """What staging would hold with the rows that are new, as a candidate if there are any.
+def _staged(table: SnapshotTable, silver: DataFrame, dataset: lk.Dataset) -> tuple[Candidate | None, DataFrame, DataFrame]:
+    """What staging would hold with the rows that are new, as a candidate if there are any; all its rows, and the new ones.
 
-    Rows above the watermark match no stored key, so merging them is appending.
+    Rows above the watermark match no stored key, so merging them is appending. The watermark is part of every key, so
+    what checks find among the new rows is what they would find in all of them.
     """
     base = table.latest()
     target = None if base is None else table.read(base).drop(INCREMENT)
@@ -83,10 +84,11 @@ def _staged(table: SnapshotTable, silver: DataFrame, dataset: lk.Dataset) -> tup
     keys = staging.LAYOUT[dataset.name][2]
     batch = deduplicate(batch, keys, [c for c in batch.columns if c not in keys])
     if batch.isEmpty() and target is not None:
-        return None, target
+        return None, target, target.filter("false")
     number = 1 if base is None else base.number + 1
     candidate = table.stage(batch.withColumn(INCREMENT, F.lit(number)), base, (), {})
-    return candidate, table.read(candidate).drop(INCREMENT)
+    new = table.read(candidate, {folder(INCREMENT, number)}).drop(INCREMENT)
+    return candidate, table.read(candidate).drop(INCREMENT), new
 
 
 # Each checks what a load would make of its gold tables, and stores them if they pass. They return the warnings.
@@ -104,26 +106,26 @@ def _checked_dim(spark: SparkSession, lake: lk.Lake, tables: dict[str, DataFrame
     return warnings
 
 
-def _gold_rates(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> list[str]:
+def _gold_rates(spark: SparkSession, lake: lk.Lake, staged: DataFrame, new: DataFrame) -> list[str]:
     middle = intermediate.rates(staged)
     dim = warehouse.dim_rates(middle, chunk="trunc(timestamp, 'month')")
-    tables = {"stg_exchange_rates": staged, "int_exchange_rates": middle}
+    tables = {"stg_exchange_rates": new, "int_exchange_rates": middle}
     return _checked_dim(spark, lake, tables, "dim_exchange_rates", dim, cluster_by=("from_currency", "to_currency"))
 
 
-def _gold_tiers(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> list[str]:
+def _gold_tiers(spark: SparkSession, lake: lk.Lake, staged: DataFrame, new: DataFrame) -> list[str]:
     middle = intermediate.tiers(staged)
-    tables = {"stg_electricity_tariff_tiers": staged, "int_electricity_tariff_tiers": middle}
+    tables = {"stg_electricity_tariff_tiers": new, "int_electricity_tariff_tiers": middle}
     return _checked_dim(spark, lake, tables, "dim_electricity_tariff_tiers", warehouse.dim_tiers(middle))
 
 
-def _gold_schedule(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> list[str]:
+def _gold_schedule(spark: SparkSession, lake: lk.Lake, staged: DataFrame, new: DataFrame) -> list[str]:
     middle = intermediate.schedule(staged)
-    tables = {"stg_electricity_tariff_schedule": staged, "int_electricity_tariff_schedule": middle}
+    tables = {"stg_electricity_tariff_schedule": new, "int_electricity_tariff_schedule": middle}
     return _checked_dim(spark, lake, tables, "dim_electricity_tariff_schedule", warehouse.dim_schedule(middle), cluster_by=("day_of_week", "hour", "valid_from"))
 
 
-def _gold_offers(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> list[str]:
+def _gold_offers(spark: SparkSession, lake: lk.Lake, staged: DataFrame, new: DataFrame) -> list[str]:
     """Price only the polls the fact has not seen, merge them and close absent offers in a candidate, and publish it if it passes.
 
     Checked are the days that the load rewrites; other days are files of versions that passed. The fact's only key holds
@@ -132,19 +134,19 @@ def _gold_offers(spark: SparkSession, lake: lk.Lake, staged: DataFrame) -> list[
     middle = intermediate.offers(staged)
     path = lake.model_path("fct_compute_offers")
     before = fact_watermark(spark, path)
-    new = middle if before is None else middle.filter(F.col("valid_from") > F.lit(before))
+    unseen = middle if before is None else middle.filter(F.col("valid_from") > F.lit(before))
     rates = spark.read.parquet(lake.model_path("dim_exchange_rates"))
     tiers = spark.read.parquet(lake.model_path("dim_electricity_tariff_tiers"))
-    warnings = check_tables({"stg_compute_offers": staged, "int_compute_offers": middle})
+    warnings = check_tables({"stg_compute_offers": new, "int_compute_offers": intermediate.offers(new)})
 
     def audit(rewritten: DataFrame) -> None:
         warnings.extend(check_tables({"fct_compute_offers": rewritten.drop(DAY)}))
 
-    apply_polls(spark, path, warehouse.fact_offers(new, rates, tiers), audit=audit)
+    apply_polls(spark, path, warehouse.fact_offers(unseen, rates, tiers), audit=audit)
     return warnings
 
 
-GOLD: dict[str, Callable[[SparkSession, lk.Lake, DataFrame], list[str]]] = {
+GOLD: dict[str, Callable[[SparkSession, lk.Lake, DataFrame, DataFrame], list[str]]] = {
     lk.RATES.name: _gold_rates,
     lk.TIERS.name: _gold_tiers,
     lk.SCHEDULE.name: _gold_schedule,
@@ -167,9 +169,9 @@ def run_dataset(
         return Run([], False)
     lk.register_views(spark, lake, [dataset])
     table = staging_table(spark, lake, dataset)
-    candidate, staged = _staged(table, spark.read.parquet(lake.path("silver", dataset)), dataset)
+    candidate, staged, new = _staged(table, spark.read.parquet(lake.path("silver", dataset)), dataset)
     try:
-        warnings = GOLD[dataset.name](spark, lake, staged)
+        warnings = GOLD[dataset.name](spark, lake, staged, new)
         # Last, as a run that stops before this stages the same rows again, which gold then knows.
         if candidate is not None:
             table.publish(candidate)

@@ -79,17 +79,20 @@ def apply_polls(
     base = table.latest()
     done = _watermark(base)
     fresh = batch.filter("valid_from is not null") if done is None else batch.filter(f"valid_from > {literal(done)}")
-    copy = None
-    if not written:
-        copy = scratch_path(spark, "fact-batch")
-        fresh.write.parquet(copy)
-        fresh = spark.read.schema(fresh.schema).parquet(copy)
+    beside: list[str] = []
+
+    def kept_beside(df: DataFrame) -> DataFrame:
+        beside.append(scratch_path(spark, "fact-load"))
+        df.write.parquet(beside[-1])
+        return spark.read.schema(df.schema).parquet(beside[-1])
+
     try:
+        fresh = fresh if written else kept_beside(fresh)
         found = fresh.selectExpr("max(valid_from) as high", "collect_set(cast(valid_from as date)) as days").first()
         if found.high is None:
             return 0
         days = set(found.days)
-        rows, replaced = _replayed(spark, table, base, done, fresh, days, key)
+        rows, replaced = _replayed(spark, table, base, done, fresh, days, key, kept_beside)
         candidate = table.stage(rows, base, replaced, {WATERMARK: found.high.astimezone(dt.timezone.utc).isoformat()}, [c for c in CLUSTER if c in fresh.columns])
         try:
             if audit is not None:
@@ -100,12 +103,12 @@ def apply_polls(
             raise
         return len(replaced)
     finally:
-        if copy is not None:
-            discard(spark, [copy])
+        discard(spark, beside)
 
 
 def _replayed(
-    spark: SparkSession, table: SnapshotTable, base: Version | None, done: dt.datetime | None, fresh: DataFrame, days: set[dt.date], key: str
+    spark: SparkSession, table: SnapshotTable, base: Version | None, done: dt.datetime | None, fresh: DataFrame, days: set[dt.date], key: str,
+    kept_beside: Callable[[DataFrame], DataFrame],
 ) -> tuple[DataFrame, set[str]]:
     """The rows of all partitions that a load changes, and their folders.
 
@@ -120,7 +123,8 @@ def _replayed(
     runs = append_evolving(fresh, anchors)
     # The last stored poll is part of the sequence even if nothing of it is still open.
     previous = spark.range(1).selectExpr(f"{last} as valid_from")
-    ends = close_by_replay(runs, key, polls=runs.select("valid_from").unionByName(previous))
+    # Read three times below, so written once.
+    ends = kept_beside(close_by_replay(runs, key, polls=runs.select("valid_from").unionByName(previous)))
 
     closing = ends.filter(f"valid_from = {last} and valid_to < {FOREVER}").selectExpr(f"{k} as _gone", "valid_to as _closed_at")
     hit = still_open.join(closing, F.expr(f"{k} = _gone")).select(DAY).distinct()

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 from tidemark import fixed
 from tidemark.functions.text import aliased, computed_once, literal, literals, name, with_exprs
+from tidemark.sources import html_tables
+from tidemark.sources.html_tables import ENTITIES
 
 # ----------------------------------------------------------------- offers
 
@@ -148,10 +150,6 @@ def land_rates(
 
 # ----------------------------------------------------------------- HTML
 
-# Entities resolved in page text; the ampersand comes last.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
-
-
 def tag_text(value: str) -> str:
     """Text of an HTML fragment: comments, scripts and tags dropped, common entities resolved."""
     text = rf"regexp_replace({value}, r'(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>', '')"
@@ -169,27 +167,15 @@ def html_table_rows(
     pages: DataFrame, html: str = "html", cells: Sequence[int] = (0, 1, 3),
     into: Sequence[str] = ("tariff_description", "price_mkd_per_kwh", "valid_from"), direct_rows: bool = True,
 ) -> DataFrame:
-    """Table rows with the text of the cells at the given places; a place held by ``th`` gives null.
+    """Table rows that hold a ``td``, with the text of the cells at the given places; a place held by ``th`` gives null.
 
-    ``direct_rows`` leaves out rows inside thead, tbody and tfoot, as a child selector does.
+    ``direct_rows`` leaves out rows inside thead, tbody and tfoot, as a child selector does. Rows are numbered in their table.
     """
-    body = name(html)
+    rows = html_tables.table_rows(pages, html).filter("exists(cells, c -> c.kind = 'td')")
     if direct_rows:
-        body = rf"regexp_replace({body}, r'(?is)<(thead|tbody|tfoot)\b.*?</\1\s*>', '')"
-    tables = rf"array_join(regexp_extract_all({body}, r'(?is)<table\b[^>]*>(.*?)</table\s*>', 1), '\n')"
-    rows = rf"posexplode(regexp_extract_all({tables}, r'(?is)<tr\b[^>]*>(.*?)</tr\s*>', 1)) as (row_number, _row)"
-    split = computed_once(
-        pages.selectExpr("*", rows).filter(r"_row rlike r'(?is)<td\b'"),
-        {
-            "_kinds": r"regexp_extract_all(_row, r'(?is)<(t[dh])\b[^>]*>', 1)",
-            "_cells": r"regexp_extract_all(_row, r'(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>', 1)",
-        },
-    )
-    taken = {
-        c: f"case when lower(get(_kinds, {i})) = 'td' then {tag_text(f'get(_cells, {i})')} end"
-        for c, i in zip(into, cells)
-    }
-    return computed_once(split, taken).drop("_row", "_kinds", "_cells")
+        rows = rows.filter("section is null")
+    taken = {c: f"case when get(cells, {i}).kind = 'td' then get(cells, {i}).text end" for c, i in zip(into, cells)}
+    return rows.selectExpr(*map(name, pages.columns), "table_number", "row_number", *aliased(taken))
 
 
 def land_tiers(pages: DataFrame, html: str = "html") -> tuple[DataFrame, DataFrame]:
