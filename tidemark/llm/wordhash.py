@@ -100,6 +100,8 @@ def text_batches(batches: Iterator, text: str = "text", size: int = BATCH_BYTES)
             stop = min(stop, len(column))
             yield batch.slice(start, stop - start), data[offsets[start] : offsets[stop]], offsets[start + 1 : stop + 1] - offsets[start]
             start = stop
+    # An idle worker should not hold what its last task read.
+    pa.default_memory_pool().release_unused()
 
 
 _C = mix(np.arange(11, 19, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
