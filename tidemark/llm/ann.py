@@ -196,9 +196,12 @@ class Reach:
     sizes: np.ndarray  # entries of each list
     room: int
 
-    def lists(self, graph: Graph, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of ``points`` and the lists that each reads. A walk that may have ended too early is walked anew with more room."""
-        rows, lists, left, beam = [], [], np.arange(len(points)), BEAM
+    def lists(self, graph: Graph, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of ``points``, the lists that each reads, and whether a list is among the first, which together hold ``room`` entries.
+
+        A walk that may have ended too early is walked anew with more room.
+        """
+        rows, lists, firsts, left, beam = [], [], [], np.arange(len(points)), BEAM
         while len(left):
             ids, dist = graph.search(points[left], beam)
             limits = self.ratio * np.maximum(dist[:, :1], self.least)
@@ -208,8 +211,9 @@ class Reach:
             row, place = np.nonzero(read & np.isfinite(dist) & done[:, None])
             rows.append(left[row])
             lists.append(ids[row, place])
+            firsts.append(before[row, place] < self.room)
             left, beam = left[~done], 2 * beam
-        return np.concatenate([np.empty(0, int), *rows]), np.concatenate([np.empty(0, int), *lists])
+        return np.concatenate([np.empty(0, int), *rows]), np.concatenate([np.empty(0, int), *lists]), np.concatenate([np.empty(0, bool), *firsts])
 
 
 def true_neighbours(indexed: DataFrame, asking: np.ndarray, points: np.ndarray, k: int) -> DataFrame:
@@ -268,7 +272,7 @@ def calibrated(indexed: DataFrame, lists: DataFrame, asked: DataFrame, graph: Gr
 
 
 def probes(asked: DataFrame, graph: Graph, reach: Reach) -> DataFrame:
-    """``list``, ``asking`` (class of the query) and its ``point``, for each list that it reads."""
+    """``list``, ``asking`` (class of the query), its ``point``, and whether the list is among its ``first``, for each list that it reads."""
 
     def walk(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -276,26 +280,27 @@ def probes(asked: DataFrame, graph: Graph, reach: Reach) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, 64):
                 batch = whole.slice(start, 64)
-                rows, lists = reach.lists(graph, _arrays(batch.column("embedding")))
+                rows, lists, firsts = reach.lists(graph, _arrays(batch.column("embedding")))
                 taken = batch.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists.astype(np.int32)), taken.column("class"), taken.column("embedding")], ["list", "asking", "point"]
+                    [pa.array(lists.astype(np.int32)), taken.column("class"), taken.column("embedding"), pa.array(firsts)], ["list", "asking", "point", "first"]
                 )
 
-    return asked.select("class", "embedding").mapInArrow(walk, "list int, asking bigint, point array<double>")
+    return asked.select("class", "embedding").mapInArrow(walk, "list int, asking bigint, point array<double>, first boolean")
 
 
 def _best_in_list(key, left, right, k: int):
-    """The ``k`` nearest vectors of a list segment for each of a block of queries."""
+    """The ``k`` nearest vectors of a list segment, none beyond its bound, for each of a block of queries."""
     import pyarrow as pa
 
     asking, classes_, ids, scores = [], [], [], []
     if left.num_rows and right.num_rows:
         points, vectors = (_arrays(t.column(c).combine_chunks()) for t, c in ((left, "point"), (right, "embedding")))
         own, first = right.column("class").to_numpy(), right.column("first_id").to_numpy()
-        for query, point in zip(left.column("asking").to_pylist(), points, strict=True):
+        for query, point, bound in zip(left.column("asking").to_pylist(), points, left.column("bound").to_pylist(), strict=True):
             score = np.sqrt(((vectors - point) ** 2).sum(1))
             best = np.lexsort((first, score))[:k] if len(score) <= 4 * k else _few(score, first, k)
+            best = best[score[best] <= bound]
             asking += [query] * len(best)
             classes_ += own[best].tolist()
             ids += first[best].tolist()
@@ -309,6 +314,24 @@ def _few(score, first, k: int):
     return near[np.lexsort((first[near], score[near]))[:k]]
 
 
+def _read(lists: DataFrame, reads: DataFrame, k: int) -> DataFrame:
+    """``asking``, ``class``, ``first_id`` and ``score`` of what the lists that are read give. A segment of a list meets each block of its
+    queries, and a block each segment."""
+    sizes = lists.groupBy("list").agg(F.ceil(F.count("*") / SEGMENT).cast("int").alias("segments"))
+    loads = reads.groupBy(F.col("list").alias("read_list")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    cuts = stored(sizes.join(loads, F.col("list") == F.col("read_list")).select(F.col("list").alias("cut_list"), "segments", "blocks"), "list-cuts")
+    left = reads.join(cuts, F.col("list") == F.col("cut_list")).select(
+        "list", F.pmod(F.xxhash64("asking"), "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.expr("segments - 1"))).alias("segment"), "asking", "point", "bound"
+    )
+    right = lists.join(cuts, F.col("list") == F.col("cut_list")).select(
+        "list", F.explode(F.sequence(F.lit(0), F.expr("blocks - 1"))).alias("block"), F.pmod(F.xxhash64("class"), "segments").cast("int").alias("segment"), "class", "first_id", "embedding"
+    )
+    keys = ["list", "block", "segment"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        lambda key, a, b: _best_in_list(key, a, b, k), "asking bigint, class bigint, first_id bigint, score double"
+    )
+
+
 def search(vectors: DataFrame, queries: str = "vec_id % 100 = 0", k: int = NEIGHBOURS) -> DataFrame:
     """The ``k`` nearest rows found for each row that meets ``queries``: ``query_id``, ``rank``, ``vec_id``, ``score``."""
     rows = stored(usable(vectors), "vectors")
@@ -321,22 +344,17 @@ def search(vectors: DataFrame, queries: str = "vec_id % 100 = 0", k: int = NEIGH
     asking = stored(named.select(F.col("vec_id").alias("query_id"), "class"), "queries")
     asked = indexed.join(asking.select(F.col("class").alias("asked")).distinct(), F.col("class") == F.col("asked"), "left_semi")
     reads = stored(probes(asked, graph, calibrated(indexed, lists, asked, graph, k)), "probes")
-    sizes = lists.groupBy("list").agg(F.ceil(F.count("*") / SEGMENT).cast("int").alias("segments"))
-    loads = reads.groupBy(F.col("list").alias("read_list")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    cuts = stored(sizes.join(loads, F.col("list") == F.col("read_list")).select(F.col("list").alias("cut_list"), "segments", "blocks"), "list-cuts")
-    # A segment meets each block of its list's queries, and a block each segment.
-    left = reads.join(cuts, F.col("list") == F.col("cut_list")).select(
-        "list", F.pmod(F.xxhash64("asking"), "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.expr("segments - 1"))).alias("segment"), "asking", "point"
-    )
-    right = lists.join(cuts, F.col("list") == F.col("cut_list")).select(
-        "list", F.explode(F.sequence(F.lit(0), F.expr("blocks - 1"))).alias("block"), F.pmod(F.xxhash64("class"), "segments").cast("int").alias("segment"), "class", "first_id", "embedding"
-    )
-    keys = ["list", "block", "segment"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        lambda key, a, b: _best_in_list(key, a, b, k + 1), "asking bigint, class bigint, first_id bigint, score double"
-    )
-    best = F.row_number().over(Window.partitionBy("asking").orderBy("score", "first_id"))
-    nearest = stored(found.distinct().withColumn("nth", best).filter(F.col("nth") <= k + 1).select("asking", F.col("class").alias("near"), "score"), "nearest")
+    by_score = F.row_number().over(Window.partitionBy("asking").orderBy("score", "first_id"))
+
+    def best(found: DataFrame) -> DataFrame:
+        return found.distinct().withColumn("nth", by_score).filter(F.col("nth") <= k + 1).drop("nth")
+
+    # The first lists hold enough vectors to answer with. What they give bounds what is worth naming in all others.
+    early = stored(best(_read(lists, reads.filter("first").withColumn("bound", F.lit(float("inf"))), k + 1)), "first-lists")
+    bounds = early.groupBy(F.col("asking").alias("of")).agg(F.when(F.count("*") > k, F.max("score")).otherwise(float("inf")).alias("bound"))
+    rest = reads.filter("not first").join(bounds, F.col("asking") == F.col("of"), "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    later = _read(lists, rest.drop("of"), k + 1)
+    nearest = stored(best(early.unionByName(later)).select("asking", F.col("class").alias("near"), "score"), "nearest")
     ids = nearest.join(indexed.select("class", "ids"), F.col("near") == F.col("class")).select("asking", "score", F.explode("ids").alias("vec_id"))
     pairs = asking.join(ids, F.col("class") == F.col("asking")).filter("vec_id <> query_id").select("query_id", "vec_id", "score")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
