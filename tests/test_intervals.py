@@ -168,3 +168,23 @@ def test_asof_join_equals_range_join(spark):
         assert iv.asof_join(rows_, empty, "at", "lo", "hi", keys=["k"]).filter("state is null").count() == len(facts)
     with pytest.raises(ValueError):
         iv.asof_join(rows_, dims, "at", "lo", "hi", how="full")
+
+
+def test_hot_asof_events_of_one_month_meet_in_many_tasks(spark, tmp_path):
+    from catalog.queries import QUERIES
+
+    spark.range(20_000).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id * 120) as ts", "id % 50 as user_id",
+        "if(id % 5 = 0, 'purchase', 'view') as event_type", "1.0D as value", "'{}' as props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        joined = QUERIES["interval_join_asof_hot"](spark, str(tmp_path))
+        by_task = joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count("state_id").alias("found"))
+        sizes = [r.n for r in by_task.collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(sizes) == 20_000 and max(sizes) < 1000
