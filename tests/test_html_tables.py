@@ -92,3 +92,14 @@ def test_rows_beside_their_page(spark):
     assert html_tables.table_rows(pages.filter("false")).count() == 0
     with pytest.raises(ValueError):
         html_tables.table_rows(pages.withColumnRenamed("id", "depth"))
+
+
+def test_walk_makes_few_calls_per_tag():
+    import cProfile
+    import pstats
+
+    page = "<table>" + "<tr><td>a</td><td class='x'>b</td><td><b>c</b></td></tr>" * 500 + "</table>"
+    assert len(html_tables.walk(page)) == 500
+    profile = cProfile.Profile()
+    profile.runcall(html_tables.walk, page)
+    assert pstats.Stats(profile).total_calls < 4 * page.count("<")
