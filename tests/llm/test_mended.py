@@ -1,7 +1,9 @@
 """Cases that earlier versions got wrong: clashing names, chained stages, odd pages, long lists of spans, labels of other documents."""
 
+import random
 import time
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -133,3 +135,17 @@ def test_a_hot_id_is_dealt_over_files(spark, tmp_path):
     for r in found:
         assert r.start == ends
         ends += r.n_tokens
+
+
+def test_words_across_line_breaks_and_tails_are_learned_once(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 40)
+    order, coder = random.Random(5), tokens.Encoder(tokens.vocabulary_path())
+    coder.encode(["tide la.\nLe mark", "la, Le tide.\nmark "])
+    assert not any("\n" in w[1:] for w in coder._numbers)
+    words = ["tide", "mark.", "\nLe", "été,", "x1", "", "l'a", "漢", *(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}{'.,'[i % 2]}" for i in range(90))]
+    for _ in range(30):
+        texts = [" ".join(["tide", *order.choices(words, k=12)]) + order.choice(["", "\n", " ", "\nLe.\nTide"]) for _ in range(4)]
+        whole = [e.ids for e in coder._tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(b, "<u4").tolist() for b in coder.encode(texts)] == whole
+    coder._forget()
+    assert len(coder._numbers) <= 20 and " tide" in coder._numbers  # a word met in every text stays

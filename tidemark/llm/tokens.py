@@ -5,9 +5,11 @@ text falls into words there. It also parts letters from punctuation behind them.
 each tail of punctuation, is encoded once per cache, many at a time; words of any other form are encoded as they
 are. Texts with other runs of white space are cut at such spaces only. The ids are those of the whole text.
 
+A single line break between other characters parts words as well; the word behind it has no space before it. Words of letters that
+are known lend their ids to the same letters before a tail.
+
 Words get numbers, and the ids of a batch of texts are gathered by these numbers from one array. The cache is bounded in words and
-characters, so a worker stays small whatever it reads: when it is full it becomes the old cache, the one before that goes, and
-words that are met again move into the new one.
+characters, so a worker stays small whatever it reads: when it is full, the words that were met most often stay, half of it at most.
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ from __future__ import annotations
 import itertools
 import os
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,12 +24,12 @@ import numpy as np
 ID_BYTES = 4
 #: How byte-level vocabularies write a space.
 SPACE = "\u0120"
-#: Words and characters a worker's cache may hold, beside an old cache of that size.
-CACHE_WORDS, CACHE_CHARS = 350_000, 4_000_000
+#: Words and characters a worker's cache may hold before its rarer words go.
+CACHE_WORDS, CACHE_CHARS = 500_000, 6_000_000
 #: Letters before this one (Latin, Greek and Cyrillic) are letters to every version of Unicode in use; words with others go the general way.
 FIRST_OTHER = "\u0530"
 _UNEVEN = re.compile(r"\s\s")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+_CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
 #: Neither white space nor letter nor digit, and no apostrophe, which may begin a contraction.
 _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -66,17 +67,27 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._piece = self._tokenizer.model.tokenize
-        self._begin()
-        self._begin()
-
-    def _begin(self) -> None:
-        """Make the cache the old one and start a new one."""
-        if hasattr(self, "_numbers"):
-            self._old = self._numbers
-            self._old_ids, self._old_starts, self._old_sizes = (array(t, x.tobytes()) for t, x in (("I", self._ids_of), ("q", self._starts), ("q", self._sizes)))
-        # A key that begins with a space is a text's first word, any other one a word after a space.
+        self._line = self._encoded(["\n"])[0]
+        # A key that begins with a space is a text's first word, with a line break a line's, any other one a word after a space.
         self._numbers, self._tails = _Numbers(), {}
-        self._ids_of, self._starts, self._sizes, self._chars = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), 0
+        self._ids_of, self._starts, self._sizes, self._uses = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self._chars = 0
+
+    def _forget(self) -> None:
+        """Keep the words that were met most often, up to half of what the cache may hold. Their uses count half from now on."""
+        words, often = list(self._numbers), np.argsort(-self._uses, kind="stable")
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        n = min(CACHE_WORDS // 2, int(np.searchsorted(np.cumsum(sizes[often]), CACHE_CHARS // 2, "right")))
+        kept = np.sort(often[:n])
+        self._numbers, self._tails, self._chars = _Numbers(zip(map(words.__getitem__, kept.tolist()), range(n))), {}, int(sizes[kept].sum())
+        self._ids_of, self._sizes = self._gathered(kept), self._sizes[kept]
+        self._starts, self._uses = np.cumsum(self._sizes) - self._sizes, self._uses[kept] // 2
+
+    def _gathered(self, number: np.ndarray) -> np.ndarray:
+        """The ids of the words with these numbers, one after the other."""
+        starts, sizes = self._starts[number], self._sizes[number]
+        # Each id's place in the array of known ids: its word's start there, and how far into the word it is.
+        return self._ids_of[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
 
     def _encoded(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -91,59 +102,67 @@ class Encoder:
 
         A run of letters after a space is one piece of the tokenizer's own pattern, so its model takes it as it is.
         """
-        known = len(self._starts)
-        new = list(itertools.islice(self._numbers, known, None))
-        old, old_ids, old_starts, old_sizes, piece = self._old.get, self._old_ids, self._old_starts, self._old_sizes, self._piece
+        known, numbers = len(self._starts), self._numbers
+        new = list(itertools.islice(numbers, known, None))
+        piece = self._piece
         flat: list[int] = []
         ends: list[int] = []
         later: list[int] = []
+        cores: dict[str, tuple[int, int]] = {}  # where runs of letters with a tail stand in ``flat``
         for i, w in enumerate(new):
-            n = old(w)
-            if n is not None:
-                start = old_starts[n]
-                flat += old_ids[start : start + old_sizes[n]]
-            elif w.isalpha() and w.isascii():
+            if w.isascii() and w.isalpha():
                 flat += [t.id for t in piece(SPACE + w)]
             else:
-                letters = w.rstrip(_TAIL)
-                if letters.isalpha() and max(letters) < FIRST_OTHER:
-                    written = letters if letters.isascii() else letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                    flat += [t.id for t in piece(SPACE + written)]
+                line, letters = w[:1] == "\n", w.rstrip(_TAIL)
+                core = letters[1:] if line else letters
+                if not core.isalpha() or not core.isascii() and max(core) >= FIRST_OTHER:
+                    later.append(i)
+                else:
+                    n, at = numbers.get(letters, known), cores.get(letters)
+                    if n < known:
+                        start = self._starts[n]
+                        flat += self._ids_of[start : start + self._sizes[n]].tolist()
+                    elif at is not None:
+                        flat += flat[at[0] : at[1]]
+                    else:
+                        start = len(flat)
+                        written = core if core.isascii() else core.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                        if line:
+                            flat += self._line
+                        flat += [t.id for t in piece(written if line else SPACE + written)]
+                        cores[letters] = start, len(flat)
                     if len(letters) < len(w):
                         flat += self._tail(w[len(letters) :])
-                else:
-                    later.append(i)
             ends.append(len(flat))
         stops = np.array(ends, np.int64)
         starts = np.append(0, stops[:-1])
         sizes = stops - starts
-        for i, ids in zip(later, self._encoded([w[1:] if w[:1] == " " else " " + w for w in map(new.__getitem__, later)]), strict=True):
+        for i, ids in zip(later, self._encoded([w[1:] if w[:1] == " " else w if w[:1] == "\n" else " " + w for w in map(new.__getitem__, later)]), strict=True):
             starts[i], sizes[i] = len(flat), len(ids)
             flat += ids
         self._starts = np.concatenate([self._starts, starts + len(self._ids_of)])
         self._sizes = np.concatenate([self._sizes, sizes])
         self._ids_of = np.concatenate([self._ids_of, np.array(flat, np.uint32)])
+        self._uses = np.concatenate([self._uses, np.zeros(len(new), np.int64)])
         self._chars += sum(map(len, new))
 
     def encode_flat(self, texts: list[str], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all ``texts`` one after the other, each with ``end_id`` behind it if given, and how many each has."""
         if len(self._numbers) > CACHE_WORDS or self._chars > CACHE_CHARS:
-            self._begin()
+            self._forget()
         words: list[str] = []
         ends = np.empty(len(texts), np.int64)
         for i, t in enumerate(texts):
-            split = _CUT.split(t) if _UNEVEN.search(t) else t.split(" ")
+            split = _CUT.split(t) if _UNEVEN.search(t) else t.replace("\n", " \n").split(" ")
             split[0] = " " + split[0]
             words += split
             ends[i] = len(words)
         number = np.fromiter(map(self._numbers.__getitem__, words), np.int64, len(words))
         if len(self._numbers) > len(self._starts):
             self._learn()
-        starts, sizes = self._starts[number], self._sizes[number]
-        before = np.append(0, np.cumsum(sizes))
-        # Each id's place in the array of known ids: its word's start there, and how far into the word it is.
-        flat = self._ids_of[np.repeat(starts - before[:-1], sizes) + np.arange(before[-1])]
-        stops = before[ends]
+        self._uses += np.bincount(number, minlength=len(self._uses))
+        flat = self._gathered(number)
+        stops = np.append(0, np.cumsum(self._sizes[number]))[ends]
         counts = np.diff(np.append(0, stops))
         if end_id is not None:
             flat, counts = np.insert(flat, stops, end_id), counts + 1
