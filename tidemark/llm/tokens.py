@@ -21,6 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from tidemark.llm.wordhash import give_back
+
 ID_BYTES = 4
 #: How byte-level vocabularies write a space.
 SPACE = "\u0120"
@@ -189,7 +191,6 @@ def encoded(batches: Iterator, path: str, end_id: int, text: str = "text", size:
 
     Parts hold about ``size`` bytes of text, and only their texts are made Python strings. Null counts as empty.
     """
-    import pyarrow as pa
     import pyarrow.compute as pc
 
     coder = encoder(path)
@@ -203,4 +204,4 @@ def encoded(batches: Iterator, path: str, end_id: int, text: str = "text", size:
             yield part, *coder.encode_flat([t or "" for t in part.column(text).to_pylist()], end_id)
             start = stop
         del batch
-    pa.default_memory_pool().release_unused()
+    give_back()

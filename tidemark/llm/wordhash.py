@@ -6,6 +6,7 @@ modulo 2**64, taken from one running sum over the bytes of all texts, and mixed.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Iterator
 
@@ -13,7 +14,7 @@ import numpy as np
 
 BASE = 0x9E3779B97F4A7C15 | 1
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_000_000
 
 
 def mix(x):
@@ -84,6 +85,15 @@ def word_hashes(data, ends, lower: bool = True, spans: bool = False):
     return (mix(total * down[starts]), np.searchsorted(starts, ends), *((starts, stops) if spans else ()))
 
 
+def give_back() -> None:
+    """Return freed memory to the system, so that an idle worker does not hold what its last task used."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        trim(0)
+
+
 def text_batches(batches: Iterator, text: str = "text", size: int = BATCH_BYTES) -> Iterator:
     """(part of an Arrow batch, bytes of its texts, end of each text), in parts of about ``size`` bytes. Null is empty."""
     import pyarrow as pa
@@ -100,8 +110,7 @@ def text_batches(batches: Iterator, text: str = "text", size: int = BATCH_BYTES)
             stop = min(stop, len(column))
             yield batch.slice(start, stop - start), data[offsets[start] : offsets[stop]], offsets[start + 1 : stop + 1] - offsets[start]
             start = stop
-    # An idle worker should not hold what its last task read.
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 _C = mix(np.arange(11, 19, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
