@@ -674,6 +674,13 @@ def _slices(events: DataFrame, column: str, parts: int = 3) -> list[DataFrame]:
     return [events.filter(place == i) for i in range(parts)]
 
 
+def _written(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` written to the shared folder and read back."""
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _poll_rows(events: DataFrame) -> DataFrame:
     return standin.polled_events(events).selectExpr(
         "user_id as offer_id", "ingested_at as valid_from", f"{literal(fixed.OPEN_TIMESTAMP)} as valid_to", "event_id", "value",
@@ -721,9 +728,10 @@ def mart_trends_incremental(spark, sf):
     lake = lk.Lake(scratch_path(spark, "trends-lake"))
     lk.write_table(standin.schedule_dim(spark), lake.model_path("dim_electricity_tariff_schedule"))
     # Rows that share a poll stay together; the hour alone keys them here, as offers of a poll may share ids.
-    rows = standin.shared_offers(standin.fact(spark, sf))
+    # Written once, as each load reads its span of it.
+    rows = _written(standin.shared_offers(standin.fact(spark, sf)), "trends-rows")
     for part in _slices(rows, "valid_from"):
-        fact_store.apply_polls(spark, lake.model_path("fct_compute_offers"), part)
+        fact_store.apply_polls(spark, lake.model_path("fct_compute_offers"), part, written=True)
         jobs.refresh_trends(spark, lake)
     built = spark.read.parquet(lake.model_path("mart_profitability_trends"))
     return _rounded(naive(built.drop(jobs.BUCKET_DAY)))
