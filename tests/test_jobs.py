@@ -211,3 +211,18 @@ def test_paths(lake):
     assert lk.Lake("gs://bucket/").path("bronze", lk.OFFERS) == "gs://bucket/bronze/sources/compute_offers"
     with pytest.raises(ValueError):
         lake.path("copper", lk.OFFERS)
+
+
+def test_trend_loads_read_rows_that_were_written_once(spark, monkeypatch):
+    from catalog import queries
+
+    class Seen(Exception):
+        pass
+
+    def load(spark, path, batch, written=False):
+        assert written and not any("events.parquet" in f for f in batch.inputFiles())
+        raise Seen
+
+    monkeypatch.setattr(queries.fact_store, "apply_polls", load)
+    with pytest.raises(Seen):
+        queries.QUERIES["mart_trends_incremental"](spark, "/root/testdata/sf0.001")
