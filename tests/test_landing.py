@@ -132,3 +132,24 @@ def test_schedule_gate(spark):
 def test_stamp(spark):
     df = landing.snapshot_stamp(spark.range(3), "timestamp'2026-01-01 05:00:00'", "'poll-7'")
     assert rows(df.select("ingested_at", "poll_id").distinct()) == [(moment("2026-01-01T05:00:00"), "poll-7")]
+
+
+@pytest.mark.parametrize("rented, read", [("oN", True), (" OFF ", False), ("FALSE", False), ("yes", True), ("ones", None)])
+def test_booleans_in_other_forms(spark, rented, read):
+    valid, rejects = land(spark, FULL | {"rented": rented})
+    assert [r.rented_flag for r in valid] == ([] if read is None else [read])
+    assert [r.failed_rules for r in rejects] == (["rented_flag:type"] if read is None else [])
+
+
+def test_text_behind_escaped_quotes(spark):
+    valid, rejects = land(spark, FULL | {"gpu_name": 'a "b"'}, FULL | {"gpu_name": 7, "geolocation": '"gpu_name":"x"'})
+    assert [r.gpu_model_name for r in valid] == ['a "b"'] and [r.failed_rules for r in rejects] == ["gpu_model_name:type"]
+
+
+def test_no_generated_method_is_too_large_to_be_compiled(spark):
+    """HotSpot interprets methods above 8000 bytes; each offer then costs several times as much, whatever the session's settings."""
+    payload = "payload string, offer_type string, ingested_at timestamp"
+    for df in landing.land_offers(spark.createDataFrame([], payload).union(spark.range(1).selectExpr("'{}'", "'bid'", "now()"))):
+        stages = df._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+        assert sizes and max(sizes) < 8000

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark import fixed
-from tidemark.functions.text import aliased, computed_once, literal, literals, name, with_exprs
+from tidemark.functions.text import aliased, computed_once, literal, literals, name, names, with_exprs
 from tidemark.sources import html_tables
 from tidemark.sources.html_tables import ENTITIES
 
@@ -43,14 +43,16 @@ def explode_offers(payloads: DataFrame, payload: str = "payload") -> DataFrame:
 
     texts = {c: key for c, (key, kind, _) in fixed.OFFER_FIELDS.items() if key and kind == T.StringType()}
     # Without escaped quotes, a quoted key before a quote can only be that key with a text; the pattern is for all other offers.
-    plainly = "not contains(_offer, r'\\\"') and contains(_offer, r'\"{key}\":\"')"
-    bare = ", ".join(
-        rf"""case when _o.{name(key)} is not null and not ({plainly.format(key=key)}) and not _offer rlike r'(?<!\\)"{key}"\s*:\s*"' then {literal(c)} end"""
-        for c, key in texts.items()
-    )
+    def bare(plainly: str) -> str:
+        return "array(" + ", ".join(
+            rf"""case when _o.{name(key)} is not null {plainly.format(key=key)} and not _offer rlike r'(?<!\\)"{key}"\s*:\s*"' then {literal(c)} end"""
+            for c, key in texts.items()
+        ) + ")"
+
+    not_text = f"""if(contains(_offer, r'\\"'), {bare("")}, {bare("and not contains(_offer, r'\"{key}\":\"')")})"""
     return parsed.selectExpr(
         "ingested_at", *aliased({c: value(key) if key else name(c) for c, (key, _, _) in fixed.OFFER_FIELDS.items()}),
-        f"array_compact(array({bare})) as _not_text",
+        f"array_compact({not_text}) as _not_text",
     )
 
 
@@ -63,14 +65,26 @@ def unreadable_payloads(payloads: DataFrame, payload: str = "payload") -> DataFr
 
 
 def _inked(char: str) -> str:
-    """Whether a character (the first one of a text) is ASCII and not blank; false for an empty text. Cheaper than a pattern."""
-    return f"ascii({char}) between 33 and 126"
+    """Whether the first character of a text is ASCII and not blank; false for an empty text. Cheaper than a pattern."""
+    return rf"{char} >= '!' and {char} < '\u007f'"
+
+
+def _each(columns: Sequence[str], value: Callable[[str], str]) -> str:
+    """``value`` of each of ``columns``, as an array.
+
+    The expression is written once for all of them. Repeated for each column of a wide table it fills one generated method with
+    more code than HotSpot compiles, and every row is interpreted.
+    """
+    return f"transform(array({names(columns)}), _text -> {value('_text')})"
 
 
 def blank_text_to_null(df: DataFrame) -> DataFrame:
     """Whitespace-only text to null in every string column; other text stays as it is."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return computed_once(df, {c: rf"case when {_inked(name(c))} or not {name(c)} rlike r'^{BLANK}$' then {name(c)} end" for c in texts})
+    if not texts:
+        return df
+    rows = computed_once(df, {"_texts": _each(texts, lambda t: rf"case when {_inked(t)} or not {t} rlike r'^{BLANK}$' then {t} end")})
+    return with_exprs(rows, {c: f"get(_texts, {i})" for i, c in enumerate(texts)}).drop("_texts")
 
 
 def coerced(column: str, kind: T.DataType) -> str:
@@ -81,7 +95,9 @@ def coerced(column: str, kind: T.DataType) -> str:
     if isinstance(kind, (T.LongType, T.IntegerType)):
         text = rf"case when contains({own}, '.') then regexp_replace({text}, r'\.0*$', '') else {text} end"
     elif isinstance(kind, T.BooleanType):
-        text = f"case lower({text}) when 'on' then 'true' when 'off' then 'false' else {text} end"
+        # Cheaper than lower case.
+        text = f"case when {text} rlike '^(?i:on)$' then 'true' when {text} rlike '^(?i:off)$' then 'false' else {text} end"
+        text = f"case when length({own}) in (4, 5) and {bare} then {own} else {text} end"
     elif isinstance(kind, T.StringType):
         return name(column)
     return f"try_cast({text} as {kind.simpleString()})"
@@ -96,15 +112,23 @@ def validate(
     ``wrong_type`` gives conditions under which a column's value is of the wrong type although it can be read.
     """
     wrong = wrong_type or {}
-    read = {c: f"_read_{c}" for c, kind in types.items() if kind != T.StringType()}
+    kinds: dict[T.DataType, list[str]] = {}
+    for c, kind in types.items():
+        if kind != T.StringType():
+            kinds.setdefault(kind, []).append(c)
+    read = {kind: f"_read_{kind.simpleString()}" for kind in kinds}
+    value = {c: f"get({name(read[kind])}, {i})" for kind, columns in kinds.items() for i, c in enumerate(columns)}
     # Read once: rules and valid rows both need the values.
-    rows = computed_once(df, {into: coerced(c, types[c]) for c, into in read.items()}) if read else df
+    rows = df
+    if kinds:
+        rows = computed_once(df, {read[kind]: _each(columns, lambda t, kind=kind: coerced(t, kind)) for kind, columns in kinds.items()})
     rules = {f"{c}:required": f"{name(c)} is null" for c in required}
-    rules |= {f"{c}:type": wrong.get(c, f"{name(c)} is not null and {name(read.get(c, c))} is null") for c in types if c in wrong or c in read}
+    rules |= {f"{c}:type": wrong.get(c, f"{name(c)} is not null and {value.get(c, name(c))} is null") for c in types if c in wrong or c in value}
     rules |= {f"{c}:enum": f"{name(c)} not in ({literals(values)})" for c, values in accepted.items()}
     reasons = ", ".join(f"case when {cond} then {literal(rule)} end" for rule, cond in rules.items())
-    checked = rows.selectExpr("*", f"nullif(concat_ws(',', {reasons}), '') as failed_rules")
-    valid = with_exprs(checked.filter("failed_rules is null"), {c: name(into) for c, into in read.items()})
+    # A list without its nulls stays out of the generated method, unlike one text joined from as many rules.
+    checked = rows.selectExpr("*", f"nullif(array_join(array_compact(array({reasons})), ','), '') as failed_rules")
+    valid = with_exprs(checked.filter("failed_rules is null"), value)
     return valid.drop("failed_rules", *read.values()), checked.filter("failed_rules is not null").drop(*read.values())
 
 
