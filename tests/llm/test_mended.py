@@ -4,6 +4,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -149,3 +150,16 @@ def test_words_across_line_breaks_and_tails_are_learned_once(monkeypatch):
         assert [np.frombuffer(b, "<u4").tolist() for b in coder.encode(texts)] == whole
     coder._forget()
     assert len(coder._numbers) <= 20 and " tide" in coder._numbers  # a word met in every text stays
+
+
+def test_a_worker_keeps_few_words_between_tasks(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 400)
+    monkeypatch.setattr(tokens, "_ENCODERS", {})
+    path = tokens.vocabulary_path()
+    for first in (0, 100):
+        texts = [f"the tide of tide{i}a, tide{i}b.\nthe tide" for i in range(first, first + 150)]
+        whole = tokens.encoder(path)._encoded(texts)
+        ((_, flat, counts),) = tokens.encoded(iter([pa.record_batch({"text": pa.array(texts)})]), path, 0)
+        assert flat.tolist() == [i for ids in whole for i in [*ids, 0]] and counts.tolist() == [len(ids) + 1 for ids in whole]
+        numbers = tokens.encoder(path)._numbers
+        assert len(numbers) <= 50 and list(numbers.values()) == list(range(len(numbers))) and {" the", "tide"} <= {*numbers}

@@ -10,12 +10,14 @@ are known lend their ids to the same letters before a tail.
 
 Words get numbers, and the ids of a batch of texts are gathered by these numbers from one array. The cache is bounded in words and
 characters, so a worker stays small whatever it reads: when it is full, the words that were met most often stay, half of it at most.
+Between tasks a worker keeps an eighth: most words are met in few texts, and idle workers share an executor's memory with other stages.
 """
 
 from __future__ import annotations
 
 import itertools
 import os
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -75,15 +77,19 @@ class Encoder:
         self._ids_of, self._starts, self._sizes, self._uses = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         self._chars = 0
 
-    def _forget(self) -> None:
-        """Keep the words that were met most often, up to half of what the cache may hold. Their uses count half from now on."""
+    def _forget(self, part: int = 2) -> None:
+        """Keep the words that were met most often, up to one ``part`` of what the cache may hold. Their uses count half from now on."""
         words, often = list(self._numbers), np.argsort(-self._uses, kind="stable")
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        n = min(CACHE_WORDS // 2, int(np.searchsorted(np.cumsum(sizes[often]), CACHE_CHARS // 2, "right")))
+        n = min(CACHE_WORDS // part, int(np.searchsorted(np.cumsum(sizes[often]), CACHE_CHARS // part, "right")))
         kept = np.sort(often[:n])
-        self._numbers, self._tails, self._chars = _Numbers(zip(map(words.__getitem__, kept.tolist()), range(n))), {}, int(sizes[kept].sum())
-        self._ids_of, self._sizes = self._gathered(kept), self._sizes[kept]
+        self._ids_of, self._sizes, self._chars = self._gathered(kept), self._sizes[kept], int(sizes[kept].sum())
         self._starts, self._uses = np.cumsum(self._sizes) - self._sizes, self._uses[kept] // 2
+        # Made anew behind the freed words, so that they do not hold on to memory all over the place.
+        written = pickle.dumps(list(map(words.__getitem__, kept.tolist())))
+        del words
+        self._numbers, self._tails = _Numbers(), {}
+        self._numbers.update(zip(pickle.loads(written), range(n)))
 
     def _gathered(self, number: np.ndarray) -> np.ndarray:
         """The ids of the words with these numbers, one after the other."""
@@ -204,4 +210,5 @@ def encoded(batches: Iterator, path: str, end_id: int, text: str = "text", size:
             yield part, *coder.encode_flat([t or "" for t in part.column(text).to_pylist()], end_id)
             start = stop
         del batch
+    coder._forget(8)
     give_back()
