@@ -163,3 +163,24 @@ def test_a_worker_keeps_few_words_between_tasks(monkeypatch):
         assert flat.tolist() == [i for ids in whole for i in [*ids, 0]] and counts.tolist() == [len(ids) + 1 for ids in whole]
         numbers = tokens.encoder(path)._numbers
         assert len(numbers) <= 50 and list(numbers.values()) == list(range(len(numbers))) and {" the", "tide"} <= {*numbers}
+
+
+def test_words_with_tails_are_learned_as_letters_and_tails():
+    coder, tails = tokens.Encoder(tokens.vocabulary_path()), [".", ",", "...", "!?", "\")", "|>", ""]
+    texts = [" ".join(f"{w}{t}" for w in ("tide", "Été", "mark", "ĠĊ")) + f"\ntide{t}" for t in tails]
+    whole = coder._encoded(texts)
+    assert [np.frombuffer(b, "<u4").tolist() for b in coder.encode(texts)] == whole
+    # Stems after a space, one that begins a text, one a line, and the tails: no word is known with its tail.
+    assert {*coder._numbers} == {" tide", "\ntide", "Été", "mark", "ĠĊ", *(" " + t for t in tails if t)}
+
+
+def test_even_and_uneven_texts_of_a_part_keep_their_order():
+    coder = tokens.Encoder(tokens.vocabulary_path())
+    white = [c for c in map(chr, range(0x110000)) if c.isspace()]
+    texts = [t for c in white for t in (f"tide{c}mark, le", f"tide {c}mark", f"{c}tide mark", f"tide{c}", f"tide{c}{c}\n{c}mark", "tide le.\nmark")]
+    texts += ["", None, " ", "\n", "\x1f", "\x1f\x1ftide", "le<|endoftext|>, le", "tide\n\nmark", "3², x9!", "l'a's, it's."]
+    whole = [e.ids for e in coder._tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for kind in (pa.string(), pa.large_string()):
+        flat, counts = coder.encode_flat(pa.array(["cut", *texts], kind)[1:], 2)
+        assert [ids.tolist() for ids in np.split(flat, np.cumsum(counts)[:-1])] == [[*ids, 2] for ids in whole]
+    assert coder.encode_flat(pa.array([], pa.string()), 2)[0].size == 0
